@@ -179,3 +179,22 @@ def status_class_by(value, direction: Column, good: Column, bad: Column) -> Colu
     return (F.when(F.coalesce(is_good, F.lit(False)), F.lit(KPI_GOOD))
             .when(F.coalesce(is_bad, F.lit(False)), F.lit(KPI_BAD))
             .otherwise(F.lit(KPI_REGULAR)))
+
+
+EXACT_SUM_TYPE = "decimal(38,9)"
+
+
+def exact_sum(x) -> Column:
+    """Sum of a DOUBLE measure on DECIMAL(38,9), returned as DOUBLE.
+
+    Decimal addition is associative, so the result does not depend on how
+    the rows are partitioned or in which order partial sums are merged —
+    floating-point sums of the same rows differ in the last bits between
+    runs and engines.  Values are rounded to 1e-9 before summing.
+    """
+    return F.sum(_c(x).cast(EXACT_SUM_TYPE)).cast("double")
+
+
+def exact_mean(x) -> Column:
+    """Mean as ``exact_sum / count`` (NULL for no values); see ``exact_sum``."""
+    return F.try_divide(exact_sum(x), F.count(_c(x)).cast("double"))

@@ -23,24 +23,15 @@ def _cols(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def fk_filter(df: DataFrame, key: str, parent: DataFrame, parent_key: str | None = None,
-              skip_if_parent_empty: bool = False) -> DataFrame:
+def fk_filter(df: DataFrame, key: str, parent: DataFrame, parent_key: str | None = None) -> DataFrame:
     """Keep rows whose ``key`` exists in ``parent`` (B1): a left semi join.
 
-    With ``skip_if_parent_empty`` every row is kept when the parent has no
-    rows (the original builders skip the check then).  That variant stays lazy:
-    a one-row parent count is broadcast and or-ed with the match flag.
+    Deliberate deviation: an empty parent removes every row (the original
+    builders skipped the check for an empty parent, keeping orphans).
     """
     pk = parent_key or key
-    keys = parent.select(F.col(pk).alias("__fk")).where(F.col("__fk").isNotNull())
-    if not skip_if_parent_empty:
-        return df.join(keys, df[key] == keys["__fk"], "left_semi")
-    hits = keys.distinct().withColumn("__hit", F.lit(True))
-    n = parent.agg(F.count(F.lit(1)).alias("__n"))
-    out = (df.join(hits, df[key] == hits["__fk"], "left")
-           .crossJoin(F.broadcast(n))
-           .where(F.col("__hit").isNotNull() | (F.col("__n") == 0)))
-    return out.drop("__fk", "__hit", "__n")
+    keys = parent.select(F.col(pk).alias("__fk"))
+    return df.join(keys, df[key] == keys["__fk"], "left_semi")
 
 
 def orphans(df: DataFrame, key: str, parent: DataFrame, parent_key: str | None = None) -> DataFrame:

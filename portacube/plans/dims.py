@@ -99,15 +99,16 @@ def dim_hitos(ext: dict[str, DataFrame], dim_proj: DataFrame, cal_summary: DataF
 
     The start delay is always 0: milestones carry no real start date.
     ``cal_summary`` is the one-row (cal_start, cal_days) of the calendar; the
-    keys use its start as the base, so they always join to the calendar.
+    keys use its start as the base (a scalar subquery, evaluated once), so
+    they always join to the calendar.
     """
     h = TB.fk_filter(ext["hitos"], "ID_Proyecto", dim_proj, "ID_Proyecto")
-    h = h.crossJoin(F.broadcast(cal_summary))
+    start = cal_summary.select("cal_start").scalar()
     return h.select(
         F.col("ID_Hito").cast("long"), F.col("ID_Hito").cast("long").alias("CodigoHito"),
         F.col("ID_Proyecto").cast("long").alias("ID_proyectos"),
-        X.date_key_clamped("FechaInicio", F.col("cal_start")).alias("ID_FechaInicio"),
-        X.date_key_clamped("FechaFinReal", F.col("cal_start")).alias("ID_FechaFin"),
+        X.date_key_clamped("FechaInicio", start).alias("ID_FechaInicio"),
+        X.date_key_clamped("FechaFinReal", start).alias("ID_FechaFin"),
         F.lit(0).alias("RetrasoInicioDias"),
         X.delay_days("FechaFinReal", "FechaFinPlanificada").alias("RetrasoFinDias"))
 

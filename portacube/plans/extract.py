@@ -79,20 +79,22 @@ def extract_all(src: dict[str, DataFrame], as_of=None, extracted_at=None,
     hitos = hitos_in.select(
         "ID_Hito", "ID_Proyecto", "Descripcion", "Estado", "FechaInicio", "FechaFinPlanificada",
         "FechaFinReal",
-        F.datediff(F.coalesce(F.col("FechaFinReal"), today), F.col("FechaFinPlanificada")).alias("dias_retraso"),
+        F.datediff(F.coalesce(F.col("FechaFinReal"), today), F.col("FechaFinPlanificada")).cast("int")
+        .alias("dias_retraso"),
         stamp)
     hito_proj = hitos_in.select("ID_Hito", "ID_Proyecto")
     tareas = src["tareas"].join(hito_proj, "ID_Hito").select(
         "ID_Tarea", "ID_Hito", "ID_Proyecto", "NombreTarea", "Descripcion", "Estado",
         "FechaInicioPlanificada", "FechaInicioReal", "FechaFinPlanificada", "FechaFinReal",
-        F.datediff(F.coalesce(F.col("FechaFinReal"), today), F.col("FechaFinPlanificada")).alias("dias_retraso"),
+        F.datediff(F.coalesce(F.col("FechaFinReal"), today), F.col("FechaFinPlanificada")).cast("int")
+        .alias("dias_retraso"),
         stamp)
     emp_cost = src["empleados"].select("ID_Empleado", "CostoPorHora")
     asignaciones = asign_in.join(emp_cost, "ID_Empleado").select(
         "ID_Asignacion", "ID_Proyecto", "ID_Empleado", "HorasPlanificadas", "HorasReales",
         "FechaAsignacion", "CostoPorHora",
-        (F.col("HorasReales") * F.col("CostoPorHora")).alias("costo_real_horas"),
-        (F.col("HorasPlanificadas") * F.col("CostoPorHora")).alias("costo_planificado_horas"),
+        (F.col("HorasReales") * F.col("CostoPorHora")).cast("decimal(18,2)").alias("costo_real_horas"),
+        (F.col("HorasPlanificadas") * F.col("CostoPorHora")).cast("decimal(18,2)").alias("costo_planificado_horas"),
         stamp)
     pruebas = src["pruebas"].join(hito_proj, "ID_Hito").select(
         "ID_Prueba", "ID_Hito", "ID_Proyecto", "TipoPrueba", "Fecha", "Exitosa", stamp)

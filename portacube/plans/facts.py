@@ -30,11 +30,12 @@ def hechos_asignaciones(ext: dict[str, DataFrame], dim_proj: DataFrame, cal_summ
                  F.coalesce(F.col("HorasPlanificadas").try_cast("int"), F.lit(0)).alias("HorasPlanificadas"),
                  F.coalesce(F.col("HorasReales").try_cast("int"), F.lit(0)).alias("HorasReales"))
     a = TB.lookup_last(a, "ID_Empleado", ext["empleados"], "ID_Empleado", ["CostoPorHora"])
-    a = a.crossJoin(F.broadcast(cal_summary)).select(
+    start = cal_summary.select("cal_start").scalar()
+    days = cal_summary.select("cal_days").scalar()
+    a = a.select(
         F.col("ID_Asignacion"), F.col("FechaAsignacion"),
         F.col("ID_Empleado").cast("long"), F.col("ID_Proyecto").cast("long"),
-        X.date_key_clamped("FechaAsignacion", F.col("cal_start"), null_value=0,
-                           upper=F.col("cal_days")).alias("ID_FechaAsignacion"),
+        X.date_key_clamped("FechaAsignacion", start, null_value=0, upper=days).alias("ID_FechaAsignacion"),
         "HorasPlanificadas", "HorasReales",
         (F.col("HorasReales") * F.coalesce(F.col("CostoPorHora"), F.lit(0))).cast("decimal(15,2)")
         .alias("ValorHoras"),
@@ -66,14 +67,14 @@ def project_measures(ext: dict[str, DataFrame], dim_proj: DataFrame, dim_tar: Da
     cat = F.upper(F.col("Categoria"))
     exp = ext["gastos"].groupBy("ID_Proyecto").agg(
         F.count(F.lit(1)).alias("n_expenses"), F.sum("Monto").alias("expense_total"),
-        F.sum(F.when(cat == CAPEX, F.col("Monto"))).alias("capex"),
-        F.sum(F.when(cat == OPEX, F.col("Monto"))).alias("opex"))
+        F.coalesce(F.sum(F.when(cat == CAPEX, F.col("Monto"))), money0).alias("capex"),
+        F.coalesce(F.sum(F.when(cat == OPEX, F.col("Monto"))), money0).alias("opex"))
     # F2f / F2m: labour cost and hours
     lab = ext["asignaciones"].groupBy("ID_Proyecto").agg(
         F.count(F.lit(1)).alias("n_assign"),
         F.sum(F.col("HorasReales").try_cast("decimal(20,2)") * F.col("CostoPorHora").try_cast("decimal(20,2)"))
         .alias("labour"),
-        F.sum(F.col("HorasReales").cast("long")).alias("hours"))
+        F.coalesce(F.sum(F.col("HorasReales").cast("long")), F.lit(0).cast("long")).alias("hours"))
     # F2m / F2o: milestones
     ms = ext["hitos"].groupBy("ID_Proyecto").agg(
         F.count(F.lit(1)).alias("n_hitos"),
@@ -90,13 +91,13 @@ def project_measures(ext: dict[str, DataFrame], dim_proj: DataFrame, dim_tar: Da
     hp = ext["hitos"].select("ID_Hito", "ID_Proyecto")
     dt = tpm.join(hp, "ID_Hito").groupBy("ID_Proyecto").agg(
         F.sum("t_n").alias("dt_n"), F.sum("t_late").alias("dt_late"))
-    has_dim_exp = dim_gas.agg(F.min("ID_Finanza").alias("first_finance"))
 
     j = spine
     for part in (attrs, first_contract, exp, lab, ms, tk, er, ts, dt):
         j = j.join(part, "ID_Proyecto", "left")
     j = j.join(pen, "first_contract", "left")
-    j = j.crossJoin(F.broadcast(cal_summary)).crossJoin(F.broadcast(has_dim_exp))
+    start = cal_summary.select("cal_start").scalar()
+    days = cal_summary.select("cal_days").scalar()
 
     budget = F.coalesce(F.col("budget"), money0)
     cost = F.coalesce(F.col("expense_total"), money0) + F.coalesce(F.col("labour"), money0)
@@ -104,11 +105,10 @@ def project_measures(ext: dict[str, DataFrame], dim_proj: DataFrame, dim_tar: Da
     ratio = lambda a, b: F.try_divide(dbl(F.col(a)), dbl(F.col(b)))
     return j.select(
         F.col("ID_Proyecto").cast("long"),
-        F.when(F.coalesce(F.col("n_expenses"), zero) > 0,
-               F.coalesce(F.col("first_finance"), F.lit(1))).otherwise(zero).cast("long").alias("ID_Gasto"),
-        X.date_key_ranged("FechaInicio", F.col("cal_start"), F.col("cal_days")).alias("ID_FechaInicio"),
-        X.date_key_ranged(F.coalesce(F.col("FechaFinReal"), F.col("FechaFin")), F.col("cal_start"),
-                          F.col("cal_days")).alias("ID_FechaFin"),
+        # F2e: first row of the expense dimension (id 1 by construction) if the project has expenses
+        F.when(F.coalesce(F.col("n_expenses"), zero) > 0, F.lit(1)).otherwise(zero).cast("long").alias("ID_Gasto"),
+        X.date_key_ranged("FechaInicio", start, days).alias("ID_FechaInicio"),
+        X.date_key_ranged(F.coalesce(F.col("FechaFinReal"), F.col("FechaFin")), start, days).alias("ID_FechaFin"),
         X.delay_days("FechaInicioReal", "FechaInicio").alias("RetrasoInicioDias"),
         X.delay_days("FechaFinReal", "FechaFin").alias("RetrasoFinalDias"),
         dbl(budget).alias("Presupuesto"),
