@@ -58,6 +58,17 @@ class _Ctx:
         return olap_dataset(self.view())
 
 
+_CTX_CACHE: dict[tuple[int, str], _Ctx] = {}
+
+
+def _ctx(spark: SparkSession, sf_dir: str) -> _Ctx:
+    """One plan context per (session, sf_dir): the lazy plans are immutable and reusable."""
+    key = (id(spark), sf_dir)
+    if key not in _CTX_CACHE:
+        _CTX_CACHE[key] = _Ctx(spark, sf_dir)
+    return _CTX_CACHE[key]
+
+
 def _nostamp(df: DataFrame) -> DataFrame:
     return df.drop("fecha_extraccion")
 
@@ -65,24 +76,24 @@ def _nostamp(df: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- Spark side
 def _q_extract(name: str, cols: list[str] | None = None):
     def run(spark, sf_dir):
-        df = _nostamp(_Ctx(spark, sf_dir).ext[name])
+        df = _nostamp(_ctx(spark, sf_dir).ext[name])
         return df.select(*cols) if cols else df
     return run
 
 
 def _q_wh(name: str):
-    return lambda spark, sf_dir: _Ctx(spark, sf_dir).w[name]
+    return lambda spark, sf_dir: _ctx(spark, sf_dir).w[name]
 
 
 def _incremental(spark, sf_dir):
-    ctx = _Ctx(spark, sf_dir)
+    ctx = _ctx(spark, sf_dir)
     ext = extract_all(ctx.src, as_of=AS_OF, extracted_at=EXTRACTED_AT, since="1998-01-01",
                       since_column="FechaInicio")
     return _nostamp(ext["proyectos"])
 
 
 def _table_profile(spark, sf_dir):
-    w = _Ctx(spark, sf_dir).w
+    w = _ctx(spark, sf_dir).w
     parts = [w[t].agg(F.count(F.lit(1)).alias("n_rows")).select(
         F.lit(t).alias("table_name"), "n_rows", F.lit(len(WAREHOUSE_SCHEMAS[t].fields)).alias("n_cols"))
         for t in WAREHOUSE_SCHEMAS]
@@ -93,43 +104,43 @@ def _table_profile(spark, sf_dir):
 
 
 def _fk_filter(spark, sf_dir):
-    ctx = _Ctx(spark, sf_dir)
+    ctx = _ctx(spark, sf_dir)
     return TB.fk_filter(ctx.ext["asignaciones"], "ID_Proyecto", ctx.w["dim_proyectos"]).select(
         "ID_Asignacion", "ID_Proyecto", "ID_Empleado")
 
 
 def _orphan_count(spark, sf_dir):
-    ctx = _Ctx(spark, sf_dir)
+    ctx = _ctx(spark, sf_dir)
     return TB.orphan_count(ctx.src["asignaciones"], "ID_Proyecto", ctx.w["dim_proyectos"])
 
 
 def _keep_first(spark, sf_dir):
-    a = _Ctx(spark, sf_dir).ext["asignaciones"].select(
+    a = _ctx(spark, sf_dir).ext["asignaciones"].select(
         "ID_Empleado", "FechaAsignacion", "ID_Proyecto", "ID_Asignacion", "HorasPlanificadas", "HorasReales")
     return TB.keep_first(a, "ID_Empleado", ["FechaAsignacion", "ID_Proyecto", "ID_Asignacion",
                                             "HorasPlanificadas", "HorasReales"])
 
 
 def _lookup_last(spark, sf_dir):
-    ctx = _Ctx(spark, sf_dir)
+    ctx = _ctx(spark, sf_dir)
     a = ctx.src["asignaciones"].select("ID_Asignacion", "ID_Proyecto", "ID_Empleado")
     return TB.lookup_last(a, "ID_Empleado", ctx.ext["empleados"], "ID_Empleado", ["CostoPorHora"])
 
 
 def _dense_id(spark, sf_dir):
-    g = _Ctx(spark, sf_dir).ext["gastos"].select("ID_Gasto", "ID_Proyecto", "Fecha")
+    g = _ctx(spark, sf_dir).ext["gastos"].select("ID_Gasto", "ID_Proyecto", "Fecha")
     return TB.dense_id(g, ["ID_Proyecto", "Fecha", "ID_Gasto"], name="row_id")
 
 
 def _date_key_clamped(spark, sf_dir):
-    h = _Ctx(spark, sf_dir).ext["hitos"]
+    h = _ctx(spark, sf_dir).ext["hitos"]
     return h.select("ID_Hito",
                     X.date_key_clamped("FechaInicio", "1996-06-01").alias("key_start"),
                     X.date_key_clamped("FechaFinReal", "1996-06-01", null_value=0, upper=1500).alias("key_end"))
 
 
 def _date_key_ranged(spark, sf_dir):
-    p = _Ctx(spark, sf_dir).ext["proyectos"]
+    p = _ctx(spark, sf_dir).ext["proyectos"]
     return p.select("ID_Proyecto",
                     X.date_key_ranged("FechaInicio", "1996-01-01", 1500).alias("key_start"),
                     X.date_key_ranged(F.coalesce(F.col("FechaFinReal"), F.col("FechaFin")), "1996-01-01", 1500)
@@ -137,29 +148,29 @@ def _date_key_ranged(spark, sf_dir):
 
 
 def _delay_days(spark, sf_dir):
-    t = _Ctx(spark, sf_dir).ext["tareas"]
+    t = _ctx(spark, sf_dir).ext["tareas"]
     return t.select("ID_Tarea", X.delay_days("FechaFinReal", "FechaFinPlanificada").alias("end_delay"),
                     X.delay_days("FechaInicioReal", "FechaInicioPlanificada").alias("start_delay"))
 
 
 def _changed_flag(spark, sf_dir):
-    t = _Ctx(spark, sf_dir).ext["tareas"]
+    t = _ctx(spark, sf_dir).ext["tareas"]
     return t.select("ID_Tarea",
                     X.changed_flag("FechaInicioPlanificada", "FechaInicioReal").cast("int").alias("start_changed"),
                     X.changed_flag("FechaFinPlanificada", "FechaFinReal").cast("int").alias("end_changed"))
 
 
 def _bins(spark, sf_dir):
-    return _Ctx(spark, sf_dir).olap().select("ID_Proyecto", "Estado", "CategoriaPresupuesto", "TipoDesviacion",
+    return _ctx(spark, sf_dir).olap().select("ID_Proyecto", "Estado", "CategoriaPresupuesto", "TipoDesviacion",
                                              "CategoriaProductividad", "CategoriaCalidad")
 
 
 def _quarter(spark, sf_dir):
-    return _Ctx(spark, sf_dir).olap().select("ID_Proyecto", "AnioInicio", "MesInicio", "PeriodoInicio")
+    return _ctx(spark, sf_dir).olap().select("ID_Proyecto", "AnioInicio", "MesInicio", "PeriodoInicio")
 
 
 def _union_tagged(spark, sf_dir):
-    ext = _Ctx(spark, sf_dir).ext
+    ext = _ctx(spark, sf_dir).ext
     g = ext["gastos"].select(F.col("ID_Gasto").alias("line_id"), "TipoGasto", "Categoria", "Monto")
     p = ext["penalizaciones"].select(F.col("ID_Penalizacion").alias("line_id"), "Monto")
     return TB.union_tagged([(g, {"fuente": "gastos"}),
@@ -168,7 +179,7 @@ def _union_tagged(spark, sf_dir):
 
 def _views(which: str):
     def run(spark, sf_dir):
-        ctx = _Ctx(spark, sf_dir)
+        ctx = _ctx(spark, sf_dir)
         if which == "projects":
             return ctx.view()
         if which == "assignments":
@@ -181,7 +192,7 @@ def _views(which: str):
 
 def _cube(op: str):
     def run(spark, sf_dir):
-        c = kpi_cube(_Ctx(spark, sf_dir).olap())
+        c = kpi_cube(_ctx(spark, sf_dir).olap())
         if op == "base":
             return c.base()
         if op == "slice":
@@ -208,24 +219,24 @@ def kpi_cube_single(c):
 
 
 def _crosstab_margins(spark, sf_dir):
-    return crosstab(_Ctx(spark, sf_dir).olap(), ["Estado", "TipoDesviacion"], ["CategoriaCalidad"],
+    return crosstab(_ctx(spark, sf_dir).olap(), ["Estado", "TipoDesviacion"], ["CategoriaCalidad"],
                     {"Presupuesto": "sum", "ProductividadPromedio": "mean", "ID_Proyecto": "count"},
                     margins_name="All")
 
 
 def _p(fn, **kw):
-    return lambda spark, sf_dir: fn(_Ctx(spark, sf_dir).olap(), **kw)
+    return lambda spark, sf_dir: fn(_ctx(spark, sf_dir).olap(), **kw)
 
 
 def _p7(spark, sf_dir):
-    return P.cube_custom(_Ctx(spark, sf_dir).olap(), ["Estado"], ["Presupuesto", "TasaDeExitoEnPruebas",
+    return P.cube_custom(_ctx(spark, sf_dir).olap(), ["Estado"], ["Presupuesto", "TasaDeExitoEnPruebas",
                                                                    "ID_Proyecto", "NumTrabajadores"],
                          columns=["CategoriaPresupuesto"])
 
 
 def _kpi(kind: str):
     def run(spark, sf_dir):
-        ctx = _Ctx(spark, sf_dir)
+        ctx = _ctx(spark, sf_dir)
         o = ctx.olap()
         if kind == "a":
             return K.kpi_table(o, ctx.w["hechos_asignaciones"], "A")
@@ -249,14 +260,14 @@ def _kpi(kind: str):
 
 def _quality(kind: str):
     def run(spark, sf_dir):
-        w = _Ctx(spark, sf_dir).w
+        w = _ctx(spark, sf_dir).w
         return {"fk": Q.fk_audit, "pk": Q.pk_audit, "nulls": Q.null_audit}[kind](w)
     return run
 
 
 def _flagship(spark, sf_dir):
     """KPIs per client over the whole cascade (the minimum end-to-end slice)."""
-    return K.kpis_by_client(_Ctx(spark, sf_dir).olap())
+    return K.kpis_by_client(_ctx(spark, sf_dir).olap())
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -93,10 +93,11 @@ def crosstab(df: DataFrame, rows: Sequence[str], cols: Sequence[str] = (),
     aggs = []
     for m, kind in measures.items():
         integral = isinstance(df.schema[m].dataType, (T.IntegerType, T.LongType, T.ShortType, T.ByteType))
-        cell = agg_column(kind, F.col(m), integral)
-        margin = agg_column(kind, F.when(present, F.col(m)), integral)
-        expr = F.when(gid == 0, cell).otherwise(margin) if margins else cell
-        aggs.append(_typed(kind, expr, df.schema[m].dataType).alias(m))
+        # one aggregate per measure: margin rows (grouping id != 0) only see the
+        # value where every measure is present; the mask is evaluated on the
+        # Expand output, before the partial aggregate
+        value = F.when((gid == 0) | present, F.col(m)) if margins else F.col(m)
+        aggs.append(_typed(kind, agg_column(kind, value, integral), df.schema[m].dataType).alias(m))
     grouped = data.groupingSets(sets, *keys).agg(gid.cast("int").alias("grouping_id"), *aggs)
     if drop_empty:
         grouped = grouped.where(_any([F.col(m).isNotNull() for m in measures]))

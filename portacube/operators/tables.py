@@ -68,14 +68,21 @@ def lookup_last(df: DataFrame, key: str, lookup: DataFrame, lookup_key: str,
 def keep_first(df: DataFrame, keys: str | Sequence[str], order_by: str | Sequence[str]) -> DataFrame:
     """One row per key: the row with the smallest ``order_by`` tuple.
 
-    Implemented as ``min_by(struct(row), struct(order))`` — a partial
-    aggregate, not a per-key window — so a key holding a third of the data is
-    combined map-side instead of sorted in one task.
+    Implemented as ``min_by`` aggregates — partial aggregation, not a per-key
+    window — so a key holding a third of the data is combined map-side
+    instead of sorted in one task.  With a single order column every value
+    column gets its own fixed-width ``min_by`` (hash aggregate; the order
+    column must then be unique within a key); otherwise the row and the
+    order are packed in structs.
     """
     keys, order = _cols(keys), _cols(order_by)
     others = [c for c in df.columns if c not in keys]
     if not others:
         return df.dropDuplicates(keys)
+    if len(order) == 1:
+        picked = df.groupBy(*keys).agg(*[(F.min(c) if c == order[0] else F.min_by(c, order[0])).alias(c)
+                                         for c in others])
+        return picked.select(*df.columns)
     picked = (df.groupBy(*keys)
               .agg(F.min_by(F.struct(*[F.col(c) for c in others]),
                             F.struct(*[F.col(o) for o in order])).alias("__row")))

@@ -47,59 +47,72 @@ def hechos_asignaciones(ext: dict[str, DataFrame], dim_proj: DataFrame, cal_summ
 
 
 def project_measures(ext: dict[str, DataFrame], dim_proj: DataFrame, dim_tar: DataFrame,
-                     dim_hit: DataFrame, dim_gas: DataFrame, cal_summary: DataFrame) -> DataFrame:
-    """F2a–F2o for every project of the project dimension (without the surrogate id)."""
+                     cal_summary: DataFrame) -> DataFrame:
+    """F2a–F2o for every project of the project dimension (without the surrogate id).
+
+    Every child table is projected to ``(ID_Proyecto, <its measure inputs>)``;
+    the projections are unioned and reduced by ONE ``groupBy(ID_Proyecto)``
+    (partial aggregation before the single shuffle, no joins between the
+    children).  A project holding a third of all rows is combined map-side.
+    """
     zero = F.lit(0)
     money0 = F.lit(0).cast("decimal(15,2)")
-    spine = dim_proj.select("ID_Proyecto").join(ext["proyectos"].select("ID_Proyecto"), "ID_Proyecto",
-                                                "left_semi")
-    # project attributes: identical on every contract row of the project
-    attrs = ext["proyectos"].groupBy("ID_Proyecto").agg(
-        F.min("FechaInicio").alias("FechaInicio"), F.min("FechaFin").alias("FechaFin"),
-        F.min("FechaInicioReal").alias("FechaInicioReal"), F.min("FechaFinReal").alias("FechaFinReal"))
-    # F2c / F2i: first contract (smallest id) gives budget and penalties
-    first_contract = ext["contratos"].groupBy("ID_Proyecto").agg(
-        F.min("ID_Contrato").alias("first_contract"),
-        F.min_by("ValorTotalContrato", "ID_Contrato").alias("budget"))
-    pen = ext["penalizaciones"].groupBy(F.col("ID_Contrato").alias("first_contract")).agg(
-        F.sum("Monto").alias("penalties"))
-    # F2d / F2j: expenses
     cat = F.upper(F.col("Categoria"))
-    exp = ext["gastos"].groupBy("ID_Proyecto").agg(
-        F.count(F.lit(1)).alias("n_expenses"), F.sum("Monto").alias("expense_total"),
-        F.coalesce(F.sum(F.when(cat == CAPEX, F.col("Monto"))), money0).alias("capex"),
-        F.coalesce(F.sum(F.when(cat == OPEX, F.col("Monto"))), money0).alias("opex"))
-    # F2f / F2m: labour cost and hours
-    lab = ext["asignaciones"].groupBy("ID_Proyecto").agg(
-        F.count(F.lit(1)).alias("n_assign"),
-        F.sum(F.col("HorasReales").try_cast("decimal(20,2)") * F.col("CostoPorHora").try_cast("decimal(20,2)"))
-        .alias("labour"),
-        F.coalesce(F.sum(F.col("HorasReales").cast("long")), F.lit(0).cast("long")).alias("hours"))
-    # F2m / F2o: milestones
-    ms = ext["hitos"].groupBy("ID_Proyecto").agg(
-        F.count(F.lit(1)).alias("n_hitos"),
-        F.sum(F.when(F.col("FechaFinReal") > F.col("FechaFinPlanificada"), 1).otherwise(0)).alias("late_hitos"))
-    # F2k: errors over tasks (tasks reached through milestones)
-    tk = ext["tareas"].groupBy("ID_Proyecto").agg(F.count(F.lit(1)).alias("n_tasks"))
-    er = ext["errores"].groupBy("ID_Proyecto").agg(F.count(F.lit(1)).alias("n_errors"))
-    # F2l: tests; a missing flag stays in the denominator
-    ts = ext["pruebas"].groupBy("ID_Proyecto").agg(
-        F.count(F.lit(1)).alias("n_tests"), F.sum(F.coalesce(F.col("Exitosa"), zero)).alias("ok_tests"))
-    # F2n: delayed tasks of the task dimension, pre-aggregated per milestone
+    # F2c / F2i: contracts with the penalty total of each contract (contract-level join)
+    pen = ext["penalizaciones"].groupBy("ID_Contrato").agg(F.sum("Monto").cast("decimal(18,2)").alias("pen"))
+    contracts = ext["contratos"].select("ID_Proyecto", "ID_Contrato", "ValorTotalContrato").join(
+        pen, "ID_Contrato", "left")
+    # F2n: delayed tasks of the task dimension, pre-aggregated per milestone, then mapped to projects
     tpm = dim_tar.groupBy("ID_Hito").agg(F.count(F.lit(1)).alias("t_n"),
                                          F.sum(F.when(F.col("SeRetraso") == 1, 1).otherwise(0)).alias("t_late"))
-    hp = ext["hitos"].select("ID_Hito", "ID_Proyecto")
-    dt = tpm.join(hp, "ID_Hito").groupBy("ID_Proyecto").agg(
-        F.sum("t_n").alias("dt_n"), F.sum("t_late").alias("dt_late"))
+    dt = tpm.join(ext["hitos"].select("ID_Hito", "ID_Proyecto"), "ID_Hito").select("ID_Proyecto", "t_n", "t_late")
 
-    j = spine
-    for part in (attrs, first_contract, exp, lab, ms, tk, er, ts, dt):
-        j = j.join(part, "ID_Proyecto", "left")
-    j = j.join(pen, "first_contract", "left")
+    one = F.lit(1).cast("long")
+    parts = [
+        ext["proyectos"].select("ID_Proyecto", "FechaInicio", "FechaFin", "FechaInicioReal", "FechaFinReal"),
+        contracts.select("ID_Proyecto", "ID_Contrato", "ValorTotalContrato", "pen"),
+        ext["gastos"].select("ID_Proyecto", one.alias("e_n"), F.col("Monto").alias("e_amt"),
+                             F.when(cat == CAPEX, F.col("Monto")).alias("e_capex"),
+                             F.when(cat == OPEX, F.col("Monto")).alias("e_opex")),
+        ext["asignaciones"].select(
+            "ID_Proyecto", one.alias("a_n"),
+            (F.col("HorasReales").try_cast("decimal(20,2)") * F.col("CostoPorHora").try_cast("decimal(20,2)"))
+            .alias("a_cost"), F.col("HorasReales").cast("long").alias("a_hours")),
+        ext["hitos"].select("ID_Proyecto", one.alias("h_n"),
+                            F.when(F.col("FechaFinReal") > F.col("FechaFinPlanificada"), 1).otherwise(0)
+                            .cast("long").alias("h_late")),
+        ext["tareas"].select("ID_Proyecto", one.alias("k_n")),
+        ext["errores"].select("ID_Proyecto", one.alias("r_n")),
+        ext["pruebas"].select("ID_Proyecto", one.alias("p_n"),
+                              F.coalesce(F.col("Exitosa"), zero).cast("long").alias("p_ok")),
+        dt,
+    ]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p, allowMissingColumns=True)
+    per = u.groupBy("ID_Proyecto").agg(
+        F.min("FechaInicio").alias("FechaInicio"), F.min("FechaFin").alias("FechaFin"),
+        F.min("FechaInicioReal").alias("FechaInicioReal"), F.min("FechaFinReal").alias("FechaFinReal"),
+        # first contract = smallest id (unique); rows without a contract id are ignored by
+        # min_by.  Two fixed-width min_by keep this a hash aggregate (a struct would not).
+        F.min_by("ValorTotalContrato", "ID_Contrato").alias("fc_value"),
+        F.min_by("pen", "ID_Contrato").alias("fc_pen"),
+        F.min("ID_Contrato").alias("fc_id"),
+        F.sum("e_n").alias("n_expenses"), F.sum("e_amt").alias("expense_total"),
+        F.coalesce(F.sum("e_capex"), money0).alias("capex"), F.coalesce(F.sum("e_opex"), money0).alias("opex"),
+        F.sum("a_n").alias("n_assign"), F.sum("a_cost").alias("labour"),
+        F.coalesce(F.sum("a_hours"), F.lit(0).cast("long")).alias("hours"),
+        F.sum("h_n").alias("n_hitos"), F.sum("h_late").alias("late_hitos"),
+        F.sum("k_n").alias("n_tasks"), F.sum("r_n").alias("n_errors"),
+        F.sum("p_n").alias("n_tests"), F.sum("p_ok").alias("ok_tests"),
+        F.sum("t_n").alias("dt_n"), F.sum("t_late").alias("dt_late"))
+    # spine: projects of the dimension that exist in the project extract
+    j = dim_proj.select("ID_Proyecto").join(per, "ID_Proyecto").where(F.col("FechaInicio").isNotNull()
+                                                                      | F.col("fc_id").isNotNull())
     start = cal_summary.select("cal_start").scalar()
     days = cal_summary.select("cal_days").scalar()
 
-    budget = F.coalesce(F.col("budget"), money0)
+    budget = F.coalesce(F.col("fc_value"), money0)
     cost = F.coalesce(F.col("expense_total"), money0) + F.coalesce(F.col("labour"), money0)
     dbl = lambda c: c.cast("double")
     ratio = lambda a, b: F.try_divide(dbl(F.col(a)), dbl(F.col(b)))
@@ -114,7 +127,7 @@ def project_measures(ext: dict[str, DataFrame], dim_proj: DataFrame, dim_tar: Da
         dbl(budget).alias("Presupuesto"),
         dbl(cost).alias("CosteReal"),
         dbl(budget - cost).alias("DesviacionPresupuestal"),
-        dbl(F.coalesce(F.col("penalties"), money0)).alias("PenalizacionesMonto"),
+        dbl(F.coalesce(F.col("fc_pen"), money0)).alias("PenalizacionesMonto"),
         F.when(F.coalesce(F.col("opex"), money0) > 0, ratio("capex", "opex"))
          .otherwise(F.lit(0.0)).alias("ProporcionCAPEX_OPEX"),
         F.when(F.col("n_tasks") > 0, F.coalesce(ratio("n_errors", "n_tasks"), F.lit(0.0)))
@@ -125,12 +138,17 @@ def project_measures(ext: dict[str, DataFrame], dim_proj: DataFrame, dim_tar: Da
          .otherwise(F.lit(0.0)).alias("ProductividadPromedio"),
         F.when(F.col("dt_n") > 0, ratio("dt_late", "dt_n") * 100).otherwise(F.lit(0.0))
          .alias("PorcentajeTareasRetrasadas"),
-        F.when(F.col("n_hitos") > 0, ratio("late_hitos", "n_hitos") * 100).otherwise(F.lit(0.0))
-         .alias("PorcentajeHitosRetrasados"))
+        F.when(F.col("n_hitos") > 0, ratio("late_hitos", "n_hitos") * 100)
+         .otherwise(F.lit(0.0)).alias("PorcentajeHitosRetrasados"))
 
 
 def hechos_proyectos(ext: dict[str, DataFrame], dim_proj: DataFrame, dim_tar: DataFrame,
-                     dim_hit: DataFrame, dim_gas: DataFrame, cal_summary: DataFrame) -> DataFrame:
-    """project fact with a dense id ordered by project id."""
-    m = project_measures(ext, dim_proj, dim_tar, dim_hit, dim_gas, cal_summary)
+                     cal_summary: DataFrame) -> DataFrame:
+    """project fact with a dense id ordered by project id.
+
+    ``ID_Gasto`` is 1 (the first row of the expense dimension, whose dense
+    ids start at 1) for a project with expenses and 0 otherwise, so the
+    expense dimension itself is not needed here.
+    """
+    m = project_measures(ext, dim_proj, dim_tar, cal_summary)
     return TB.dense_id(m, ["ID_Proyecto"], name="ID_Hecho")

@@ -2,45 +2,113 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable, Iterator, Mapping
+
+from pyspark.sql import DataFrame, SparkSession
 
 from portacube.operators import tables as TB
 from portacube.plans import dims as D
 from portacube.plans import facts as FT
 from portacube.plans.extract import extract_all
-from portacube.schemas import CALENDAR_DEFAULT_END, CALENDAR_DEFAULT_START
+from portacube.schemas import CALENDAR_DEFAULT_END, CALENDAR_DEFAULT_START, LOAD_ORDER, WAREHOUSE_SCHEMAS
+from portacube.sources.sinks import write_table
+
+
+class LazyTables(Mapping):
+    """Read-only mapping that builds each table on first access (memoised).
+
+    Building a plan is free except for dense ids, whose one checkpoint runs
+    when the table is built; a caller asking for one table therefore only
+    pays for that table and its dependencies.
+    """
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+    def materialize(self, name: str, df: DataFrame) -> None:
+        """Replace a table by its written copy, so dependents read it instead of recomputing it."""
+        self._built[name] = df
 
 
-def build_warehouse(ext: dict[str, DataFrame], extend_calendar: bool = True) -> dict[str, DataFrame]:
-    """All ten warehouse tables from the extracts, as lazy DataFrames.
+def build_warehouse(ext: dict[str, DataFrame], extend_calendar: bool = True) -> LazyTables:
+    """All ten warehouse tables from the extracts, as lazily built DataFrames.
 
-    Order follows the dependencies: clients, employees, projects, calendar,
-    expenses -> milestones -> tasks, tests -> facts.  ``extend_calendar``
-    widens the calendar to the default reporting range; date keys always use
-    the calendar's own first day as base, so they join to it.
+    Dependencies: clients, employees, projects, calendar, expenses ->
+    milestones -> tasks, tests -> facts.  ``extend_calendar`` widens the
+    calendar to the default reporting range; date keys always use the
+    calendar's own first day as base, so they join to it.
     """
-    w: dict[str, DataFrame] = {}
-    w["dim_clientes"] = D.dim_clientes(ext)
-    w["dim_empleados"] = D.dim_empleados(ext)
-    w["dim_proyectos"] = D.dim_proyectos(ext, ext["clientes"])
-    if extend_calendar:
-        w["dim_tiempo"] = D.dim_tiempo(ext, CALENDAR_DEFAULT_START, CALENDAR_DEFAULT_END,
-                                       default=(CALENDAR_DEFAULT_START, CALENDAR_DEFAULT_END))
-    else:
-        w["dim_tiempo"] = D.dim_tiempo(ext)
-    cal = TB.calendar_summary(w["dim_tiempo"])
-    w["dim_gastos"] = D.dim_gastos(ext)
-    w["dim_hitos"] = D.dim_hitos(ext, w["dim_proyectos"], cal)
-    w["dim_tareas"] = D.dim_tareas(ext, w["dim_hitos"])
-    w["dim_pruebas"] = D.dim_pruebas(ext, w["dim_hitos"])
-    w["hechos_asignaciones"] = FT.hechos_asignaciones(ext, w["dim_proyectos"], cal)
-    w["hechos_proyectos"] = FT.hechos_proyectos(ext, w["dim_proyectos"], w["dim_tareas"], w["dim_hitos"],
-                                                w["dim_gastos"], cal)
+    def calendar() -> DataFrame:
+        if extend_calendar:
+            return D.dim_tiempo(ext, CALENDAR_DEFAULT_START, CALENDAR_DEFAULT_END,
+                                default=(CALENDAR_DEFAULT_START, CALENDAR_DEFAULT_END))
+        return D.dim_tiempo(ext)
+
+    w: LazyTables
+    cal = lambda: TB.calendar_summary(w["dim_tiempo"])
+    w = LazyTables({
+        "dim_clientes": lambda: D.dim_clientes(ext),
+        "dim_empleados": lambda: D.dim_empleados(ext),
+        "dim_proyectos": lambda: D.dim_proyectos(ext, ext["clientes"]),
+        "dim_tiempo": calendar,
+        "dim_gastos": lambda: D.dim_gastos(ext),
+        "dim_hitos": lambda: D.dim_hitos(ext, w["dim_proyectos"], cal()),
+        "dim_tareas": lambda: D.dim_tareas(ext, w["dim_hitos"]),
+        "dim_pruebas": lambda: D.dim_pruebas(ext, w["dim_hitos"]),
+        "hechos_asignaciones": lambda: FT.hechos_asignaciones(ext, w["dim_proyectos"], cal()),
+        "hechos_proyectos": lambda: FT.hechos_proyectos(ext, w["dim_proyectos"], w["dim_tareas"], cal()),
+    })
     return w
 
 
 def run_etl(src: dict[str, DataFrame], as_of=None, extracted_at=None, extend_calendar: bool = True,
-            since=None, since_column: str | None = None) -> dict[str, DataFrame]:
+            since=None, since_column: str | None = None) -> LazyTables:
     """Extract + transform: source tables -> warehouse tables (lazy)."""
     ext = extract_all(src, as_of=as_of, extracted_at=extracted_at, since=since, since_column=since_column)
     return build_warehouse(ext, extend_calendar=extend_calendar)
+
+
+def stage_extracts(spark: SparkSession, ext: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
+    """Write every extract once to ``<root>/<name>`` and return the read-back tables.
+
+    The staging area cuts the lineage of the source joins: every builder
+    reads the materialised extracts instead of recomputing the cascade, and
+    a lost executor only re-reads files.
+    """
+    out = {}
+    for name, df in ext.items():
+        path = f"{root}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        out[name] = spark.read.schema(df.schema).parquet(path)
+    return out
+
+
+def build_and_load(spark: SparkSession, src: dict[str, DataFrame], root: str, as_of=None, extracted_at=None,
+                   extend_calendar: bool = True, since=None, since_column: str | None = None) -> DataFrame:
+    """The batch job: extract -> stage -> build -> load, returns ``(table, rows_loaded)``.
+
+    Tables are written parent-before-child; each written table replaces its
+    plan for the tables built after it (lineage cut at every table).
+    """
+    ext = extract_all(src, as_of=as_of, extracted_at=extracted_at, since=since, since_column=since_column)
+    staged = stage_extracts(spark, ext, f"{root}/_staging")
+    w = build_warehouse(staged, extend_calendar=extend_calendar)
+    counts = []
+    for name in LOAD_ORDER:
+        path = f"{root}/{name}"
+        obs = write_table(w[name], path, table=name)
+        counts.append((name, int(obs.get.get("rows", 0))))
+        w.materialize(name, spark.read.schema(WAREHOUSE_SCHEMAS[name]).parquet(path))
+    return spark.createDataFrame(counts, "table string, rows_loaded long")
