@@ -46,7 +46,10 @@ def crosstab_sql(src: str, rows, cols, measures: dict, fill=None, label="All") -
     for m, kind in measures.items():
         t = _cast(kind, m in INTEGRAL)
         integral = m in INTEGRAL
-        aggs.append(f"CAST(CASE WHEN {g} = 0 THEN {_agg(kind, m, integral)} ELSE "
+        cell = _agg(kind, m, integral)
+        if kind == "sum":
+            cell = f"COALESCE({cell}, 0)"
+        aggs.append(f"CAST(CASE WHEN {g} = 0 THEN {cell} ELSE "
                     f"{_agg(kind, f'CASE WHEN {present} THEN {m} END', integral)}"
                     f" END AS {t}) AS {m}")
     n = len(keys)

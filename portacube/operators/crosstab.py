@@ -12,8 +12,10 @@ Semantics follow the classic spreadsheet pivot table:
 * rows whose row or column key is missing are ignored everywhere;
 * cells aggregate every remaining row, margins only rows in which *all*
   used measures are present;
-* a cell whose measures are all missing is dropped, then ``fill_value``
-  replaces missing values.
+* a cell's sum over only missing values is 0, its mean is missing; a
+  margin with no complete row is missing;
+* a cell or margin whose measures are all missing is dropped, then
+  ``fill_value`` replaces missing values.
 """
 
 from __future__ import annotations
@@ -97,7 +99,12 @@ def crosstab(df: DataFrame, rows: Sequence[str], cols: Sequence[str] = (),
         # value where every measure is present; the mask is evaluated on the
         # Expand output, before the partial aggregate
         value = F.when((gid == 0) | present, F.col(m)) if margins else F.col(m)
-        aggs.append(_typed(kind, agg_column(kind, value, integral), df.schema[m].dataType).alias(m))
+        expr = agg_column(kind, value, integral)
+        if kind == "sum":
+            # a cell whose values are all missing sums to 0; a margin without
+            # any complete row stays missing
+            expr = F.when(gid == 0, F.coalesce(expr, F.lit(0))).otherwise(expr)
+        aggs.append(_typed(kind, expr, df.schema[m].dataType).alias(m))
     grouped = data.groupingSets(sets, *keys).agg(gid.cast("int").alias("grouping_id"), *aggs)
     if drop_empty:
         grouped = grouped.where(_any([F.col(m).isNotNull() for m in measures]))
