@@ -94,13 +94,21 @@ def _incremental(spark, sf_dir):
 
 def _table_profile(spark, sf_dir):
     w = _ctx(spark, sf_dir).w
-    parts = [w[t].agg(F.count(F.lit(1)).alias("n_rows")).select(
-        F.lit(t).alias("table_name"), "n_rows", F.lit(len(WAREHOUSE_SCHEMAS[t].fields)).alias("n_cols"))
-        for t in WAREHOUSE_SCHEMAS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return Q.table_profile({t: w[t] for t in WAREHOUSE_SCHEMAS})
+
+
+def _profile_headlines(spark, sf_dir):
+    return Q.profile_headlines(_ctx(spark, sf_dir).olap())
+
+
+def _crosstab_dense(spark, sf_dir):
+    from portacube.operators.crosstab import densify
+    from portacube.schemas import BUDGET_BINS, PRODUCTIVITY_BINS
+    meas = {"ID_Proyecto": "count", "Presupuesto": "sum"}
+    long = crosstab(_ctx(spark, sf_dir).olap(), ["CategoriaPresupuesto"], ["CategoriaProductividad"], meas,
+                    fill_value=0, margins_name="TOTAL")
+    return densify(long, ["CategoriaPresupuesto"], ["CategoriaProductividad"],
+                   {"CategoriaPresupuesto": BUDGET_BINS[1], "CategoriaProductividad": PRODUCTIVITY_BINS[1]}, meas)
 
 
 def _fk_filter(spark, sf_dir):
@@ -209,6 +217,8 @@ def _cube(op: str):
             return c.pivot(["Estado"], ["CategoriaPresupuesto"], "Presupuesto", "mean")
         if op == "info":
             return c.info()
+        if op == "preview":
+            return c.preview(20)
         raise ValueError(op)
     return run
 
@@ -285,6 +295,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "extract_penalties": _q_extract("penalizaciones"),
         "incremental_filter": _incremental,
         "table_profile": _table_profile,
+        "profile_headlines": _profile_headlines,
         "fk_filter": _fk_filter,
         "orphan_count": _orphan_count,
         "keep_first": _keep_first,
@@ -320,6 +331,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cube_pivot": _cube("pivot"),
         "cube_info": _cube("info"),
         "crosstab_margins": _crosstab_margins,
+        "crosstab_dense": _crosstab_dense,
+        "cube_preview": _cube("preview"),
         "cubes_p1": _p(P.cube_base),
         "cubes_p2": _p(P.cube_productivity_quality),
         "cubes_p3": _p(P.cube_financial),

@@ -89,11 +89,15 @@ KPI_MEAS = ["Presupuesto", "CosteReal", "DesviacionPresupuestal", "Productividad
             "PorcentajeTareasRetrasadas", "PorcentajeHitosRetrasados", "TasaDeErroresEncontrados", "PenalizacionesMonto"]
 
 
-def _group(src: str, dims, measures=KPI_MEAS) -> str:
+def _group_select(src: str, dims, measures=KPI_MEAS) -> str:
     if not dims:
-        return q(f"SELECT {_measure_aggs(measures, True)} FROM {src}")
+        return f"SELECT {_measure_aggs(measures, True)} FROM {src}"
     d = ", ".join(dims)
-    return q(f"SELECT {d}, {_measure_aggs(measures)} FROM {src} WHERE {_nn(dims)} GROUP BY {d}")
+    return f"SELECT {d}, {_measure_aggs(measures)} FROM {src} WHERE {_nn(dims)} GROUP BY {d}"
+
+
+def _group(src: str, dims, measures=KPI_MEAS) -> str:
+    return q(_group_select(src, dims, measures))
 
 
 def _safe(a: str, b: str) -> str:
@@ -231,6 +235,10 @@ ORACLE: dict[str, str] = {
     "incremental_filter": q("SELECT * FROM x_proyectos WHERE FechaInicio > DATE '1998-01-01'"),
     "table_profile": q(" UNION ALL ".join(
         f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows, {n} AS n_cols FROM {t}" for t, n in WH_TABLES.items())),
+    "profile_headlines": q(f"SELECT {_esum('Presupuesto')} AS presupuesto_total, {_esum('CosteReal')} AS costo_total, "
+                           f"{_emean('DesviacionPresupuestal')} AS desviacion_promedio, "
+                           f"{_emean('ProductividadPromedio')} AS productividad_promedio, "
+                           f"{_emean('TasaDeExitoEnPruebas')} AS exito_promedio FROM olap"),
     "fk_filter": q("SELECT ID_Asignacion, ID_Proyecto, ID_Empleado FROM x_asignaciones "
                    "WHERE ID_Proyecto IN (SELECT ID_Proyecto FROM dim_proyectos)"),
     "orphan_count": q("SELECT COUNT(*) AS orphans FROM s_asignaciones WHERE ID_Proyecto IS NOT NULL AND "
@@ -304,6 +312,20 @@ ORACLE: dict[str, str] = {
         f"COUNT(DISTINCT {d}) AS distintos_{d}" for d in KPI_DIMS) + " FROM olap"),
     "crosstab_margins": _crosstab("SELECT * FROM olap", ["Estado", "TipoDesviacion"], ["CategoriaCalidad"],
                                   {"Presupuesto": "sum", "ProductividadPromedio": "mean", "ID_Proyecto": "count"}),
+    "crosstab_dense": _with(
+        "__src AS (SELECT * FROM olap), __ct AS (" + crosstab_sql("__src", ["CategoriaPresupuesto"],
+                                                                 ["CategoriaProductividad"],
+                                                                 {"ID_Proyecto": "count", "Presupuesto": "sum"},
+                                                                 0, "TOTAL") + ")",
+        "SELECT s.CategoriaPresupuesto, s.CategoriaProductividad, 0 AS grouping_id, "
+        "CAST(COALESCE(c.ID_Proyecto, 0) AS BIGINT) AS ID_Proyecto, CAST(COALESCE(c.Presupuesto, 0) AS DOUBLE) AS Presupuesto "
+        "FROM (SELECT * FROM (VALUES ('Pequeño'), ('Mediano'), ('Grande'), ('Mega')) a(CategoriaPresupuesto) "
+        "CROSS JOIN (VALUES ('Baja'), ('Media'), ('Alta'), ('Muy Alta')) b(CategoriaProductividad)) s "
+        "LEFT JOIN (SELECT * FROM __ct WHERE grouping_id = 0) c ON s.CategoriaPresupuesto = c.CategoriaPresupuesto "
+        "AND s.CategoriaProductividad = c.CategoriaProductividad "
+        "UNION ALL SELECT * FROM __ct WHERE grouping_id <> 0"),
+    "cube_preview": q("SELECT * FROM (" + _group_select("olap", KPI_DIMS) + ") ORDER BY "
+                      + ", ".join(f"{d} NULLS FIRST" for d in KPI_DIMS) + " LIMIT 20"),
     "cubes_p1": _crosstab("SELECT * FROM olap", ["CodigoClienteReal", "Estado"], ["PeriodoInicio"],
                           {"Presupuesto": "sum", "CosteReal": "sum", "ProductividadPromedio": "mean"}, label="TOTAL"),
     "cubes_p2": _crosstab("SELECT * FROM olap", ["CategoriaProductividad", "CategoriaCalidad"], ["Estado"],

@@ -134,6 +134,10 @@ class Cube:
         return crosstab(self.data, rows, cols, {measure: aggregation}, fill_value=0,
                         margins_name=MARGIN_TOTAL)
 
+    def preview(self, n: int = 20) -> DataFrame:
+        """M6: the first ``n`` rows of the base cube in dimension order (a top-n, by design)."""
+        return self.base().orderBy(*self.dimensions).limit(n)
+
     def info(self) -> DataFrame:
         """One row — record count and distinct values per dimension (missing excluded)."""
         return self.data.agg(F.count(F.lit(1)).alias("num_registros"),

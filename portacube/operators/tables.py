@@ -10,6 +10,7 @@ All of them are lazy DataFrame compositions.  Two design rules hold throughout:
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -90,21 +91,43 @@ def keep_first(df: DataFrame, keys: str | Sequence[str], order_by: str | Sequenc
                            for c in df.columns])
 
 
+MATERIALIZE_CONF = "portacube.materialize.dir"
+
+
+def _materialize(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` once and return its read-back (lineage cut, no recomputation).
+
+    Target: ``<portacube.materialize.dir>/<tag>-<uuid>`` when the session sets
+    that directory (the batch job points it at its staging area on the
+    shared file system), else a reliable checkpoint in ``spark.checkpoint.dir``.
+    """
+    spark = df.sparkSession
+    root = spark.conf.get(MATERIALIZE_CONF, None)
+    if not root:
+        ensure_checkpoint_dir(spark)
+        return df.checkpoint(eager=True)
+    path = f"{root}/{tag}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def dense_id(df: DataFrame, order_by: Sequence[str | Column], name: str = "id",
              first: bool = True) -> DataFrame:
     """Sequential surrogate key 1..n in ``order_by`` order.
 
-    Scalable and deterministic: a global range-partitioned sort, a
-    per-partition running index (``monotonically_increasing_id``), one
-    reliable checkpoint so the partition layout is fixed across executor loss
-    and recomputation, then per-partition offsets (one row per partition,
-    broadcast) are added.  ``order_by`` must be a total order for the result
-    to be fully repeatable (end it with the natural key).
+    Scalable and deterministic: the input is materialised once, then a global
+    range-partitioned sort (a hot leading key is split across partitions by
+    the remaining sort columns) stamps every row with its sort partition and
+    position (``monotonically_increasing_id``); that stamped copy is
+    materialised too, so the layout is fixed across executor loss and
+    recomputation.  Per-partition offsets (one row per partition, broadcast)
+    turn positions into ids.  ``order_by`` must be a total order for the
+    result to be fully repeatable (end it with the natural key).
     """
-    ensure_checkpoint_dir(df.sparkSession)
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    sorted_df = df.orderBy(*order).withColumn("__mid", F.monotonically_increasing_id())
-    fixed = sorted_df.checkpoint(eager=True)
+    staged = _materialize(df, "dense-in") if df.sparkSession.conf.get(MATERIALIZE_CONF, None) else df
+    fixed = _materialize(staged.orderBy(*order).withColumn("__mid", F.monotonically_increasing_id()),
+                         "dense-sorted")
     with_pid = (fixed.withColumn("__pid", F.shiftright(F.col("__mid"), 33))
                 .withColumn("__pos", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))))
     sizes = with_pid.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))

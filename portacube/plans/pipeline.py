@@ -104,6 +104,18 @@ def build_and_load(spark: SparkSession, src: dict[str, DataFrame], root: str, as
     """
     ext = extract_all(src, as_of=as_of, extracted_at=extracted_at, since=since, since_column=since_column)
     staged = stage_extracts(spark, ext, f"{root}/_staging")
+    previous = spark.conf.get(TB.MATERIALIZE_CONF, None)
+    spark.conf.set(TB.MATERIALIZE_CONF, f"{root}/_staging/_materialized")
+    try:
+        return _load(spark, staged, root, extend_calendar)
+    finally:
+        if previous:
+            spark.conf.set(TB.MATERIALIZE_CONF, previous)
+        else:
+            spark.conf.unset(TB.MATERIALIZE_CONF)
+
+
+def _load(spark: SparkSession, staged: dict[str, DataFrame], root: str, extend_calendar: bool) -> DataFrame:
     w = build_warehouse(staged, extend_calendar=extend_calendar)
     counts = []
     for name in LOAD_ORDER:
