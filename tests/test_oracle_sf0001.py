@@ -7,7 +7,8 @@ import pytest
 SF = "/root/testdata/sf0.001"
 DEFAULT = ["extract_projects_left", "extract_tasks", "dim_projects", "dim_expenses", "fact_assignments",
            "fact_projects", "view_milestone_tasks", "olap_dataset", "cube_rollup", "cubes_p1", "cubes_p8",
-           "kpi_table_a", "kpi_by_client", "quality_fk", "keep_first", "dense_id"]
+           "kpi_table_a", "kpi_by_client", "quality_fk", "keep_first", "dense_id", "crosstab_dense",
+           "cube_preview", "profile_headlines"]
 
 
 def _names():
