@@ -50,3 +50,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="portacube-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
+
+
+def cluster_conf(executors: int = 1000, cores_per_executor: int = 8) -> dict[str, str]:
+    """Settings for a large cluster (hundreds of TB of input).
+
+    Many initial shuffle partitions (3 per core) that AQE coalesces to the
+    advisory size, 256 MiB scan splits, skew-join splitting of partitions
+    5x larger than the median, and a bounded broadcast threshold so only
+    measured-small sides are broadcast.  ``spark.checkpoint.dir`` must point
+    at the shared file system; it is not set here.
+    """
+    cores = executors * cores_per_executor
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+        "spark.sql.shuffle.partitions": str(3 * cores),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.ansi.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.parquet.compression.codec": "zstd",
+    }
