@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -80,34 +81,53 @@ def run_etl(src: dict[str, DataFrame], as_of=None, extracted_at=None, extend_cal
     return build_warehouse(ext, extend_calendar=extend_calendar)
 
 
-def stage_extracts(spark: SparkSession, ext: dict[str, DataFrame], root: str) -> dict[str, DataFrame]:
+# Parent-before-child load levels; tables inside one level do not depend on each other.
+LOAD_LEVELS = [
+    ["dim_clientes", "dim_empleados", "dim_proyectos", "dim_tiempo", "dim_gastos"],
+    ["dim_hitos", "hechos_asignaciones"],
+    ["dim_tareas", "dim_pruebas"],
+    ["hechos_proyectos"],
+]
+
+
+def _run_all(fns: list[Callable[[], object]], parallel_jobs: int) -> list:
+    """Run independent Spark actions from a small thread pool (concurrent jobs)."""
+    if parallel_jobs <= 1 or len(fns) <= 1:
+        return [f() for f in fns]
+    with ThreadPoolExecutor(max_workers=min(parallel_jobs, len(fns))) as pool:
+        return [f.result() for f in [pool.submit(fn) for fn in fns]]
+
+
+def stage_extracts(spark: SparkSession, ext: dict[str, DataFrame], root: str,
+                   parallel_jobs: int = 8) -> dict[str, DataFrame]:
     """Write every extract once to ``<root>/<name>`` and return the read-back tables.
 
     The staging area cuts the lineage of the source joins: every builder
     reads the materialised extracts instead of recomputing the cascade, and
-    a lost executor only re-reads files.
+    a lost executor only re-reads files.  The writes are independent jobs and
+    are submitted concurrently.
     """
-    out = {}
-    for name, df in ext.items():
-        path = f"{root}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        out[name] = spark.read.schema(df.schema).parquet(path)
-    return out
+    def write(name: str, df: DataFrame) -> Callable[[], None]:
+        return lambda: df.write.mode("overwrite").parquet(f"{root}/{name}")
+
+    _run_all([write(n, df) for n, df in ext.items()], parallel_jobs)
+    return {name: spark.read.schema(df.schema).parquet(f"{root}/{name}") for name, df in ext.items()}
 
 
 def build_and_load(spark: SparkSession, src: dict[str, DataFrame], root: str, as_of=None, extracted_at=None,
-                   extend_calendar: bool = True, since=None, since_column: str | None = None) -> DataFrame:
+                   extend_calendar: bool = True, since=None, since_column: str | None = None,
+                   parallel_jobs: int = 8) -> DataFrame:
     """The batch job: extract -> stage -> build -> load, returns ``(table, rows_loaded)``.
 
     Tables are written parent-before-child; each written table replaces its
     plan for the tables built after it (lineage cut at every table).
     """
     ext = extract_all(src, as_of=as_of, extracted_at=extracted_at, since=since, since_column=since_column)
-    staged = stage_extracts(spark, ext, f"{root}/_staging")
+    staged = stage_extracts(spark, ext, f"{root}/_staging", parallel_jobs)
     previous = spark.conf.get(TB.MATERIALIZE_CONF, None)
     spark.conf.set(TB.MATERIALIZE_CONF, f"{root}/_staging/_materialized")
     try:
-        return _load(spark, staged, root, extend_calendar)
+        return _load(spark, staged, root, extend_calendar, parallel_jobs)
     finally:
         if previous:
             spark.conf.set(TB.MATERIALIZE_CONF, previous)
@@ -115,12 +135,21 @@ def build_and_load(spark: SparkSession, src: dict[str, DataFrame], root: str, as
             spark.conf.unset(TB.MATERIALIZE_CONF)
 
 
-def _load(spark: SparkSession, staged: dict[str, DataFrame], root: str, extend_calendar: bool) -> DataFrame:
+def _load(spark: SparkSession, staged: dict[str, DataFrame], root: str, extend_calendar: bool,
+          parallel_jobs: int) -> DataFrame:
     w = build_warehouse(staged, extend_calendar=extend_calendar)
-    counts = []
-    for name in LOAD_ORDER:
-        path = f"{root}/{name}"
-        obs = write_table(w[name], path, table=name)
-        counts.append((name, int(obs.get.get("rows", 0))))
-        w.materialize(name, spark.read.schema(WAREHOUSE_SCHEMAS[name]).parquet(path))
-    return spark.createDataFrame(counts, "table string, rows_loaded long")
+    assert sorted(t for level in LOAD_LEVELS for t in level) == sorted(LOAD_ORDER)
+    counts: dict[str, int] = {}
+    for level in LOAD_LEVELS:
+        plans = {name: w[name] for name in level}  # plan building (and dense ids) in this thread
+
+        def write(name: str) -> Callable[[], tuple[str, int]]:
+            def run() -> tuple[str, int]:
+                obs = write_table(plans[name], f"{root}/{name}", table=name)
+                return name, int(obs.get.get("rows", 0))
+            return run
+
+        counts.update(dict(_run_all([write(n) for n in level], parallel_jobs)))
+        for name in level:
+            w.materialize(name, spark.read.schema(WAREHOUSE_SCHEMAS[name]).parquet(f"{root}/{name}"))
+    return spark.createDataFrame([(n, counts[n]) for n in LOAD_ORDER], "table string, rows_loaded long")
