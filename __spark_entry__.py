@@ -18,7 +18,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
-import oracle_sql as O  # noqa: E402
 from portacube.functions import exprs as X  # noqa: E402
 from portacube.operators import tables as TB  # noqa: E402
 from portacube.operators.crosstab import crosstab  # noqa: E402
