@@ -72,9 +72,10 @@ def keep_first(df: DataFrame, keys: str | Sequence[str], order_by: str | Sequenc
     Implemented as ``min_by`` aggregates — partial aggregation, not a per-key
     window — so a key holding a third of the data is combined map-side
     instead of sorted in one task.  With a single order column every value
-    column gets its own fixed-width ``min_by`` (hash aggregate; the order
-    column must then be unique within a key); otherwise the row and the
-    order are packed in structs.
+    column gets its own ``min_by`` (a hash aggregate for fixed-width values,
+    a map-side-combined sort aggregate for strings; the order column must
+    then be unique within a key); otherwise the row and the order are packed
+    in structs.
     """
     keys, order = _cols(keys), _cols(order_by)
     others = [c for c in df.columns if c not in keys]
