@@ -57,12 +57,12 @@ class _Ctx:
         return olap_dataset(self.view())
 
 
-_CTX_CACHE: dict[tuple[int, str], _Ctx] = {}
+_CTX_CACHE: dict[tuple[str, int, str], _Ctx] = {}
 
 
 def _ctx(spark: SparkSession, sf_dir: str) -> _Ctx:
-    """One plan context per (session, sf_dir): the lazy plans are immutable and reusable."""
-    key = (id(spark), sf_dir)
+    """One plan context per (application, session, sf_dir): lazy plans are immutable and reusable."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
     if key not in _CTX_CACHE:
         _CTX_CACHE[key] = _Ctx(spark, sf_dir)
     return _CTX_CACHE[key]
