@@ -148,11 +148,12 @@ def _load(spark: SparkSession, staged: dict[str, DataFrame], root: str, extend_c
     assert sorted(t for level in LOAD_LEVELS for t in level) == sorted(LOAD_ORDER)
     counts: dict[str, int] = {}
     for level in LOAD_LEVELS:
-        plans = {name: w[name] for name in level}  # plan building (and dense ids) in this thread
+        # Tables of one level depend only on earlier, already materialised levels, so
+        # their plans (including dense-id jobs) are built and written concurrently.
 
         def write(name: str) -> Callable[[], tuple[str, int]]:
             def run() -> tuple[str, int]:
-                obs = write_table(plans[name], f"{root}/{name}", table=name)
+                obs = write_table(w[name], f"{root}/{name}", table=name)
                 return name, int(obs.get.get("rows", 0))
             return run
 
