@@ -146,14 +146,15 @@ def dense_id(df: DataFrame, order_by: Sequence[str | Column], name: str = "id",
 def date_bounds(dated: Sequence[tuple[DataFrame, Sequence[str]]]) -> DataFrame:
     """One-row ``(lo, hi)`` of all non-missing dates in the given table columns.
 
-    Each table is reduced to its own min/max first (partial aggregates), so
-    only a handful of rows are unioned.
+    Each table is scanned once — one partial aggregate over all its date
+    columns — so only one row per table is unioned.
     """
     parts = []
     for df, cols in dated:
-        for c in cols:
-            d = F.col(c).try_cast("date")
-            parts.append(df.agg(F.min(d).alias("lo"), F.max(d).alias("hi")))
+        ds = [F.col(c).try_cast("date") for c in cols]
+        lo = F.least(*[F.min(d) for d in ds]) if len(ds) > 1 else F.min(ds[0])
+        hi = F.greatest(*[F.max(d) for d in ds]) if len(ds) > 1 else F.max(ds[0])
+        parts.append(df.agg(lo.alias("lo"), hi.alias("hi")))
     if not parts:
         raise ValueError("no date columns given")
     u = parts[0]

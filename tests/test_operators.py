@@ -75,3 +75,12 @@ def test_calendar_default_range(spark):
     cal = TB.calendar(empty, default=("2019-01-01", "2019-01-31"))
     ids = sorted(r.ID_Tiempo for r in cal.collect())
     assert ids == list(range(1, 32))
+
+
+def test_missing_flag_and_deviation_labels(spark):
+    from portacube.schemas import DEVIATION_LABELS, STATE_BY_FLAG
+    df = spark.createDataFrame([(0, -1.0), (1, 2.0), (None, None), (3, 0.0)], "c int, d double")
+    out = df.select(X.code_label("c", STATE_BY_FLAG).alias("e"), X.sign_label("d", *DEVIATION_LABELS).alias("t"))
+    assert [tuple(r) for r in out.collect()] == [
+        ("Cerrado", "Sobre Presupuesto"), ("Cancelado", "Bajo Presupuesto"), (None, "En Presupuesto"),
+        (None, "En Presupuesto")]
