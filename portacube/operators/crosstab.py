@@ -190,13 +190,15 @@ def to_wide(long_df: DataFrame, rows: Sequence[str], col: str, measures: Sequenc
     p = g.pivot(col, list(values)) if values is not None else g.pivot(col)
     wide = p.agg(*[F.first(m).alias(m) for m in measures])
     if len(measures) == 1:
-        return wide.select(*rows, *[F.col(c).alias(f"{measures[0]}{sep}{c}")
+        return wide.select(*rows, *[F.col(f"`{c}`").alias(f"{measures[0]}{sep}{c}")
                                     for c in wide.columns if c not in rows])
+    # Spark names multi-aggregate pivot columns "<value>_<alias>"; the alias is the
+    # measure name, so strip it from the end (values may contain "_")
     ren = []
     for c in wide.columns:
         if c in rows:
             ren.append(F.col(c))
-        else:
-            v, m = c.split("_", 1)
-            ren.append(F.col(f"`{c}`").alias(f"{m}{sep}{v}"))
+            continue
+        m = next(m for m in sorted(measures, key=len, reverse=True) if c.endswith("_" + m))
+        ren.append(F.col(f"`{c}`").alias(f"{m}{sep}{c[:-len(m) - 1]}"))
     return wide.select(*ren)

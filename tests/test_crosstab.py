@@ -73,3 +73,22 @@ def test_fill_and_wide(spark):
     assert ("a", "y") not in got and got[("TOTAL", "TOTAL")] == 2.0 and got[("a", "TOTAL")] == 1.0
     wide = {r.r: r.asDict() for r in to_wide(long, ["r"], "c", ["m"], values=["x", "y", "TOTAL"]).collect()}
     assert wide["b"]["m__x"] == 3.0 and wide["b"]["m__y"] is None
+
+
+def test_wide_with_several_measures_and_underscored_values(spark):
+    sdf = spark.createDataFrame([("a", "x_1", 1.0, 5.0), ("a", "y", 2.0, 6.0), ("b", "x_1", 3.0, 7.0)],
+                                "r string, c string, m double, k_n double")
+    long = crosstab(sdf, ["r"], ["c"], {"m": "sum", "k_n": "mean"}, margins_name="All")
+    wide = {r.r: r.asDict() for r in to_wide(long, ["r"], "c", ["m", "k_n"], values=["x_1", "y", "All"]).collect()}
+    assert wide["a"]["m__x_1"] == 1.0 and wide["a"]["k_n__y"] == 6.0 and wide["All"]["m__All"] == 6.0
+
+
+def test_densify_with_one_observed_key(spark):
+    from portacube.operators.crosstab import densify
+    sdf = spark.createDataFrame([("Cerrado", "Baja", 1.0), ("Cancelado", "Alta", 2.0)], "e string, q string, m double")
+    meas = {"m": "sum"}
+    long = crosstab(sdf, ["e"], ["q"], meas, fill_value=0)
+    dense = densify(long, ["e"], ["q"], {"q": ["Baja", "Media", "Alta"]}, meas)
+    cells = {(r.e, r.q): r.m for r in dense.collect() if r.grouping_id == 0}
+    assert len(cells) == 6 and cells[("Cerrado", "Media")] == 0.0 and cells[("Cancelado", "Alta")] == 2.0
+    assert dense.where("grouping_id = 3").collect()[0].m == 3.0
