@@ -114,3 +114,17 @@ def test_views_and_dataset(wh):
     m = vista_hitos_tareas(w).collect()
     by = {(r.ID_Hito, r.ID_Tarea): (r.TotalPruebas, r.PruebasExitosas) for r in m}
     assert by == {(500, 600): (2, 1), (500, 601): (2, 1), (501, 602): (1, 0)}
+
+
+def test_audits_zero_on_clean_input_and_catch_violations(wh, spark):
+    from portacube.plans import quality as Q
+    _, w = wh
+    assert all(r.orphans == 0 for r in Q.fk_audit(w).collect())
+    assert all(r.duplicated_keys == 0 for r in Q.pk_audit(w).collect())
+    assert all(r.nulls == 0 for r in Q.null_audit(w).collect())
+    bad = dict(w)
+    bad["dim_tareas"] = w["dim_tareas"].unionByName(
+        spark.createDataFrame([(600, 600, 999, 0)], w["dim_tareas"].schema))
+    fk = {(r.child, r.column): r.orphans for r in Q.fk_audit(bad).collect()}
+    pk = {r.table: r.duplicated_keys for r in Q.pk_audit(bad).collect()}
+    assert fk[("dim_tareas", "ID_Hito")] == 1 and pk["dim_tareas"] == 1
