@@ -58,10 +58,15 @@ def lookup_last(df: DataFrame, key: str, lookup: DataFrame, lookup_key: str,
     """
     values = list(values)
     order = _cols(order_by) if order_by is not None else values
-    dedup = (lookup.groupBy(F.col(lookup_key).alias("__lk"))
-             .agg(F.max_by(F.struct(*[F.col(v) for v in values]),
-                           F.struct(*[F.col(o) for o in order])).alias("__v"))
-             .select("__lk", *[F.col("__v")[v].alias(v) for v in values]))
+    if len(values) == 1 and len(order) == 1:
+        # one value: a fixed-width max / max_by keeps this a hash aggregate
+        pick = F.max(values[0]) if order == values else F.max_by(values[0], order[0])
+        dedup = lookup.groupBy(F.col(lookup_key).alias("__lk")).agg(pick.alias(values[0]))
+    else:
+        dedup = (lookup.groupBy(F.col(lookup_key).alias("__lk"))
+                 .agg(F.max_by(F.struct(*[F.col(v) for v in values]),
+                               F.struct(*[F.col(o) for o in order])).alias("__v"))
+                 .select("__lk", *[F.col("__v")[v].alias(v) for v in values]))
     base = df.drop(*[v for v in values if v in df.columns])
     return base.join(dedup, base[key] == dedup["__lk"], "left").drop("__lk")
 
