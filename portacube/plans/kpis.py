@@ -12,10 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from portacube.functions import exprs as X
-from portacube.plans.cubes import budget_compliance
 from portacube.schemas import (ALERT_MONITOR_PREFIX, ALERT_MONITOR_SUFFIX, ALERT_REVIEW_PREFIX,
                                CLIENT_BADGE, DESCRIPTION_OLAP_SUFFIX, KPI_BAD, KPI_DEFINITIONS, KPI_GOOD,
-                               KPI_REGULAR, SEVERITY_HIGH, SEVERITY_MEDIUM)
+                               SEVERITY_HIGH, SEVERITY_MEDIUM)
 
 
 def share_pct(cond: Column) -> Column:

@@ -2,7 +2,6 @@
 
 from datetime import date
 
-import pytest
 from pyspark.sql import functions as F
 
 from portacube.functions import exprs as X
