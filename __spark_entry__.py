@@ -9,6 +9,7 @@ warehouse -> views -> cubes/KPIs) on Spark and returns a lazy DataFrame.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -279,7 +280,23 @@ def _flagship(spark, sf_dir):
     return K.kpis_by_client(_ctx(spark, sf_dir).olap())
 
 
+def _llm():
+    """The training-data subpackage's registry, or None where the subpackage is not installed."""
+    if importlib.util.find_spec("portacube.llm") is None:
+        return None
+    from portacube.llm import entry as registry
+    return registry
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    out = _own_queries()
+    registry = _llm()
+    if registry:
+        out.update(registry.queries())
+    return out
+
+
+def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "extract_clients_semi": _q_extract("clientes"),
         "extract_employees_semi": _q_extract("empleados"),
@@ -363,4 +380,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def oracle_sql() -> dict[str, str]:
     from oracle_queries import ORACLE
-    return dict(ORACLE)
+    out = dict(ORACLE)
+    registry = _llm()
+    if registry:
+        out.update(registry.oracle_sql())
+    return out
