@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from portacube.llm import mixing, sharding
+from portacube.llm import minhash, mixing, sharding
 
 QUERIES = {
     "op2_byte_shards": sharding.op2_byte_shards,
     "op3_source_mix": mixing.op3_source_mix,
+    "op5_minhash": minhash.op5_minhash,
 }
 
 MIX_SQL = r"""
