@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from portacube.llm import minhash, mixing, sharding
+from portacube.llm import minhash, mixing, pii, sharding
 
 QUERIES = {
+    "op1_pii": pii.op1_pii,
     "op2_byte_shards": sharding.op2_byte_shards,
     "op3_source_mix": mixing.op3_source_mix,
     "op5_minhash": minhash.op5_minhash,
