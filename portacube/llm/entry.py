@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from portacube.llm import minhash, mixing, pii, sharding
+from portacube.llm import langid, minhash, mixing, pii, sharding, urlfilter
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
     "op2_byte_shards": sharding.op2_byte_shards,
     "op3_source_mix": mixing.op3_source_mix,
     "op5_minhash": minhash.op5_minhash,
+    "op8_url_templates": urlfilter.op8_url_templates,
+    "op10_language_id": langid.op10_language_id,
 }
 
 MIX_SQL = r"""
