@@ -12,11 +12,14 @@ from pyspark.sql import functions as F
 from portacube.llm import textkit
 from portacube.llm.components import components
 from portacube.llm.scratch import Scratch
+from portacube.llm.workers import ship_code
 
 HASHES = 128
 BAND_ROWS = 4  # 32 bands: a pair at 0.8 is missed by all with probability 5e-8
 MARGIN = 80  # of 128 equal minima; a pair at 0.8 has fewer with probability 2e-7
-BLOCK = 256  # members of a bucket that one comparison block holds
+BLOCK = 2048  # members of a bucket in one comparison block
+GROUP_ROWS = 512  # members of a group in one comparison block, with their sets
+GROUP_BYTES = 8 << 20
 _U = np.uint64
 
 
@@ -92,76 +95,115 @@ def _alike(batches):
     for batch in batches:
         if batch.num_rows:
             agree = (_matrix(batch.column(2)) == _matrix(batch.column(3))).sum(axis=1)
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(agree >= MARGIN))
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["u", "v"]).filter(pa.array(agree >= MARGIN))
 
 
-def _confirmed(threshold: int):
-    def run(batches):
-        """Pairs with 100 * intersection >= threshold * union of their full sets."""
-        for batch in batches:
-            if not batch.num_rows:
+def _grouped(batches, keys: int):
+    """(first row's columns, column arrays) of each run of rows that are equal in the first ``keys`` long columns."""
+    held, mark = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        block = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(keys)], axis=1)
+        cuts = np.flatnonzero((np.diff(block, axis=0) != 0).any(axis=1)) + 1
+        for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(block)]):
+            part, here = batch.slice(lo, hi - lo), tuple(block[lo])
+            if here == mark:
+                held.append(part)
                 continue
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                small, large = (p, q) if len(p) <= len(q) else (q, p)
-                if 100 * len(small) < threshold * len(large):
-                    keep.append(False)
-                    continue
-                at = np.searchsorted(large, small)
-                both = int((large[np.minimum(at, len(large) - 1)] == small).sum())
-                keep.append(100 * both >= threshold * (len(p) + len(q) - both))
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["u", "v"]).filter(pa.array(keep))
-    return run
+            if held:
+                yield pa.Table.from_batches(held).combine_chunks()
+            held, mark = [part], here
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()
+
 
+def _long(table, name) -> np.ndarray:
+    return table.column(name).to_numpy()
 
-def _across(best: int):
-    """Alike pairs between different components inside each comparison block (rows sorted by block).
 
-    ``best`` > 0 keeps, for each member and other component, its ``best``
-    most alike partners only; 0 keeps all.
+def _across(batches):
+    """One alike partner of every member in every other component of its bucket block.
+
+    Members of the block's largest component are only partners: every pair
+    between components has an end outside it.
     """
-    def pairs(group):
-        ids, comps, side, signs = group
-        left = np.flatnonzero(side == side.min())
-        right = np.flatnonzero(side == side.max())
+    for group in _grouped(batches, 3):
+        ids, comps, side = _long(group, "id"), _long(group, "component"), _long(group, "side")
+        signs = _matrix(group.column("sign"))
+        names, where, sizes = np.unique(comps, return_inverse=True, return_counts=True)
+        largest = where == int(sizes.argmax())
         out = []
-        for i in left:
-            agree = (signs[right] == signs[i]).sum(axis=1)
-            hit = np.flatnonzero((agree >= MARGIN) & (comps[right] != comps[i]))
-            if best and len(hit) > best:
-                order = hit[np.lexsort((-agree[hit], comps[right][hit]))]
-                first = np.flatnonzero(np.r_[True, np.diff(comps[right][order]) != 0])
-                place = np.arange(len(order)) - np.repeat(first, np.diff(np.r_[first, len(order)]))
-                hit = order[place < best]
-            out.append(np.stack([np.full(len(hit), ids[i]), ids[right[hit]]], axis=1))
-        return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
+        for i in np.flatnonzero(~largest):
+            over = np.flatnonzero((comps != comps[i]) & ((side != side[i]) | (side.min() == side.max())))
+            agree = (signs[over] == signs[i]).sum(axis=1)
+            hit, agree = over[agree >= MARGIN], agree[agree >= MARGIN]
+            order = np.lexsort((-agree, comps[hit]))
+            first = np.r_[True, np.diff(comps[hit][order]) != 0] if len(order) else np.zeros(0, bool)
+            out += [(ids[i], ids[j]) for j in hit[order][first]]
+        u, v = zip(*out) if out else ((), ())
+        yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+
+
+def _links(threshold: int):
+    """Links inside comparison blocks that join what the block's earlier links have not joined.
+
+    Pairs with alike signatures are taken in falling order of likeness; a pair
+    whose ends are not yet joined is confirmed on the full sets:
+    100 * intersection >= threshold * union.
+    """
+    def linked(p, q):
+        if len(p) > len(q):
+            p, q = q, p
+        if 100 * len(p) < threshold * len(q):
+            return False
+        at = np.searchsorted(q, p)
+        both = int((q[np.minimum(at, len(q) - 1)] == p).sum())
+        return 100 * both >= threshold * (len(p) + len(q) - both)
 
     def run(batches):
-        held, mark = None, None
+        for group in _grouped(batches, 3):
+            ids, side = _long(group, "id"), _long(group, "side")
+            signs = _matrix(group.column("sign"))
+            sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("shingles")]
+            left, right = np.flatnonzero(side == side.min()), np.flatnonzero(side == side.max())
+            alone = len(left) == len(ids)
+            i, j, agree = [], [], []
+            for k, x in enumerate(left):
+                over = right[k + 1:] if alone else right
+                same = (signs[over] == signs[x]).sum(axis=1)
+                hit = np.flatnonzero(same >= MARGIN)
+                i.append(np.full(len(hit), x))
+                j.append(over[hit])
+                agree.append(same[hit])
+            i, j, agree = (np.concatenate(x) for x in (i, j, agree))
+            root = list(range(len(ids)))
+
+            def find(x):
+                while root[x] != x:
+                    root[x] = root[root[x]]
+                    x = root[x]
+                return x
+            out = []
+            for k in np.argsort(-agree, kind="stable"):
+                x, y = find(int(i[k])), find(int(j[k]))
+                if x != y and linked(sets[i[k]], sets[j[k]]):
+                    root[y] = x
+                    out.append((ids[i[k]], ids[j[k]]))
+            u, v = zip(*out) if out else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+    return run
 
-        def emit(group):
-            found = pairs(group)
-            lo, hi = found.min(axis=1, initial=np.iinfo(np.int64).max), found.max(axis=1, initial=-1)
-            return pa.RecordBatch.from_arrays([pa.array(lo, pa.int64()), pa.array(hi, pa.int64())], ["a", "b"])
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            block = np.stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)], axis=1)
-            cuts = np.flatnonzero((np.diff(block, axis=0) != 0).any(axis=1)) + 1
-            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in (3, 4, 5)] + [_matrix(batch.column(6))]
-            for lo, hi in zip(np.r_[0, cuts], np.r_[cuts, len(block)]):
-                part, here = [c[lo:hi] for c in cols], tuple(block[lo])
-                if here == mark:
-                    held = [np.concatenate([x, y]) for x, y in zip(held, part)]
-                    continue
-                if held is not None:
-                    yield emit(held)
-                held, mark = part, here
-        if held is not None:
-            yield emit(held)
-    return run
+def _blocks(rows: DataFrame, group: str, blocks: str) -> DataFrame:
+    """Deal each group's rows to all pairs (i <= j) of its ``blocks`` blocks; ``side`` is a row's own block."""
+    mine = F.pmod(F.xxhash64("id"), F.col(blocks))
+    out = (rows.withColumn("side", mine)
+           .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1)))
+           .withColumns({"i": F.least("side", "other"), "j": F.greatest("side", "other")}).drop("other", blocks))
+    front = [group, "i", "j"]
+    return (out.select(*front, *[c for c in out.columns if c not in front]).repartition(*front)
+            .sortWithinPartitions(*front))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5,
@@ -170,13 +212,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, key: str = "doc_id", t
 
     1. Texts with equal shingle sets form a class; the least id stands for it.
     2. 128 universal hash minima per class, 32 bands of 4 rows.  In a bucket
-       every member is paired with one hub, drawn anew per bucket, so a group
-       of any size gives one pair per member and band.
-    3. Pairs pass if their signatures agree, then if their full sets do.
-    4. Links are merged by large-star and small-star.  Buckets whose members
-       still lie in several components are compared across components, block
-       by block; alike pairs are confirmed on full sets and merged.  First
-       the most alike partners of each member are tried, then all the rest.
+       every member is paired with one hub, so a group of any size gives one
+       pair per member and band; pairs with alike signatures are kept.
+    3. Where a bucket's members are still apart, they are compared by
+       signature, block by block, and one alike partner per member and
+       component is kept.  Large-star and small-star over the kept pairs
+       give groups outside which no link can be.
+    4. Inside a group, block against block, alike pairs that are not yet
+       joined are confirmed on full sets.  Large-star and small-star over the
+       confirmed links give the components.
 
     Returns (id, n_shingles, component_id, kept): ``kept`` marks the least id.
     Defined cases: texts that are null, empty or white space have an empty
@@ -184,6 +228,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, key: str = "doc_id", t
     kept, its component is null; rows of one id are one node and each get its
     result; an empty input gives an empty result.  Other columns are ignored.
     """
+    ship_code(spark)
     scratch = Scratch(spark, "minhash")
     given = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     sketch = scratch.stage(given.mapInArrow(_sketch(words), "id long, n long, print binary, sign binary"), "sketch")
@@ -192,58 +237,41 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, key: str = "doc_id", t
     signs = scratch.stage(named.join(classes.select(F.col("rep").alias("id"), "print"), ["id", "print"], "left_semi")
                           .dropDuplicates(["id"]).select("id", "sign"), "signs")
     bands = scratch.stage(signs.mapInArrow(_bands, "id long, key long"), "bands")
-    # the least id after a key-dependent bijection: another hub in every bucket
-    hubs = (bands.groupBy("key").agg(F.min(F.col("id").bitwiseXOR(F.col("key"))).alias("hub"),
-                                     F.count(F.lit(1)).alias("members"))
-            .where("members > 1").withColumn("hub", F.col("hub").bitwiseXOR(F.col("key"))))
-    buckets = scratch.stage(bands.join(hubs, "key").where("id <> hub"), "buckets")
+    hubs = (bands.groupBy("key").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("members"))
+            .where("members > 1"))
+    buckets = scratch.stage(bands.join(hubs, "key"), "buckets")
     scratch.drop("bands")
-    tested = scratch.stage(buckets.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
-                           .distinct(), "pairs-0")
-
-    def alike(pairs):
-        s = signs
-        return (pairs.join(s.select(F.col("id").alias("a"), F.col("sign").alias("sa")), "a")
-                .join(s.select(F.col("id").alias("b"), F.col("sign").alias("sb")), "b")
-                .select("a", "b", "sa", "sb").mapInArrow(_alike, "a long, b long"))
-
-    def confirm(pairs, name):
-        """Links among ``pairs``, by the full sets of the texts concerned."""
-        ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-        texts = given.join(ends, "id", "left_semi").dropDuplicates(["id"])
-        sets = scratch.stage(texts.mapInArrow(_sets(words), "id long, shingles binary"), f"{name}-sets")
-        links = (pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a")
-                 .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
-                 .select("a", "b", "x", "y").mapInArrow(_confirmed(threshold), "u long, v long"))
-        links = scratch.stage(links, name)
-        scratch.drop(f"{name}-sets")
-        return links
-
-    links = confirm(scratch.stage(alike(tested), "alike-0"), "links-0")
-    found = scratch.stage(components(links, scratch, "merge-0"), "components-0")
-    for turn, best in ((1, 8), (2, 0)):
-        placed = (buckets.where("members > 2").join(found.withColumnRenamed("node", "id"), "id", "left")
-                  .withColumn("component", F.coalesce("component", "id")))
-        several = (placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                   .where("lo <> hi").select("key"))
-        open_rows = scratch.stage(placed.join(several, "key", "left_semi").select("key", "id", "component", "members"),
-                                  f"open-{turn}")
-        if open_rows.isEmpty():
-            break
-        blocks = F.ceil(F.col("members") / BLOCK)
-        rows = (open_rows.withColumn("n", blocks).withColumn("mine", F.pmod(F.xxhash64("id"), F.col("n")))
-                .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
-                .select("key", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "id",
-                        "component", F.col("mine").alias("side"))
-                .join(signs, "id").select("key", "i", "j", "id", "component", "side", "sign")
-                .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
-        pairs = scratch.stage(rows.mapInArrow(_across(best), "a long, b long").distinct()
-                              .join(tested, ["a", "b"], "left_anti"), f"pairs-{turn}")
-        if pairs.isEmpty():
-            break
-        tested = tested.union(pairs)
-        links = links.union(confirm(pairs, f"links-{turn}"))
-        found = scratch.stage(components(links, scratch, f"merge-{turn}"), f"components-{turn}")
+
+    # every member of a bucket with the bucket's hub
+    pairs = buckets.where("id <> hub").select(F.col("hub").alias("u"), F.col("id").alias("v")).distinct()
+    alike = (pairs.join(signs.select(F.col("id").alias("u"), F.col("sign").alias("x")), "u")
+             .join(signs.select(F.col("id").alias("v"), F.col("sign").alias("y")), "v")
+             .select("u", "v", "x", "y").mapInArrow(_alike, "u long, v long"))
+    near = components(alike, scratch, "near")
+
+    # members of a bucket that its hub did not bring together
+    placed = (buckets.where("members > 2").join(near.withColumnRenamed("node", "id"), "id", "left")
+              .withColumn("component", F.coalesce("component", "id")))
+    apart = (placed.where("id <> hub").groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+             .where("lo <> hi").select("key"))
+    rows = (placed.where("id <> hub").join(apart, "key", "left_semi").join(signs, "id")
+            .withColumn("n", F.ceil(F.col("members") / BLOCK)).select("key", "id", "component", "sign", "n"))
+    more = scratch.stage(_blocks(rows, "key", "n").mapInArrow(_across, "u long, v long").distinct(), "more")
+    star = near.where("node <> component").select(F.col("component").alias("u"), F.col("node").alias("v"))
+    groups = scratch.stage(components(star.union(more), scratch, "groups"), "members")
+    scratch.drop("buckets", "more")
+
+    # links inside the groups, by full sets
+    texts = given.join(groups.select(F.col("node").alias("id")), "id", "left_semi").dropDuplicates(["id"])
+    sets = scratch.stage(texts.mapInArrow(_sets(words), "id long, shingles binary")
+                         .join(groups.withColumnRenamed("node", "id"), "id"), "sets")
+    sizes = sets.groupBy("component").agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / GROUP_ROWS),
+                   F.ceil(F.sum(F.length("shingles")) / GROUP_BYTES)).alias("n"))
+    rows = sets.join(sizes, "component").join(signs, "id")
+    links = scratch.stage(_blocks(rows, "component", "n").mapInArrow(_links(threshold), "u long, v long"), "links")
+    scratch.drop("sets")
+    found = components(links, scratch, "linked")
     member = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
         "print", F.coalesce("component", "rep").alias("_component"))
     out = sketch.select("id", "n", "print").join(member, "print", "left")
