@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from portacube.llm import langid, minhash, mixing, pii, sharding, urlfilter
+from portacube.llm import langid, minhash, mixing, pii, sharding, urlfilter, warc
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
     "op2_byte_shards": sharding.op2_byte_shards,
     "op3_source_mix": mixing.op3_source_mix,
     "op5_minhash": minhash.op5_minhash,
+    "op7_warc": warc.op7_warc,
     "op8_url_templates": urlfilter.op8_url_templates,
     "op10_language_id": langid.op10_language_id,
 }
@@ -47,7 +48,7 @@ SELECT doc_id, size, source_size, target,
 FROM p
 """
 
-ORACLE = {"op3_source_mix": MIX_SQL}
+ORACLE = {"op3_source_mix": MIX_SQL, "op7_warc": warc.WARC_SQL}
 
 
 def queries() -> dict:
