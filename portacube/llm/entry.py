@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from portacube.llm import langid, minhash, mixing, pii, sharding, urlfilter, warc
+from portacube.llm import langid, lattice, minhash, mixing, pii, sharding, urlfilter, warc
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_minhash": minhash.op5_minhash,
     "op7_warc": warc.op7_warc,
     "op8_url_templates": urlfilter.op8_url_templates,
+    "op9_lattice": lattice.op9_lattice,
     "op10_language_id": langid.op10_language_id,
 }
 

@@ -65,10 +65,19 @@ def test_edges_of_the_base_rules(spark, scratch):
             (3, "4111 1111 1111 1111 4111111111111112 4-1-1-1-1111 1111 1111 11 1"), (4, "+1 (555) 555-1234+49 30 1"),
             (5, None), (6, ""), (7, "é\U0001f600 x@y.org \U0001f600+12345678901"), (8, "@@@ a@ @b.c a@-.-"),
             (None, "q@r.st"), (9, "dup@a.bc"), (9, "dup@a.bc"), (10, "+123456789012345678901 +1.2 (3)4567890-"),
-            (11, "x" * 300_000 + "@y.zz " + "1" * 300_000 + " a." * 50_000), (12, "a@" + "b." * 50_000 + "c")]
+            (11, "x" * 2_000 + "@y.zz " + "1" * 2_000 + " a." * 500), (12, "a@" + "b." * 500 + "c"),
+            (13, "word " * 60_000 + "e@f.gh")]
     check(rows, run(spark, scratch, rows))
 
 
+def test_very_long_runs(spark, scratch):
+    n = 300_000  # runs on which a pattern that rescans would take hours
+    rows = [(1, "x" * n + "@y.zz " + "1" * n + " a." * n), (2, "a@" + "b." * n + "c"), (3, "1." * n), (4, "+" * n)]
+    got = {r["doc_id"]: r["spans"] for r in run(spark, scratch, rows)}
+    assert got[1] == f"email:0:{n + 5}" and got[2] == f"email:0:{2 * n + 3}" and got[4] == ""
+    assert got[3].split(",")[:2] == ["ip:0:7", "ip:8:15"] and got[3].count(",") + 1 == n // 4
+
+
 def test_adds_disguised_spans_and_keeps_clean_text(spark, scratch):
     rows = [(i, f"plain words here, contact me by mail: user{i}@mail{i % 9}.example.com or call +1 (555) 555-{1000 + i} "
                 f"from 10.1.{i % 200}.{i % 99} or key=ab{i * 7919}cd") for i in range(150)]
