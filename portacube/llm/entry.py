@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from portacube.llm import langid, lattice, minhash, mixing, pii, sharding, urlfilter, warc
+from portacube.llm import decontam, langid, lattice, minhash, mixing, pii, sharding, urlfilter, warc
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
     "op2_byte_shards": sharding.op2_byte_shards,
     "op3_source_mix": mixing.op3_source_mix,
     "op5_minhash": minhash.op5_minhash,
+    "op6_leaks": decontam.op6_leaks,
     "op7_warc": warc.op7_warc,
     "op8_url_templates": urlfilter.op8_url_templates,
     "op9_lattice": lattice.op9_lattice,
