@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from portacube.llm import decontam, langid, lattice, minhash, mixing, pii, sharding, urlfilter, warc
+from portacube.llm import decontam, langid, lattice, minhash, mixing, pii, sharding, tokenfile, urlfilter, warc
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
     "op2_byte_shards": sharding.op2_byte_shards,
     "op3_source_mix": mixing.op3_source_mix,
+    "op4_token_files": tokenfile.op4_token_files,
     "op5_minhash": minhash.op5_minhash,
     "op6_leaks": decontam.op6_leaks,
     "op7_warc": warc.op7_warc,

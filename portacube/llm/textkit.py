@@ -22,6 +22,7 @@ WHITE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint64)
 LOWER[65:91] += _U(32)
 LOWER += _U(1)
+EXACT = np.arange(1, 257, dtype=np.uint64)
 _powers = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
 
 
@@ -51,7 +52,8 @@ def strings(column) -> tuple[np.ndarray, np.ndarray]:
     return offsets, np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
 
 
-def words_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words_of(data: np.ndarray, bounds: np.ndarray,
+             code: np.ndarray = LOWER) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hashes, starts and ends of the words of ``data``, and words per text; ``bounds`` cuts it into texts."""
     n = len(data)
     solid = ~WHITE[data]
@@ -65,14 +67,14 @@ def words_of(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     s, e = np.flatnonzero(start), np.flatnonzero(end) + 1
     power, inverse = _power(max(n, 1))
     running = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(LOWER[data] * power, out=running[1:])
+    np.cumsum(code[data] * power, out=running[1:])
     hashes = scramble((running[e] - running[s]) * inverse[s] + (e - s).astype(np.uint64))
     return hashes, s, e, np.diff(np.searchsorted(s, bounds))
 
 
-def _long_text(data: np.ndarray) -> np.ndarray:
-    """Word hashes of one long text, segment by segment."""
-    out, at = [], 0
+def segments(data: np.ndarray) -> Iterator[np.ndarray]:
+    """A long text in parts of about SEGMENT bytes, cut at white space."""
+    at = 0
     while at < len(data):
         to = min(at + SEGMENT, len(data))
         while to < len(data):  # on to the next white space
@@ -81,10 +83,13 @@ def _long_text(data: np.ndarray) -> np.ndarray:
                 to += int(gap[0])
                 break
             to = min(to + SEGMENT, len(data))
-        part = data[at:to]
-        out.append(words_of(part, np.array([0, len(part)]))[0])
+        yield data[at:to]
         at = to
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+
+
+def _long_text(data: np.ndarray) -> np.ndarray:
+    """Word hashes of one long text, segment by segment."""
+    return np.concatenate([words_of(part, np.array([0, len(part)]))[0] for part in segments(data)])
 
 
 def text_words(column) -> Iterator[tuple[int, np.ndarray]]:
