@@ -282,7 +282,7 @@ def _flagship(spark, sf_dir):
 
 def _llm():
     """The training-data subpackage's registry, or None where the subpackage is not installed."""
-    if importlib.util.find_spec("portacube.llm") is None:
+    if importlib.util.find_spec("portacube.llm") is None or importlib.util.find_spec("corpus_pipeline") is None:
         return None
     from portacube.llm import entry as registry
     return registry
@@ -292,7 +292,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = _own_queries()
     registry = _llm()
     if registry:
+        import corpus_pipeline
         out.update(registry.queries())
+        out["pipeline"] = corpus_pipeline.run
     return out
 
 
@@ -383,5 +385,8 @@ def oracle_sql() -> dict[str, str]:
     out = dict(ORACLE)
     registry = _llm()
     if registry:
+        import corpus_pipeline
         out.update(registry.oracle_sql())
+        if corpus_pipeline.ORACLE_SQL:
+            out["pipeline"] = corpus_pipeline.ORACLE_SQL
     return out
