@@ -18,8 +18,9 @@ MAX_LANGUAGES = 64
 MIN_LABELLED = 5  # rows that declare a language before it is modelled
 EFFECTIVE = 150  # independent trigrams that a text counts for at most
 SMOOTH = 8.0  # pseudo-rows of a parent in its child's prior
-REJECT_Z = 6.0  # deviations below texts of the same language and length
+REJECT_Z = 6.0  # deviations below the texts of the same language
 MIN_SD = 0.25  # deviation of mean log likelihoods that is assumed at least
+GRAM_SD = 3.0  # deviation of one trigram's log likelihood
 MIN_POSTERIOR = 0.5
 PIECE = 1 << 20
 
@@ -123,8 +124,8 @@ def identify(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: st
     evidence.
 
     Not ``kept``: empty texts and white space; texts that none of the
-    languages explains (REJECT_Z deviations below the texts of that language
-    and length); a posterior below MIN_POSTERIOR.  Defined cases: a null text
+    languages explains (REJECT_Z deviations below the texts of that
+    language); a posterior below MIN_POSTERIOR.  Defined cases: a null text
     is empty; a text too short for a trigram is judged by the other evidence;
     if no row declares a language all rows are rejected; null keys and
     repeated rows are judged like others; columns named like the results are
@@ -160,8 +161,7 @@ def identify(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: st
         place, tail = F.coalesce(blank(F.col("e_host")), place), F.coalesce(blank(F.col("e_suffix")), tail)
     best = F.array_position("score", F.array_max("score")).cast("int") - 1
     rows = scored.withColumns({
-        "best": F.when(F.col("grams") > 0, best), "said": said, "suffix": tail, "host": place,
-        "length": F.floor(F.log2(F.greatest(F.col("grams"), F.lit(1))))})
+        "best": F.when(F.col("grams") > 0, best), "said": said, "suffix": tail, "host": place})
     # two last labels of an address; a name without dots is its own domain
     rows = rows.withColumn("domain", F.regexp_extract("host", r"([^.]+\.)?[^.]+$", 0))
     everything = rows.agg(_tally(F.col("best"), n).alias("t"), F.count("best").cast("double").alias("n")).first()
@@ -184,11 +184,11 @@ def identify(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: st
              .agg(_tally(F.col("best"), n).alias("t"), F.count("best").alias("m")).join(domains, "domain", "left")
              .select("host", F.zip_with("t", "domain_prior", lambda a, b: F.log(
                  (a + b * SMOOTH) / (F.col("m") + SMOOTH))).alias("host_prior")))
-    usual = (rows.where("best is not null").groupBy("best", "length")
+    usual = (rows.where("best is not null").groupBy("best")
              .agg(F.avg(F.array_max("score")).alias("mean"),
                   F.coalesce(F.stddev(F.array_max("score")), F.lit(0.0)).alias("sd")))
     joined = (rows.join(rates("said"), "said", "left").join(rates("suffix"), "suffix", "left")
-              .join(hosts, "host", "left").join(usual, ["best", "length"], "left"))
+              .join(hosts, "host", "left").join(usual, "best", "left"))
     zero = F.array(*[F.lit(0.0)] * n)
     prior = F.coalesce("host_prior", F.array(*[F.lit(float(np.log(w))) for w in world]))
     weight = F.greatest(F.least(F.col("grams"), F.lit(EFFECTIVE)), F.lit(0))
@@ -199,7 +199,9 @@ def identify(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: st
     out = out.withColumns({
         "winner": F.array_position("total", F.col("top")).cast("int"),
         "p": 1 / F.aggregate("total", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top"))),
-        "z": (F.array_max("score") - F.col("mean")) / F.greatest(F.col("sd"), F.lit(MIN_SD))})
+        # a mean over few trigrams varies more
+        "z": (F.array_max("score") - F.col("mean")) / F.sqrt(
+            F.col("sd") ** 2 + MIN_SD ** 2 + GRAM_SD ** 2 / F.greatest(F.col("grams"), F.lit(1)))})
     names = F.array(*[F.lit(x) for x in langs])
     has = F.col("grams") >= 0
     return out.select(
