@@ -22,7 +22,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from portacube.functions import exprs as X  # noqa: E402
 from portacube.operators import tables as TB  # noqa: E402
 from portacube.operators.crosstab import crosstab  # noqa: E402
-from portacube.operators.cube import kpi_cube  # noqa: E402
+from portacube.operators.cube import kpi_cube, project_cube  # noqa: E402
 from portacube.plans import cubes as P  # noqa: E402
 from portacube.plans import kpis as K  # noqa: E402
 from portacube.plans import quality as Q  # noqa: E402
@@ -38,7 +38,7 @@ EXTRACTED_AT = "2024-01-01 00:00:00"
 
 
 class _Ctx:
-    """Lazy plan objects for one (session, sf_dir); building them runs no job."""
+    """Plan objects for one (session, sf_dir), lazy but for dense ids, whose tables are staged when first asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.src = bind_sources(spark, sf_dir)
@@ -69,14 +69,15 @@ def _ctx(spark: SparkSession, sf_dir: str) -> _Ctx:
     return _CTX_CACHE[key]
 
 
-def _nostamp(df: DataFrame) -> DataFrame:
-    return df.drop("fecha_extraccion")
+def _stamped(df: DataFrame) -> DataFrame:
+    """The extraction time as text, the same on every run."""
+    return df.withColumn("fecha_extraccion", F.date_format("fecha_extraccion", "yyyy-MM-dd HH:mm:ss"))
 
 
 # ---------------------------------------------------------------- Spark side
 def _q_extract(name: str, cols: list[str] | None = None):
     def run(spark, sf_dir):
-        df = _nostamp(_ctx(spark, sf_dir).ext[name])
+        df = _stamped(_ctx(spark, sf_dir).ext[name])
         return df.select(*cols) if cols else df
     return run
 
@@ -89,7 +90,7 @@ def _incremental(spark, sf_dir):
     ctx = _ctx(spark, sf_dir)
     ext = extract_all(ctx.src, as_of=AS_OF, extracted_at=EXTRACTED_AT, since="1998-01-01",
                       since_column="FechaInicio")
-    return _nostamp(ext["proyectos"])
+    return _stamped(ext["proyectos"])
 
 
 def _table_profile(spark, sf_dir):
@@ -219,6 +220,12 @@ def _cube(op: str):
             return c.info()
         if op == "preview":
             return c.preview(20)
+        if op == "shape":
+            return c.shape()
+        if op == "slice_empty":
+            return kpi_cube_single(c).slice("Estado", "no such state")
+        if op == "project_base":
+            return project_cube(_ctx(spark, sf_dir).olap()).base()
         raise ValueError(op)
     return run
 
@@ -254,6 +261,8 @@ def _kpi(kind: str):
             return K.kpi_table(o, ctx.w["hechos_asignaciones"], "B")
         if kind == "alerts":
             return K.alerts(K.kpi_table(o, ctx.w["hechos_asignaciones"], "A"))
+        if kind == "alert_total":
+            return K.alert_count(K.kpi_table(o, ctx.w["hechos_asignaciones"], "A"))
         if kind == "client":
             return K.kpis_by_client(o)
         if kind == "badge":
@@ -308,7 +317,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "extract_tasks": _q_extract("tareas"),
         "extract_assignments_cost": _q_extract("asignaciones"),
         "extract_tests": _q_extract("pruebas"),
-        "extract_errors": _q_extract("errores", ["ID_Error", "ID_Tarea", "ID_Hito", "ID_Proyecto"]),
+        "extract_errors": _q_extract("errores"),
         "extract_expenses": _q_extract("gastos"),
         "extract_penalties": _q_extract("penalizaciones"),
         "incremental_filter": _incremental,
@@ -348,6 +357,9 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cube_drilldown": _cube("drilldown"),
         "cube_pivot": _cube("pivot"),
         "cube_info": _cube("info"),
+        "cube_shape": _cube("shape"),
+        "cube_slice_empty": _cube("slice_empty"),
+        "project_cube_base": _cube("project_base"),
         "crosstab_margins": _crosstab_margins,
         "crosstab_dense": _crosstab_dense,
         "cube_preview": _cube("preview"),
@@ -364,6 +376,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "kpi_table_a": _kpi("a"),
         "kpi_table_b": _kpi("b"),
         "kpi_alerts": _kpi("alerts"),
+        "alert_total": _kpi("alert_total"),
         "kpi_by_client": _kpi("client"),
         "kpi_client_badge": _kpi("badge"),
         "kpi_stats": _kpi("stats"),

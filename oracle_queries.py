@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle_sql import q
+from oracle_sql import ALL_CTES, q
 
 # ------------------------------------------------------------------ helpers
 
@@ -131,16 +131,27 @@ KPI_MEASURES_SRC = f"""SELECT *,
   {_pct('RetrasoFinalDias <= 0 AND Cancelado = 0 AND TasaDeExitoEnPruebas >= 0.9')} AS proyecto_exitoso
 FROM olap"""
 
-# (name, target, unit, description, direction, good, bad) — same table as portacube.schemas
-from portacube.schemas import DESCRIPTION_OLAP_SUFFIX, KPI_DEFINITIONS  # noqa: E402
+# Fixed values of the KPI table: name: (target, direction, good, bad, description); the unit is % throughout.
+KPI_TABLE = {
+    "cumplimiento_presupuesto": (90, "higher", 90, 85, "Capacidad de ejecutar proyectos dentro del presupuesto"),
+    "desviacion_presupuestal": (5, "lower", 5, 10, "Variación promedio entre presupuesto y costo real"),
+    "penalizaciones": (2, "lower", 2, 5, "Impacto financiero de penalizaciones contractuales"),
+    "proyectos_a_tiempo": (85, "higher", 85, 70, "Puntualidad en la entrega de proyectos"),
+    "proyectos_cancelados": (5, "lower", 5, 10, "Tasa de proyectos no completados"),
+    "tareas_retrasadas": (10, "lower", 10, 20, "Porcentaje de tareas que no cumplen fechas"),
+    "hitos_retrasados": (10, "lower", 10, 20, "Retrasos en hitos críticos del proyecto"),
+    "tasa_errores": (5, "lower", 5, 10, "Proporción de errores durante desarrollo"),
+    "productividad": (75, "higher", 75, 60, "Eficiencia del equipo (valor/esfuerzo)"),
+    "exito_pruebas": (90, "higher", 90, 80, "Efectividad del proceso de testing"),
+    "relacion_horas": (110, "lower", 110, 130, "Precisión en estimación de esfuerzo"),
+}
 
 
 def _kpi_rows(values: dict, suffix: bool, src: str) -> str:
-    defs = {d[0]: d for d in KPI_DEFINITIONS}
     parts = []
     for name, expr in values.items():
-        _, target, unit, desc, direction, good, bad = defs[name]
-        desc = (desc + (DESCRIPTION_OLAP_SUFFIX if suffix else "")).replace("'", "''")
+        target, direction, good, bad, desc = KPI_TABLE[name]
+        desc, unit = desc + (" (OLAP)" if suffix else ""), "%"
         if direction == "higher":
             status = f"CASE WHEN v >= {good} THEN 'bueno' WHEN v < {bad} THEN 'malo' ELSE 'regular' END"
         else:
@@ -153,21 +164,21 @@ def _kpi_rows(values: dict, suffix: bool, src: str) -> str:
 
 KPI_A = {
     "cumplimiento_presupuesto": _share("CosteReal <= Presupuesto"),
-    "desviacion_presupuestal": f"AVG({DEVIATION_PCT})",
-    "penalizaciones": f"AVG({_safe('PenalizacionesMonto', 'Presupuesto')} * 100)",
+    "desviacion_presupuestal": _emean(DEVIATION_PCT),
+    "penalizaciones": _emean(_safe("PenalizacionesMonto", "Presupuesto") + " * 100"),
     "proyectos_a_tiempo": _share("RetrasoFinalDias <= 0"),
-    "proyectos_cancelados": "(AVG(CAST(Cancelado AS DOUBLE)) * 100)",
-    "tareas_retrasadas": "AVG(PorcentajeTareasRetrasadas)",
-    "hitos_retrasados": "AVG(PorcentajeHitosRetrasados)",
-    "tasa_errores": "(AVG(1 - TasaDeExitoEnPruebas) * 100)",
-    "productividad": _capped("(AVG(ProductividadPromedio) / 1000 * 100)", 100.0),
-    "exito_pruebas": "(AVG(TasaDeExitoEnPruebas) * 100)",
+    "proyectos_cancelados": f"({_emean('Cancelado')} * 100)",
+    "tareas_retrasadas": _emean("PorcentajeTareasRetrasadas"),
+    "hitos_retrasados": _emean("PorcentajeHitosRetrasados"),
+    "tasa_errores": f"({_emean('1 - TasaDeExitoEnPruebas')} * 100)",
+    "productividad": _capped(f"({_emean('ProductividadPromedio')} / 1000 * 100)", 100.0),
+    "exito_pruebas": f"({_emean('TasaDeExitoEnPruebas')} * 100)",
 }
 KPI_B = dict(KPI_A)
 KPI_B.update({
-    "cumplimiento_presupuesto": f"AVG({COMPLIANCE_IND})",
+    "cumplimiento_presupuesto": _emean(COMPLIANCE_IND),
     "proyectos_cancelados": _share("Cancelado = 1"),
-    "productividad": f"AVG((1000.0 - {_capped('ProductividadPromedio', 1000.0)}) / 1000 * 100)",
+    "productividad": _emean(f"(1000.0 - {_capped('ProductividadPromedio', 1000.0)}) / 1000 * 100"),
 })
 HOURS = ("SELECT " + _safe("SUM(CAST(HorasReales AS BIGINT))", "SUM(CAST(HorasPlanificadas AS BIGINT))")
          + " * 100 AS relacion_horas FROM hechos_asignaciones")
@@ -189,11 +200,11 @@ FROM ({base}) WHERE estado <> 'bueno'""")
 
 
 BY_CLIENT = f"""SELECT CodigoClienteReal,
-  round_even(AVG({COMPLIANCE_IND}), 2) AS cumplimiento_presupuesto,
-  round_even(AVG({DEVIATION_PCT}), 2) AS desviacion_presupuestal,
+  round_even({_emean(COMPLIANCE_IND)}, 2) AS cumplimiento_presupuesto,
+  round_even({_emean(DEVIATION_PCT)}, 2) AS desviacion_presupuestal,
   round_even({_share('RetrasoFinalDias <= 0')}, 2) AS proyectos_a_tiempo,
   COUNT(ID_Hecho) AS total_proyectos,
-  round_even(SUM(Presupuesto), 2) AS presupuesto_total
+  round_even({_esum('Presupuesto')}, 2) AS presupuesto_total
 FROM olap WHERE CodigoClienteReal IS NOT NULL GROUP BY CodigoClienteReal"""
 
 WH_TABLES = {"dim_clientes": 2, "dim_empleados": 4, "dim_gastos": 4, "dim_proyectos": 7, "dim_tiempo": 5,
@@ -229,7 +240,7 @@ ORACLE: dict[str, str] = {
     "extract_tasks": q("SELECT * FROM x_tareas"),
     "extract_assignments_cost": q("SELECT * FROM x_asignaciones"),
     "extract_tests": q("SELECT * FROM x_pruebas"),
-    "extract_errors": q("SELECT ID_Error, ID_Tarea, ID_Hito, ID_Proyecto FROM x_errores"),
+    "extract_errors": q("SELECT * FROM x_errores"),
     "extract_expenses": q("SELECT * FROM x_gastos"),
     "extract_penalties": q("SELECT * FROM x_penalizaciones"),
     "incremental_filter": q("SELECT * FROM x_proyectos WHERE FechaInicio > DATE '1998-01-01'"),
@@ -376,7 +387,7 @@ ORACLE: dict[str, str] = {
   36 AS dataset_dimensiones, COALESCE({_emean('DesviacionPresupuestal')}, 0.0) AS desviacion_promedio,
   COALESCE({_emean('ProductividadPromedio')}, 0.0) AS productividad_promedio,
   COALESCE({_emean('TasaDeExitoEnPruebas')} * 100, 0.0) AS tasa_exito_pruebas FROM olap"""),
-    "kpi_trend_year": q(f"SELECT AnioInicio, round_even(AVG({COMPLIANCE_IND}), 2) AS cumplimiento_presupuesto, "
+    "kpi_trend_year": q(f"SELECT AnioInicio, round_even({_emean(COMPLIANCE_IND)}, 2) AS cumplimiento_presupuesto, "
                         f"COUNT(*) AS proyectos FROM olap WHERE AnioInicio IS NOT NULL GROUP BY AnioInicio"),
     "hours_ratio": q(HOURS),
     "quality_fk": q(" UNION ALL ".join(
@@ -391,3 +402,23 @@ ORACLE: dict[str, str] = {
         f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", CAST(COALESCE(SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END), 0) "
         f"AS BIGINT) AS nulls FROM {t}" for t, cols in NOT_NULL.items() for c in cols)),
 }
+
+PROJECT_DIMS = ["CodigoClienteReal", "Estado", "AnioInicio", "MesInicio", "CategoriaPresupuesto", "TipoDesviacion",
+                "CategoriaProductividad", "CategoriaCalidad", "PeriodoInicio"]
+PROJECT_MEAS = ["Presupuesto", "CosteReal", "DesviacionPresupuestal", "ProductividadPromedio", "TasaDeExitoEnPruebas",
+                "PorcentajeTareasRetrasadas", "PorcentajeHitosRetrasados"]
+ORACLE.update({
+    "cube_shape": q(f"SELECT '{', '.join(KPI_DIMS)}' AS dimensiones, '{', '.join(KPI_MEAS)}' AS medidas, "
+                    f"(SELECT COUNT(*) FROM ({_group_select('olap', KPI_DIMS)})) AS filas, "
+                    f"{len(KPI_DIMS) + 3 * len(KPI_MEAS)} AS columnas"),
+    "cube_slice_empty": q("SELECT * FROM (" + _group_select("(SELECT * FROM olap WHERE Estado = 'no such state')", [],
+                                                            ["Presupuesto", "ProductividadPromedio"])
+                          + ") WHERE Presupuesto_count > 0"),
+    "project_cube_base": _group("olap", PROJECT_DIMS, PROJECT_MEAS),
+    "alert_total": ORACLE["kpi_alerts"].replace(ALL_CTES + "\n", ALL_CTES
+                                                + "\nSELECT COUNT(*) AS total_alertas FROM (") + ")",
+})
+# Every extract carries its time
+for _name in [n for n in ORACLE if n.startswith("extract_") or n == "incremental_filter"]:
+    ORACLE[_name] = ORACLE[_name].replace(
+        ALL_CTES + "\n", ALL_CTES + "\nSELECT *, '2024-01-01 00:00:00' AS fecha_extraccion FROM (") + ")"

@@ -52,7 +52,9 @@ class Cube:
     def _group(self, df: DataFrame, dims: Sequence[str]) -> DataFrame:
         dims = list(dims)
         if not dims:
-            return df.agg(*_measure_aggs(self.measures, extra=True))
+            # no row matched: an empty result, not one row of zeros
+            total = df.agg(F.count(F.lit(1)).alias("__rows"), *_measure_aggs(self.measures, extra=True))
+            return total.where("__rows > 0").drop("__rows")
         kept = df.where(_not_null(dims))
         return kept.groupBy(*dims).agg(*_measure_aggs(self.measures))
 
@@ -143,6 +145,13 @@ class Cube:
         return self.data.agg(F.count(F.lit(1)).alias("num_registros"),
                              *[F.count_distinct(d).alias(f"distintos_{d}") for d in self.dimensions])
 
+    def shape(self) -> DataFrame:
+        """One row — dimension and measure names, and rows and columns of the base cube."""
+        base = self.base()
+        return base.agg(F.count(F.lit(1)).alias("filas")).select(
+            F.lit(", ".join(self.dimensions)).alias("dimensiones"), F.lit(", ".join(self.measures)).alias("medidas"),
+            "filas", F.lit(len(base.columns)).alias("columnas"))
+
 
 def _not_null(cols: Sequence[str]) -> Column:
     out = F.lit(True)

@@ -11,7 +11,7 @@ All of them are lazy DataFrame compositions.  Two design rules hold throughout:
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -100,40 +100,42 @@ def keep_first(df: DataFrame, keys: str | Sequence[str], order_by: str | Sequenc
 MATERIALIZE_CONF = "portacube.materialize.dir"
 
 
-def _materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` once and return its read-back (lineage cut, no recomputation).
+def _materialize(df: DataFrame, tag: str) -> tuple[DataFrame, Callable[[], None]]:
+    """Write ``df`` once; returns its read-back (lineage cut, no recomputation) and how to remove it.
 
-    Target: ``<portacube.materialize.dir>/<tag>-<uuid>`` when the session sets
-    that directory (the batch job points it at its staging area on the
-    shared file system), else a reliable checkpoint in ``spark.checkpoint.dir``.
+    The folder is ``portacube.materialize.dir`` where the batch job sets it
+    (its staging area on the shared file system), else the session's
+    checkpoint folder; what is left there goes when the session ends.
     """
     spark = df.sparkSession
-    root = spark.conf.get(MATERIALIZE_CONF, None)
-    if not root:
-        ensure_checkpoint_dir(spark)
-        return df.checkpoint(eager=True)
+    root = spark.conf.get(MATERIALIZE_CONF, None) or ensure_checkpoint_dir(spark)
     path = f"{root}/{tag}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = stored.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.deleteOnExit(stored)
+    return spark.read.schema(df.schema).parquet(path), lambda: files.delete(stored, True)
 
 
 def dense_id(df: DataFrame, order_by: Sequence[str | Column], name: str = "id",
              first: bool = True) -> DataFrame:
-    """Sequential surrogate key 1..n in ``order_by`` order.
-
-    Scalable and deterministic: the input is materialised once, then a global
-    range-partitioned sort (a hot leading key is split across partitions by
-    the remaining sort columns) stamps every row with its sort partition and
-    position (``monotonically_increasing_id``); that stamped copy is
-    materialised too, so the layout is fixed across executor loss and
-    recomputation.  Per-partition offsets (one row per partition, broadcast)
-    turn positions into ids.  ``order_by`` must be a total order for the
-    result to be fully repeatable (end it with the natural key).
+    """Sequential surrogate key 1..n in ``order_by`` order (B5).  Runs two jobs when called.
+
+    Scalable and deterministic: the input is evaluated and staged once, then a
+    global range-partitioned sort (a hot leading key is split across
+    partitions by the remaining sort columns) stamps every row with its sort
+    partition and position (``monotonically_increasing_id``); that stamped
+    copy is staged too, and the first copy removed, so the layout is fixed
+    across executor loss and recomputation.  Per-partition offsets (one row
+    per partition, broadcast) turn positions into ids.  ``order_by`` must be a
+    total order for the result to be fully repeatable (end it with the
+    natural key).
     """
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    staged = _materialize(df, "dense-in") if df.sparkSession.conf.get(MATERIALIZE_CONF, None) else df
-    fixed = _materialize(staged.orderBy(*order).withColumn("__mid", F.monotonically_increasing_id()),
-                         "dense-sorted")
+    staged, drop = _materialize(df, "dense-in")
+    fixed, _ = _materialize(staged.orderBy(*order).withColumn("__mid", F.monotonically_increasing_id()),
+                            "dense-sorted")
+    drop()
     with_pid = (fixed.withColumn("__pid", F.shiftright(F.col("__mid"), 33))
                 .withColumn("__pos", F.col("__mid").bitwiseAND(F.lit((1 << 33) - 1))))
     sizes = with_pid.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))

@@ -105,7 +105,7 @@ def dim_hitos(ext: dict[str, DataFrame], dim_proj: DataFrame, cal_summary: DataF
     h = TB.fk_filter(ext["hitos"], "ID_Proyecto", dim_proj, "ID_Proyecto")
     start = cal_summary.select("cal_start").scalar()
     return h.select(
-        F.col("ID_Hito").cast("long"), F.col("ID_Hito").cast("long").alias("CodigoHito"),
+        F.col("ID_Hito").cast("string"), F.col("ID_Hito").cast("string").alias("CodigoHito"),
         F.col("ID_Proyecto").cast("long").alias("ID_proyectos"),
         X.date_key_clamped("FechaInicio", start).alias("ID_FechaInicio"),
         X.date_key_clamped("FechaFinReal", start).alias("ID_FechaFin"),
@@ -117,8 +117,8 @@ def dim_tareas(ext: dict[str, DataFrame], dim_hit: DataFrame) -> DataFrame:
     """Tasks of kept milestones; 1 if start or end deviates from plan."""
     t = TB.fk_filter(ext["tareas"], "ID_Hito", dim_hit, "ID_Hito")
     return t.select(
-        F.col("ID_Tarea").cast("long"), F.col("ID_Tarea").cast("long").alias("CodigoTarea"),
-        F.col("ID_Hito").cast("long"),
+        F.col("ID_Tarea").cast("string"), F.col("ID_Tarea").cast("string").alias("CodigoTarea"),
+        F.col("ID_Hito").cast("string"),
         X.any_changed(("FechaInicioPlanificada", "FechaInicioReal"),
                       ("FechaFinPlanificada", "FechaFinReal")).alias("SeRetraso"))
 
@@ -127,6 +127,6 @@ def dim_pruebas(ext: dict[str, DataFrame], dim_hit: DataFrame) -> DataFrame:
     """Tests of kept milestones; missing success flag -> 0."""
     t = TB.fk_filter(ext["pruebas"], "ID_Hito", dim_hit, "ID_Hito")
     return t.select(
-        F.col("ID_Prueba").cast("long"), F.col("ID_Prueba").cast("long").alias("CodigoPrueba"),
-        F.col("ID_Hito").cast("long"), X.trim_default("TipoPrueba", None).alias("TipoPrueba"),
+        F.col("ID_Prueba").cast("string"), F.col("ID_Prueba").cast("string").alias("CodigoPrueba"),
+        F.col("ID_Hito").cast("string"), X.trim_default("TipoPrueba", None).alias("TipoPrueba"),
         X.flag_or_zero("Exitosa").alias("PruebaExitosa"))

@@ -37,15 +37,15 @@ def _kpi_values_a(df: DataFrame) -> list[Column]:
     P, C = F.col("Presupuesto"), F.col("CosteReal")
     return [
         share_pct(C <= P).alias("cumplimiento_presupuesto"),
-        F.avg(deviation_pct()).alias("desviacion_presupuestal"),
-        F.avg(X.safe_div(F.col("PenalizacionesMonto"), P) * 100).alias("penalizaciones"),
+        X.exact_mean(deviation_pct()).alias("desviacion_presupuestal"),
+        X.exact_mean(X.safe_div(F.col("PenalizacionesMonto"), P) * 100).alias("penalizaciones"),
         share_pct(F.col("RetrasoFinalDias") <= 0).alias("proyectos_a_tiempo"),
-        (F.avg(F.col("Cancelado").cast("double")) * 100).alias("proyectos_cancelados"),
-        F.avg("PorcentajeTareasRetrasadas").alias("tareas_retrasadas"),
-        F.avg("PorcentajeHitosRetrasados").alias("hitos_retrasados"),
-        (F.avg(1 - F.col("TasaDeExitoEnPruebas")) * 100).alias("tasa_errores"),
-        X.capped(F.avg("ProductividadPromedio") / 1000 * 100, 100).alias("productividad"),
-        (F.avg("TasaDeExitoEnPruebas") * 100).alias("exito_pruebas"),
+        (X.exact_mean("Cancelado") * 100).alias("proyectos_cancelados"),
+        X.exact_mean("PorcentajeTareasRetrasadas").alias("tareas_retrasadas"),
+        X.exact_mean("PorcentajeHitosRetrasados").alias("hitos_retrasados"),
+        (X.exact_mean(1 - F.col("TasaDeExitoEnPruebas")) * 100).alias("tasa_errores"),
+        X.capped(X.exact_mean("ProductividadPromedio") / 1000 * 100, 100).alias("productividad"),
+        (X.exact_mean("TasaDeExitoEnPruebas") * 100).alias("exito_pruebas"),
     ]
 
 
@@ -53,16 +53,16 @@ def _kpi_values_b(df: DataFrame) -> list[Column]:
     P = F.col("Presupuesto")
     prod = F.col("ProductividadPromedio")
     return [
-        F.avg(individual_compliance()).alias("cumplimiento_presupuesto"),
-        F.avg(deviation_pct()).alias("desviacion_presupuestal"),
-        F.avg(X.safe_div(F.col("PenalizacionesMonto"), P) * 100).alias("penalizaciones"),
+        X.exact_mean(individual_compliance()).alias("cumplimiento_presupuesto"),
+        X.exact_mean(deviation_pct()).alias("desviacion_presupuestal"),
+        X.exact_mean(X.safe_div(F.col("PenalizacionesMonto"), P) * 100).alias("penalizaciones"),
         share_pct(F.col("RetrasoFinalDias") <= 0).alias("proyectos_a_tiempo"),
         share_pct(F.col("Cancelado") == 1).alias("proyectos_cancelados"),
-        F.avg("PorcentajeTareasRetrasadas").alias("tareas_retrasadas"),
-        F.avg("PorcentajeHitosRetrasados").alias("hitos_retrasados"),
-        (F.avg(1 - F.col("TasaDeExitoEnPruebas")) * 100).alias("tasa_errores"),
-        F.avg((F.lit(1000.0) - X.capped(prod, 1000)) / 1000 * 100).alias("productividad"),
-        (F.avg("TasaDeExitoEnPruebas") * 100).alias("exito_pruebas"),
+        X.exact_mean("PorcentajeTareasRetrasadas").alias("tareas_retrasadas"),
+        X.exact_mean("PorcentajeHitosRetrasados").alias("hitos_retrasados"),
+        (X.exact_mean(1 - F.col("TasaDeExitoEnPruebas")) * 100).alias("tasa_errores"),
+        X.exact_mean((F.lit(1000.0) - X.capped(prod, 1000)) / 1000 * 100).alias("productividad"),
+        (X.exact_mean("TasaDeExitoEnPruebas") * 100).alias("exito_pruebas"),
     ]
 
 
@@ -122,11 +122,11 @@ def alert_count(kpis: DataFrame) -> DataFrame:
 def kpis_by_client(dataset: DataFrame) -> DataFrame:
     """Per client — mean compliance, mean deviation %, % on time, #projects, budget sum."""
     return dataset.where(F.col("CodigoClienteReal").isNotNull()).groupBy("CodigoClienteReal").agg(
-        F.bround(F.avg(individual_compliance()), 2).alias("cumplimiento_presupuesto"),
-        F.bround(F.avg(deviation_pct()), 2).alias("desviacion_presupuestal"),
+        F.bround(X.exact_mean(individual_compliance()), 2).alias("cumplimiento_presupuesto"),
+        F.bround(X.exact_mean(deviation_pct()), 2).alias("desviacion_presupuestal"),
         F.bround(share_pct(F.col("RetrasoFinalDias") <= 0), 2).alias("proyectos_a_tiempo"),
         F.count("ID_Hecho").alias("total_proyectos"),
-        F.bround(F.sum("Presupuesto"), 2).alias("presupuesto_total"))
+        F.bround(X.exact_sum("Presupuesto"), 2).alias("presupuesto_total"))
 
 
 def client_badge(by_client: DataFrame) -> DataFrame:
@@ -153,5 +153,5 @@ def stats(dataset: DataFrame) -> DataFrame:
 def trend_by_year(dataset: DataFrame) -> DataFrame:
     """Start year -> mean compliance and project count."""
     return dataset.where(F.col("AnioInicio").isNotNull()).groupBy("AnioInicio").agg(
-        F.bround(F.avg(individual_compliance()), 2).alias("cumplimiento_presupuesto"),
+        F.bround(X.exact_mean(individual_compliance()), 2).alias("cumplimiento_presupuesto"),
         F.count(F.lit(1)).alias("proyectos"))

@@ -115,25 +115,30 @@ def stage_extracts(spark: SparkSession, ext: dict[str, DataFrame], root: str,
 
 
 def build_and_load(spark: SparkSession, src: dict[str, DataFrame], root: str, as_of=None, extracted_at=None,
-                   extend_calendar: bool = True, since=None, since_column: str | None = None,
-                   parallel_jobs: int = 8, control_path: str | None = None) -> DataFrame:
+                   extend_calendar: bool = True, parallel_jobs: int = 8,
+                   control_path: str | None = None) -> DataFrame:
     """The batch job: extract -> stage -> build -> load, returns ``(table, rows_loaded)``.
 
-    Tables are written parent-before-child; each written table replaces its
-    plan for the tables built after it (lineage cut at every table).  With
-    ``control_path`` the watermark is advanced to ``extracted_at`` (or now)
-    after the load succeeded and only if projects were extracted (S14).
+    Every load is a full load: surrogate keys are numbered over all rows, so
+    a part of the rows can never replace the warehouse.  Tables are written
+    parent-before-child; each written table replaces its plan for the tables
+    built after it (lineage cut at every table).  With ``control_path`` the
+    watermark is advanced after the load succeeded and only if projects were
+    extracted (S14), to ``extracted_at`` or the time before the first read.
+    The staging folder is removed after a successful load.
     """
-    ext = extract_all(src, as_of=as_of, extracted_at=extracted_at, since=since, since_column=since_column)
+    from portacube.streaming.watermark import advance, utc_now
+    started = str(extracted_at) if extracted_at else utc_now()
+    ext = extract_all(src, as_of=as_of, extracted_at=started)
     staged = stage_extracts(spark, ext, f"{root}/_staging", parallel_jobs)
     previous = spark.conf.get(TB.MATERIALIZE_CONF, None)
     spark.conf.set(TB.MATERIALIZE_CONF, f"{root}/_staging/_materialized")
     try:
         counts = _load(spark, staged, root, extend_calendar, parallel_jobs)
-        if control_path is not None:
-            from portacube.streaming.watermark import advance
-            if staged["proyectos"].limit(1).count() > 0:
-                advance(spark, control_path, str(extracted_at) if extracted_at else None)
+        if control_path is not None and not staged["proyectos"].isEmpty():
+            advance(spark, control_path, started)
+        staging = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_staging")
+        staging.getFileSystem(spark._jsc.hadoopConfiguration()).delete(staging, True)
         return counts
     finally:
         if previous:

@@ -96,20 +96,20 @@ SOURCE_SCHEMAS: dict[str, T.StructType] = {
                          ("FechaFinReal", _DT), ("Estado", _S), ("TipoProyecto", _S)),
     "empleados": _schema(("ID_Empleado", _L), ("NombreCompleto", _S), ("Rol", _S),
                          ("Seniority", _S), ("CostoPorHora", T.DecimalType(10, 2))),
-    "asignaciones": _schema(("ID_Asignacion", _L), ("ID_Proyecto", _L), ("ID_Empleado", _L),
+    "asignaciones": _schema(("ID_Asignacion", _S), ("ID_Proyecto", _L), ("ID_Empleado", _L),
                             ("HorasPlanificadas", _I), ("HorasReales", _I), ("FechaAsignacion", _DT)),
-    "hitos": _schema(("ID_Hito", _L), ("ID_Proyecto", _L), ("Descripcion", _S), ("Estado", _S),
+    "hitos": _schema(("ID_Hito", _S), ("ID_Proyecto", _L), ("Descripcion", _S), ("Estado", _S),
                      ("FechaInicio", _DT), ("FechaFinPlanificada", _DT), ("FechaFinReal", _DT)),
-    "tareas": _schema(("ID_Tarea", _L), ("ID_Hito", _L), ("NombreTarea", _S), ("Descripcion", _S),
+    "tareas": _schema(("ID_Tarea", _S), ("ID_Hito", _S), ("NombreTarea", _S), ("Descripcion", _S),
                       ("Estado", _S), ("FechaInicioPlanificada", _DT), ("FechaInicioReal", _DT),
                       ("FechaFinPlanificada", _DT), ("FechaFinReal", _DT)),
-    "pruebas": _schema(("ID_Prueba", _L), ("ID_Hito", _L), ("TipoPrueba", _S), ("Fecha", _DT),
+    "pruebas": _schema(("ID_Prueba", _S), ("ID_Hito", _S), ("TipoPrueba", _S), ("Fecha", _DT),
                        ("Exitosa", _I)),
-    "errores": _schema(("ID_Error", _L), ("ID_Tarea", _L), ("TipoError", _S), ("Descripcion", _S),
+    "errores": _schema(("ID_Error", _S), ("ID_Tarea", _S), ("TipoError", _S), ("Descripcion", _S),
                        ("FaseDeteccion", _S), ("FechaDeteccion", _DT), ("FechaCorreccion", _DT)),
-    "gastos": _schema(("ID_Gasto", _L), ("ID_Proyecto", _L), ("TipoGasto", _S), ("Categoria", _S),
+    "gastos": _schema(("ID_Gasto", _S), ("ID_Proyecto", _L), ("TipoGasto", _S), ("Categoria", _S),
                       ("Monto", MONEY), ("Fecha", _DT)),
-    "penalizaciones_contrato": _schema(("ID_Penalizacion", _L), ("ID_Contrato", _L), ("Monto", MONEY),
+    "penalizaciones_contrato": _schema(("ID_Penalizacion", _S), ("ID_Contrato", _L), ("Monto", MONEY),
                                        ("Motivo", _S), ("Fecha", _DT)),
 }
 
@@ -124,12 +124,12 @@ WAREHOUSE_SCHEMAS: dict[str, T.StructType] = {
                              ("Cancelado", _I), ("ID_Cliente", _L), ("TotalErrores", _I),
                              ("NumTrabajadores", _I)),
     "dim_tiempo": _schema(("ID_Tiempo", _I, False), ("Fecha", _DT), ("Dia", _I), ("Mes", _I), ("Anio", _I)),
-    "dim_hitos": _schema(("ID_Hito", _L, False), ("CodigoHito", _L, False), ("ID_proyectos", _L),
+    "dim_hitos": _schema(("ID_Hito", _S, False), ("CodigoHito", _S, False), ("ID_proyectos", _L),
                          ("ID_FechaInicio", _I), ("ID_FechaFin", _I), ("RetrasoInicioDias", _I),
                          ("RetrasoFinDias", _I)),
-    "dim_pruebas": _schema(("ID_Prueba", _L, False), ("CodigoPrueba", _L, False), ("ID_Hito", _L, False),
+    "dim_pruebas": _schema(("ID_Prueba", _S, False), ("CodigoPrueba", _S, False), ("ID_Hito", _S, False),
                            ("TipoPrueba", _S), ("PruebaExitosa", _I)),
-    "dim_tareas": _schema(("ID_Tarea", _L, False), ("CodigoTarea", _L, False), ("ID_Hito", _L, False),
+    "dim_tareas": _schema(("ID_Tarea", _S, False), ("CodigoTarea", _S, False), ("ID_Hito", _S, False),
                           ("SeRetraso", _I)),
     "hechos_asignaciones": _schema(("ID_HechoAsignacion", _L, False), ("ID_Empleado", _L),
                                    ("ID_Proyecto", _L), ("ID_FechaAsignacion", _I),

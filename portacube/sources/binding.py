@@ -12,9 +12,9 @@ is a fixed, deterministic re-reading of it:
   returned ones, penalties from lines with tax >= 6 %;
 * employees from ``supplier`` x ``nation``.
 
-Money is cast to DECIMAL(15,2) on entry so sums are exact.  Composite task
-ids pack (order, line, part, supplier) in decimal digits; they stay unique
-while part keys < 10^5 and supplier keys < 10^4 (scale factors up to ~5).
+Money is cast to DECIMAL(15,2) on entry so sums are exact.  Composite ids
+(task, test, error, expense, penalty: order, line, part, supplier; milestone,
+assignment: order, line) are text, so no key value can overflow or collide.
 The mirrored SQL used by the oracle checks lives in ``oracle_sql.py``.
 """
 
@@ -37,13 +37,17 @@ def _d(c: str):
     return F.col(c).cast("date")
 
 
+def _key(*cols: str):
+    """A composite key as text, its parts apart by ``-``: different parts never give one key, at any size."""
+    return F.concat_ws("-", F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("?")) for c in cols]))
+
+
 def _task_id():
-    return ((((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 100000 + F.col("l_partkey")) * 10000)
-            + F.col("l_suppkey")).cast("long")
+    return _key("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
 def _milestone_id():
-    return (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("long")
+    return _key("l_orderkey", "l_linenumber")
 
 
 def bind_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

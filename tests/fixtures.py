@@ -36,4 +36,9 @@ def sources(spark):
                    (902, 200, "Srv", "CAPEX", D("30.00"), d(2020, 2, 3))],
         "penalizaciones_contrato": [(950, 10, D("20.00"), "m", d(2020, 3, 1)), (951, 11, D("7.00"), "m", d(2020, 3, 2))],
     }
-    return {k: spark.createDataFrame(v, SOURCE_SCHEMAS[k]) for k, v in rows.items()}
+    def typed(row, schema):
+        # keys that the schema declares as text
+        return tuple(str(x) if isinstance(x, int) and f.dataType.typeName() == "string" else x
+                     for x, f in zip(row, schema.fields))
+    return {k: spark.createDataFrame([typed(r, SOURCE_SCHEMAS[k]) for r in v], SOURCE_SCHEMAS[k])
+            for k, v in rows.items()}

@@ -55,3 +55,12 @@ def test_drill_down_and_info(cube):
     assert got == _expected(pdf[pdf.d1 == "B"], ["d2", "yr"])
     info = c.info().collect()[0]
     assert (info.num_registros, info.distintos_d1, info.distintos_d2) == (6, 2, 2)
+
+
+def test_slice_and_dice_without_a_match_are_empty(spark):
+    from portacube.operators.cube import Cube
+    c = Cube(spark.createDataFrame([("a", 1.0)], "d string, m double"), ["d"], ["m"])
+    assert c.slice("d", "none").count() == 0 and c.dice({"d": ["x", "y"]}).count() == 0
+    assert c.slice("d", "a").first()["m_count"] == 1
+    shape = c.shape().first()
+    assert (shape["dimensiones"], shape["medidas"], shape["filas"], shape["columnas"]) == ("d", "m", 1, 4)

@@ -22,11 +22,11 @@ def test_cascade_drops_open_projects(wh):
     ext, _ = wh
     assert sorted(r.ID_Proyecto for r in ext["proyectos"].collect()) == [100, 100, 200, 400]
     assert sorted(r.ID_Cliente for r in ext["clientes"].collect()) == [1, 2]
-    assert sorted(r.ID_Hito for r in ext["hitos"].collect()) == [500, 501, 504]
-    assert sorted(r.ID_Asignacion for r in ext["asignaciones"].collect()) == [1, 2, 4]
-    assert sorted(r.ID_Penalizacion for r in ext["penalizaciones"].collect()) == [950, 951]
+    assert sorted(r.ID_Hito for r in ext["hitos"].collect()) == ["500", "501", "504"]
+    assert sorted(r.ID_Asignacion for r in ext["asignaciones"].collect()) == ["1", "2", "4"]
+    assert sorted(r.ID_Penalizacion for r in ext["penalizaciones"].collect()) == ["950", "951"]
     h = _rows(ext["hitos"], "ID_Hito")
-    assert h[501]["dias_retraso"] == (366 - 31 - 29) + 0  # 2021-01-01 minus 2020-03-01 (leap year)
+    assert h["501"]["dias_retraso"] == (366 - 31 - 29) + 0  # 2021-01-01 minus 2020-03-01 (leap year)
 
 
 def test_dim_projects(wh):
@@ -47,15 +47,14 @@ def test_dim_employees_defaults(wh):
 def test_milestones_tasks_tests(wh):
     _, w = wh
     h = _rows(w["dim_hitos"], "ID_Hito")
-    assert set(h) == {500, 501}  # 504 belongs to a project outside the dimension
-    assert h[500]["RetrasoFinDias"] == 4 and h[501]["RetrasoFinDias"] == 0 and h[501]["ID_FechaFin"] is None
-    assert h[500]["RetrasoInicioDias"] == 0
+    assert set(h) == {"500", "501"}  # 504 belongs to a project outside the dimension
+    assert h["500"]["RetrasoFinDias"] == 4 and h["501"]["RetrasoFinDias"] == 0 and h["501"]["ID_FechaFin"] is None
+    assert h["500"]["RetrasoInicioDias"] == 0
     t = _rows(w["dim_tareas"], "ID_Tarea")
-    assert t == {600: {"ID_Tarea": 600, "CodigoTarea": 600, "ID_Hito": 500, "SeRetraso": 1},
-                 601: {"ID_Tarea": 601, "CodigoTarea": 601, "ID_Hito": 500, "SeRetraso": 1},
-                 602: {"ID_Tarea": 602, "CodigoTarea": 602, "ID_Hito": 501, "SeRetraso": 0}}
+    assert t == {k: {"ID_Tarea": k, "CodigoTarea": k, "ID_Hito": h, "SeRetraso": late}
+                 for k, h, late in (("600", "500", 1), ("601", "500", 1), ("602", "501", 0))}
     p = _rows(w["dim_pruebas"], "ID_Prueba")
-    assert p[700]["TipoPrueba"] == "Unit" and p[701]["PruebaExitosa"] == 0
+    assert p["700"]["TipoPrueba"] == "Unit" and p["701"]["PruebaExitosa"] == 0
 
 
 def test_calendar_dense(wh):
@@ -113,7 +112,7 @@ def test_views_and_dataset(wh):
     assert v[100]["PeriodoInicio"] == "2020-Q1" and v[100]["CodigoClienteReal"] == 1
     m = vista_hitos_tareas(w).collect()
     by = {(r.ID_Hito, r.ID_Tarea): (r.TotalPruebas, r.PruebasExitosas) for r in m}
-    assert by == {(500, 600): (2, 1), (500, 601): (2, 1), (501, 602): (1, 0)}
+    assert by == {("500", "600"): (2, 1), ("500", "601"): (2, 1), ("501", "602"): (1, 0)}
 
 
 def test_audits_zero_on_clean_input_and_catch_violations(wh, spark):
@@ -124,7 +123,7 @@ def test_audits_zero_on_clean_input_and_catch_violations(wh, spark):
     assert all(r.nulls == 0 for r in Q.null_audit(w).collect())
     bad = dict(w)
     bad["dim_tareas"] = w["dim_tareas"].unionByName(
-        spark.createDataFrame([(600, 600, 999, 0)], w["dim_tareas"].schema))
+        spark.createDataFrame([("600", "600", "999", 0)], w["dim_tareas"].schema))
     fk = {(r.child, r.column): r.orphans for r in Q.fk_audit(bad).collect()}
     pk = {r.table: r.duplicated_keys for r in Q.pk_audit(bad).collect()}
     assert fk[("dim_tareas", "ID_Hito")] == 1 and pk["dim_tareas"] == 1

@@ -9,7 +9,7 @@ from portacube.operators import tables as TB
 from portacube.operators.crosstab import crosstab
 from portacube.plans import facts as FT
 from portacube.plans.extract import extract_all
-from portacube.plans.pipeline import build_and_load, build_warehouse
+from portacube.plans.pipeline import build_and_load, build_warehouse, stage_extracts
 from portacube.sources.readers import read_warehouse
 
 
@@ -28,9 +28,7 @@ def test_project_measures_single_aggregate_no_sort_aggregate(spark):
     root = tempfile.mkdtemp(prefix="portacube-plan-")
     build_and_load(spark, sources(spark), root, as_of="2021-01-01", extracted_at="2021-01-01 00:00:00",
                    extend_calendar=False)
-    st = {n: spark.read.parquet(f"{root}/_staging/{n}") for n in
-          ["proyectos", "contratos", "gastos", "asignaciones", "hitos", "tareas", "errores", "pruebas",
-           "penalizaciones"]}
+    st = stage_extracts(spark, extract_all(sources(spark), as_of="2021-01-01"), f"{root}/again")
     wh = read_warehouse(spark, root)
     m = FT.project_measures(st, wh["dim_proyectos"], wh["dim_tareas"], TB.calendar_summary(wh["dim_tiempo"]))
     phys = _plan(m)
@@ -56,7 +54,43 @@ def test_keep_first_single_order_is_hash_aggregate(spark):
     assert "SortAggregate" not in phys and "Window" not in phys
 
 
-def test_extract_scan_prunes_columns(ctx):
-    ext, _ = ctx
-    phys = _plan(ext["clientes"])
-    assert "CartesianProduct" not in phys
+def test_extract_scan_prunes_columns(spark, scratch):
+    src = {}
+    for name, df in sources(spark).items():
+        df.write.mode("overwrite").parquet(f"{scratch}/{name}")
+        src[name] = spark.read.parquet(f"{scratch}/{name}")
+    phys = extract_all(src, as_of="2021-01-01")["clientes"]
+    phys = _plan(phys)
+    scans = [x.split("ReadSchema: ")[1] for x in phys.split("\n") if "ReadSchema: " in x]
+    contracts = [x for x in scans if "ID_Contrato" in x or "ID_Cliente" in x]
+    assert contracts and not any("ValorTotalContrato" in x or "NombreProyecto" in x for x in scans)
+    assert "PushedFilters: [In(Estado" in phys and "CartesianProduct" not in phys
+
+
+def test_project_view_joins(spark, scratch):
+    """Unused joins are dropped, the expense dimension is cut to two keys, clients join projects first."""
+    from portacube.plans import kpis as K
+    from portacube.plans.views import olap_dataset, vista_asignaciones_completa, vista_proyectos_completa
+    build_and_load(spark, sources(spark), scratch, as_of="2021-01-01", extend_calendar=False)
+    w = read_warehouse(spark, scratch)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        by_client = _plan(K.kpis_by_client(olap_dataset(vista_proyectos_completa(w))))
+        assert "dim_gastos" not in by_client and "dim_tiempo" not in by_client
+        whole = _plan(vista_proyectos_completa(w))
+        assert "PushedFilters: [In(ID_Finanza, [0,1])]" in whole
+        # fact: project, calendar and employee key; client is joined on the project side
+        assert _plan(vista_asignaciones_completa(w)).count("SortMergeJoin") == 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_composite_keys_never_collide(spark, scratch):
+    """Large key values neither overflow nor meet: order 10^12, line 10 and 100, part above 10^5, supplier above 10^4."""
+    from portacube.sources.binding import _milestone_id, _task_id
+    rows = [(1, 1, 100001, 5), (1, 2, 1, 5), (10**12, 10, 1, 1), (10**12, 1, 1, 1), (1, 11, 1, 10001), (1, 1, 1, 110001),
+            (11, 1, 1, 10001), (1, 110, 1, 1), (11, 10, 1, 1)]
+    df = spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long")
+    got = df.select(_task_id().alias("t"), _milestone_id().alias("m")).collect()
+    assert len({r.t for r in got}) == len(rows)
+    assert len({r.m for r in got}) == len({r[:2] for r in rows})
