@@ -233,7 +233,7 @@ def histories(merged: DataFrame) -> DataFrame:
 def read_archives(spark: SparkSession, runs: DataFrame, folder: str, scratch: Scratch) -> DataFrame:
     """Read every archive named by the runs back; a revisit gets size and digest from the response it refers to."""
     files = runs.select("file").distinct()
-    read = scratch.stage(files.repartition(max(1, files.count()), "file").mapInArrow(_read(folder), RECORD), "read")
+    read = scratch.stage(files.repartitionByRange(max(1, files.count()), "file").mapInArrow(_read(folder), RECORD), "read")
     stored = (read.where("type = 'response'").groupBy(F.col("page_id").alias("of"), F.col("digest").alias("d"))
               .agg(F.max("bytes").alias("stored")))
     again = (read.where("type = 'revisit'")
