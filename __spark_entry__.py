@@ -32,6 +32,7 @@ from portacube.plans.views import (olap_dataset, vista_asignaciones_completa,  #
                                    vista_hitos_tareas, vista_proyectos_completa)
 from portacube.schemas import WAREHOUSE_SCHEMAS  # noqa: E402
 from portacube.sources.binding import bind_sources  # noqa: E402
+from portacube.sources.sinks import conform  # noqa: E402
 
 AS_OF = "2024-01-01"
 EXTRACTED_AT = "2024-01-01 00:00:00"
@@ -136,6 +137,35 @@ def _lookup_last(spark, sf_dir):
     return TB.lookup_last(a, "ID_Empleado", ctx.ext["empleados"], "ID_Empleado", ["CostoPorHora"])
 
 
+def _lookup_last_duplicates(spark, sf_dir):
+    """The hours of each employee's latest assignment: many lookup rows per key, the last by (date, id) wins."""
+    ctx = _ctx(spark, sf_dir)
+    return TB.lookup_last(ctx.src["empleados"].select("ID_Empleado", "NombreCompleto"), "ID_Empleado",
+                          ctx.src["asignaciones"], "ID_Empleado", ["HorasReales"],
+                          order_by=["FechaAsignacion", "ID_Asignacion"])
+
+
+def _coerce_dates(spark, sf_dir):
+    """Text dates, some unparsable or empty."""
+    p = _ctx(spark, sf_dir).src["proyectos"]
+    text = (F.when(F.col("ID_Proyecto") % 7 == 0, "no date").when(F.col("ID_Proyecto") % 11 == 0, "")
+            .otherwise(F.col("FechaInicio").cast("string")))
+    return p.select("ID_Proyecto", X.as_date(text).alias("fecha"))
+
+
+def _conform_rules(spark, sf_dir):
+    """A frame with a missing column, a missing default, NaN and a column too many, conformed to its table."""
+    p = _ctx(spark, sf_dir).w["dim_proyectos"]
+    df = p.select("NumTrabajadores", "ID_Proyecto", "CodigoProyecto", "ID_Cliente", F.lit("x").alias("junk"),
+                  F.when(F.col("ID_Proyecto") % 2 == 0, F.col("Cancelado")).alias("Cancelado"), "TotalErrores")
+    return conform(df, "dim_proyectos")
+
+
+def _build_audit(spark, sf_dir):
+    ctx = _ctx(spark, sf_dir)
+    return Q.build_audit(ctx.ext, ctx.w)
+
+
 def _dense_id(spark, sf_dir):
     g = _ctx(spark, sf_dir).ext["gastos"].select("ID_Gasto", "ID_Proyecto", "Fecha")
     return TB.dense_id(g, ["ID_Proyecto", "Fecha", "ID_Gasto"], name="row_id")
@@ -327,6 +357,10 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "orphan_count": _orphan_count,
         "keep_first": _keep_first,
         "lookup_last": _lookup_last,
+        "lookup_last_duplicates": _lookup_last_duplicates,
+        "coerce_dates": _coerce_dates,
+        "conform_rules": _conform_rules,
+        "build_audit": _build_audit,
         "dense_id": _dense_id,
         "date_key_clamped": _date_key_clamped,
         "date_key_ranged": _date_key_ranged,

@@ -418,6 +418,22 @@ ORACLE.update({
     "alert_total": ORACLE["kpi_alerts"].replace(ALL_CTES + "\n", ALL_CTES
                                                 + "\nSELECT COUNT(*) AS total_alertas FROM (") + ")",
 })
+BUILT = {"dim_clientes": "x_clientes", "dim_empleados": "x_empleados", "dim_proyectos": "x_proyectos",
+         "dim_hitos": "x_hitos", "dim_tareas": "x_tareas", "dim_pruebas": "x_pruebas",
+         "hechos_asignaciones": "x_asignaciones", "hechos_proyectos": "x_proyectos"}
+ORACLE.update({
+    "lookup_last_duplicates": q("""SELECT e.ID_Empleado, e.NombreCompleto, a.HorasReales FROM s_empleados e LEFT JOIN (
+  SELECT * FROM s_asignaciones QUALIFY row_number() OVER (
+    PARTITION BY ID_Empleado ORDER BY FechaAsignacion DESC, ID_Asignacion DESC) = 1) a USING (ID_Empleado)"""),
+    "coerce_dates": q("""SELECT ID_Proyecto, CASE WHEN ID_Proyecto % 7 <> 0 AND ID_Proyecto % 11 <> 0
+  THEN FechaInicio END AS fecha FROM s_proyectos"""),
+    "conform_rules": q("""SELECT ID_Proyecto, CodigoProyecto, CAST(NULL AS VARCHAR) AS Version,
+  CAST(CASE WHEN ID_Proyecto % 2 = 0 THEN coalesce(Cancelado, 0) ELSE 0 END AS INTEGER) AS Cancelado, ID_Cliente,
+  TotalErrores, NumTrabajadores FROM dim_proyectos"""),
+    "build_audit": q(" UNION ALL ".join(
+        f"SELECT '{t}' AS \"table\", (SELECT COUNT(*) FROM {x}) AS rows_in, (SELECT COUNT(*) FROM {t}) AS rows_out"
+        for t, x in BUILT.items())),
+})
 # Every extract carries its time
 for _name in [n for n in ORACLE if n.startswith("extract_") or n == "incremental_filter"]:
     ORACLE[_name] = ORACLE[_name].replace(

@@ -26,18 +26,6 @@ def as_date(x) -> Column:
     return _c(x).try_cast("date")
 
 
-def as_number(x, default: float | None = 0) -> Column:
-    """Coerce to DOUBLE; unparsable or missing becomes ``default``."""
-    v = _c(x).try_cast("double")
-    return v if default is None else F.coalesce(v, F.lit(float(default)))
-
-
-def nan_to_null(x) -> Column:
-    """NaN -> NULL, so comparisons and averages follow SQL NULL rules."""
-    c = _c(x)
-    return F.when(~F.isnan(c), c)
-
-
 def trim_default(x, default: str | None) -> Column:
     """Strip blanks; missing becomes ``default``."""
     t = F.trim(_c(x).cast("string"))
@@ -169,18 +157,6 @@ def status_class(value, direction: str, good: float, bad: float) -> Column:
             .otherwise(F.lit(KPI_REGULAR)))
 
 
-def status_class_by(value, direction: Column, good: Column, bad: Column) -> Column:
-    """``status_class`` with direction and cut points taken from columns (threshold table join)."""
-    from portacube.schemas import KPI_BAD, KPI_GOOD, KPI_REGULAR
-    v = _c(value)
-    higher = direction == F.lit("higher")
-    is_good = F.when(higher, v >= good).otherwise(v <= good)
-    is_bad = F.when(higher, v < bad).otherwise(v > bad)
-    return (F.when(F.coalesce(is_good, F.lit(False)), F.lit(KPI_GOOD))
-            .when(F.coalesce(is_bad, F.lit(False)), F.lit(KPI_BAD))
-            .otherwise(F.lit(KPI_REGULAR)))
-
-
 EXACT_SUM_TYPE = "decimal(38,9)"
 
 

@@ -179,16 +179,12 @@ def densify(long_df: DataFrame, rows: Sequence[str], cols: Sequence[str],
 
 
 def to_wide(long_df: DataFrame, rows: Sequence[str], col: str, measures: Sequence[str],
-            values: Sequence[str] | None = None, sep: str = "__") -> DataFrame:
+            values: Sequence[str], sep: str = "__") -> DataFrame:
     """Wide view ``measure{sep}colvalue`` of a long crosstab with one column key.
 
-    Pass ``values`` (the known column domain) to avoid the extra distinct
-    job; otherwise Spark collects the distinct values, bounded by
-    ``spark.sql.pivotMaxValues``.
+    ``values`` is the column domain: nothing is collected to find it.
     """
-    g = long_df.groupBy(*rows)
-    p = g.pivot(col, list(values)) if values is not None else g.pivot(col)
-    wide = p.agg(*[F.first(m).alias(m) for m in measures])
+    wide = long_df.groupBy(*rows).pivot(col, list(values)).agg(*[F.first(m).alias(m) for m in measures])
     if len(measures) == 1:
         return wide.select(*rows, *[F.col(f"`{c}`").alias(f"{measures[0]}{sep}{c}")
                                     for c in wide.columns if c not in rows])

@@ -34,9 +34,6 @@ QUALITY_BINS = ([0.0, 0.7, 0.85, 0.95, 1.0],
                 ["Baja", "Media", "Alta", "Excelente"])
 DEVIATION_LABELS = ("Sobre Presupuesto", "Bajo Presupuesto", "En Presupuesto")
 # date-key conventions of the two builders and the default calendar range
-MILESTONE_DATE_BASE = "2019-01-01"
-PROJECT_DATE_BASE = "2018-01-01"
-PROJECT_DATE_MAX_KEY = 3375
 CALENDAR_DEFAULT_START = "2019-01-01"
 CALENDAR_DEFAULT_END = "2025-12-31"
 # margin labels of the pivot cubes
