@@ -254,6 +254,9 @@ def _cube(op: str):
             return c.shape()
         if op == "slice_empty":
             return kpi_cube_single(c).slice("Estado", "no such state")
+        if op == "pivot_dense":
+            return c.pivot(["Estado"], ["CategoriaPresupuesto"], "Presupuesto", "mean",
+                           domains=P.category_domains(["CategoriaPresupuesto"]))
         if op == "project_base":
             return project_cube(_ctx(spark, sf_dir).olap()).base()
         raise ValueError(op)
@@ -392,6 +395,7 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cube_pivot": _cube("pivot"),
         "cube_info": _cube("info"),
         "cube_shape": _cube("shape"),
+        "cube_pivot_dense": _cube("pivot_dense"),
         "cube_slice_empty": _cube("slice_empty"),
         "project_cube_base": _cube("project_base"),
         "crosstab_margins": _crosstab_margins,
@@ -407,6 +411,9 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cubes_p8": _p(P.cube_kpis_main),
         "cubes_p9": _p(P.cube_kpis_time),
         "cubes_p10": _p(P.cube_kpis_category),
+        "cubes_p2_dense": _p(P.cube_productivity_quality, dense=True),
+        "cubes_p3_dense": _p(P.cube_financial, dense=True),
+        "cubes_p10_dense": _p(P.cube_kpis_category, dense=True),
         "kpi_table_a": _kpi("a"),
         "kpi_table_b": _kpi("b"),
         "kpi_alerts": _kpi("alerts"),

@@ -418,6 +418,27 @@ ORACLE.update({
     "alert_total": ORACLE["kpi_alerts"].replace(ALL_CTES + "\n", ALL_CTES
                                                 + "\nSELECT COUNT(*) AS total_alertas FROM (") + ")",
 })
+LABELS = {"CategoriaPresupuesto": ["Pequeño", "Mediano", "Grande", "Mega"],
+          "CategoriaProductividad": ["Baja", "Media", "Alta", "Muy Alta"],
+          "CategoriaCalidad": ["Baja", "Media", "Alta", "Excelente"],
+          "TipoDesviacion": ["Sobre Presupuesto", "Bajo Presupuesto", "En Presupuesto"]}
+
+
+def _dense(name: str, keys, measures: dict, fill) -> str:
+    """The crosstab query ``name`` with every combination of the category labels (and observed other keys)."""
+    lists = [f"(SELECT unnest({LABELS[k]!r}) AS {k})" if k in LABELS
+             else f"(SELECT DISTINCT {k} FROM __ct WHERE grouping_id = 0)" for k in keys]
+    out = []
+    for m, kind in measures.items():
+        value = fill if fill is not None else (0 if kind in ("sum", "count") else None)
+        out.append(f"c.{m} AS {m}" if value is None else f"COALESCE(c.{m}, {value}) AS {m}")
+    on = " AND ".join(f"s.{k} = c.{k}" for k in keys)
+    return (f"WITH __ct AS ({ORACLE[name]})\nSELECT {', '.join('s.' + k for k in keys)}, 0 AS grouping_id, "
+            f"{', '.join(out)} FROM (SELECT * FROM {' CROSS JOIN '.join(lists)}) s LEFT JOIN "
+            f"(SELECT * FROM __ct WHERE grouping_id = 0) c ON {on} "
+            f"UNION ALL SELECT {', '.join(keys)}, grouping_id, {', '.join(measures)} FROM __ct WHERE grouping_id <> 0")
+
+
 BUILT = {"dim_clientes": "x_clientes", "dim_empleados": "x_empleados", "dim_proyectos": "x_proyectos",
          "dim_hitos": "x_hitos", "dim_tareas": "x_tareas", "dim_pruebas": "x_pruebas",
          "hechos_asignaciones": "x_asignaciones", "hechos_proyectos": "x_proyectos"}
@@ -430,6 +451,14 @@ ORACLE.update({
     "conform_rules": q("""SELECT ID_Proyecto, CodigoProyecto, CAST(NULL AS VARCHAR) AS Version,
   CAST(CASE WHEN ID_Proyecto % 2 = 0 THEN coalesce(Cancelado, 0) ELSE 0 END AS INTEGER) AS Cancelado, ID_Cliente,
   TotalErrores, NumTrabajadores FROM dim_proyectos"""),
+    "cube_pivot_dense": _dense("cube_pivot", ["Estado", "CategoriaPresupuesto"], {"Presupuesto": "mean"}, 0),
+    "cubes_p2_dense": _dense("cubes_p2", ["CategoriaProductividad", "CategoriaCalidad", "Estado"], {
+        "ID_Proyecto": "count", "Presupuesto": "mean", "DesviacionPresupuestal": "mean"}, 0),
+    "cubes_p3_dense": _dense("cubes_p3", ["CategoriaPresupuesto", "TipoDesviacion", "CodigoClienteReal"], {
+        "ID_Proyecto": "count", "Presupuesto": "sum", "CosteReal": "sum", "DesviacionPresupuestal": "sum"}, 0),
+    "cubes_p10_dense": _dense("cubes_p10", ["CategoriaPresupuesto", "CategoriaProductividad"], {
+        "cumplimiento_presupuesto": "mean", "proyecto_exitoso": "mean", "TasaDeExitoEnPruebas": "mean100",
+        "ProductividadPromedio": "mean", "PorcentajeTareasRetrasadas": "mean", "ID_Proyecto": "count"}, None),
     "build_audit": q(" UNION ALL ".join(
         f"SELECT '{t}' AS \"table\", (SELECT COUNT(*) FROM {x}) AS rows_in, (SELECT COUNT(*) FROM {t}) AS rows_out"
         for t, x in BUILT.items())),

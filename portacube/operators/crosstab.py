@@ -20,6 +20,7 @@ Semantics follow the classic spreadsheet pivot table:
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -154,28 +155,38 @@ def densify(long_df: DataFrame, rows: Sequence[str], cols: Sequence[str],
     """Add the unobserved category combinations of the cell rows (M5).
 
     Every key needs a fixed domain (category lists, e.g. the bin labels) except
-    at most one, whose observed values are used.  The scaffold is built by
-    exploding literal arrays onto the observed values — no cross join of data
-    sets — and the cells are left-joined onto it; margins pass through.
+    at most one, whose observed values are used.  The crosstab is computed
+    once: each cell row also stands for the empty cells of its free value
+    (without one, the empty cells are literals), and one aggregate keeps the
+    filled cell of each key.  Empty cells get ``fill_value``; with None, sums
+    and counts are 0 and means NULL.  Margins pass through.
     """
     keys = list(rows) + list(cols)
     free = [k for k in keys if k not in domains]
     if len(free) > 1:
         raise ValueError(f"at most one key without a fixed domain, got {free}")
-    cells = long_df.where(F.col("grouping_id") == 0)
+    kinds = {m: long_df.schema[m].dataType for m in measures}
+    combos = list(itertools.product(*[[str(v) for v in domains[k]] for k in keys if k in domains]))
+
+    def empty(combo):
+        fixed = iter(combo)
+        return F.struct(*[(F.lit(next(fixed)) if k in domains else F.col(k)).cast("string").alias(k) for k in keys],
+                        F.lit(0).alias("grouping_id"), *[F.lit(None).cast(t).alias(m) for m, t in kinds.items()])
+    own = F.struct(*[F.col(k).cast("string").alias(k) for k in keys], F.col("grouping_id").cast("int").alias("grouping_id"),
+                   *[F.col(m) for m in measures])
     if free:
-        scaffold = cells.select(free[0]).distinct()
+        cells = F.when(F.col("grouping_id") == 0, F.array(own, *[empty(c) for c in combos])).otherwise(F.array(own))
+        laid = long_df.select(F.explode(cells).alias("x")).select("x.*")
     else:
-        scaffold = long_df.sparkSession.range(1).select()
-    for k in keys:
-        if k in domains:
-            scaffold = scaffold.withColumn(k, F.explode(F.array(*[F.lit(str(v)) for v in domains[k]])))
-    dense = (scaffold.join(cells, keys, "left")
-             .withColumn("grouping_id", F.lit(0))
-             .select(*keys, "grouping_id",
-                     *[F.coalesce(F.col(m), F.lit(fill_value).cast(long_df.schema[m].dataType)).alias(m)
-                       for m in measures]))
-    return dense.unionByName(long_df.where(F.col("grouping_id") != 0))
+        empties = long_df.sparkSession.range(1).select(F.explode(F.array(*[empty(c) for c in combos])).alias("x"))
+        laid = long_df.select(own.alias("x")).select("x.*").unionByName(empties.select("x.*"))
+    full = laid.groupBy(*keys, "grouping_id").agg(*[F.max(m).alias(m) for m in measures])
+
+    def filled(m, kind):
+        fill = fill_value if fill_value is not None else (0 if kind in ("sum", "count") else None)
+        return F.when(F.col("grouping_id") == 0, F.coalesce(F.col(m), F.lit(fill).cast(kinds[m]))).otherwise(
+            F.col(m)).alias(m)
+    return full.select(*keys, "grouping_id", *[filled(m, k) for m, k in measures.items()])
 
 
 def to_wide(long_df: DataFrame, rows: Sequence[str], col: str, measures: Sequence[str],

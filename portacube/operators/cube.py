@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from portacube.functions import exprs as X
-from portacube.operators.crosstab import crosstab
+from portacube.operators.crosstab import crosstab, densify
 from portacube.schemas import MARGIN_TOTAL
 
 
@@ -127,14 +127,18 @@ class Cube:
         dims = dims + ([child] if child not in dims else [])
         return self._group(filtered, dims)
 
-    def pivot(self, rows: Sequence[str], cols: Sequence[str], measure: str, aggregation: str = "sum") -> DataFrame:
-        """Pivot with fill 0 and ``TOTAL`` margins (long form, see ``crosstab``)."""
+    def pivot(self, rows: Sequence[str], cols: Sequence[str], measure: str, aggregation: str = "sum",
+              domains: Mapping[str, Sequence] | None = None) -> DataFrame:
+        """Pivot with fill 0 and ``TOTAL`` margins (long form, see ``crosstab``).
+
+        ``domains`` (label lists of all keys but one at most) adds the unobserved cells.
+        """
         if measure not in self.measures:
             raise ValueError(f"measure {measure!r} is not in the cube")
         for d in list(rows) + list(cols):
             self._check_dim(d)
-        return crosstab(self.data, rows, cols, {measure: aggregation}, fill_value=0,
-                        margins_name=MARGIN_TOTAL)
+        out = crosstab(self.data, rows, cols, {measure: aggregation}, fill_value=0, margins_name=MARGIN_TOTAL)
+        return densify(out, rows, cols, domains, {measure: aggregation}) if domains else out
 
     def preview(self, n: int = 20) -> DataFrame:
         """M6: the first ``n`` rows of the base cube in dimension order (a top-n, by design)."""

@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from portacube.functions import exprs as X
-from portacube.operators.crosstab import crosstab, default_aggregation
+from portacube.operators.crosstab import crosstab, default_aggregation, densify
 from portacube.operators.cube import Cube, kpi_cube, project_cube
-from portacube.schemas import MARGIN_ALL, MARGIN_AVERAGE, MARGIN_TOTAL
+from portacube.schemas import (BUDGET_BINS, DEVIATION_LABELS, MARGIN_ALL, MARGIN_AVERAGE, MARGIN_TOTAL,
+                               PRODUCTIVITY_BINS, QUALITY_BINS)
 
 
 def budget_compliance(p="Presupuesto", c="CosteReal") -> Column:
@@ -31,6 +32,13 @@ def on_time(delay="RetrasoFinalDias") -> Column:
     return X.pct_indicator(F.col(delay) <= 0)
 
 
+def category_domains(keys: list[str]) -> dict[str, list[str]]:
+    """The fixed label lists of those of ``keys`` that are categories."""
+    known = {"CategoriaPresupuesto": BUDGET_BINS[1], "CategoriaProductividad": PRODUCTIVITY_BINS[1],
+             "CategoriaCalidad": QUALITY_BINS[1], "TipoDesviacion": list(DEVIATION_LABELS)}
+    return {k: known[k] for k in keys if k in known}
+
+
 def cube_base(df: DataFrame) -> DataFrame:
     """Client, state x start quarter; budget/cost sums, productivity mean."""
     return crosstab(df, ["CodigoClienteReal", "Estado"], ["PeriodoInicio"],
@@ -38,18 +46,20 @@ def cube_base(df: DataFrame) -> DataFrame:
                     margins_name=MARGIN_TOTAL)
 
 
-def cube_productivity_quality(df: DataFrame) -> DataFrame:
-    """Productivity x quality category by state."""
-    return crosstab(df, ["CategoriaProductividad", "CategoriaCalidad"], ["Estado"],
-                    {"ID_Proyecto": "count", "Presupuesto": "mean", "DesviacionPresupuestal": "mean"},
-                    fill_value=0, margins_name=MARGIN_ALL)
+def cube_productivity_quality(df: DataFrame, dense: bool = False) -> DataFrame:
+    """Productivity x quality category by state; ``dense`` adds the unobserved category pairs."""
+    rows, cols = ["CategoriaProductividad", "CategoriaCalidad"], ["Estado"]
+    measures = {"ID_Proyecto": "count", "Presupuesto": "mean", "DesviacionPresupuestal": "mean"}
+    out = crosstab(df, rows, cols, measures, fill_value=0, margins_name=MARGIN_ALL)
+    return densify(out, rows, cols, category_domains(rows + cols), measures) if dense else out
 
 
-def cube_financial(df: DataFrame, column: str = "CodigoClienteReal") -> DataFrame:
-    """Budget category x deviation type by client."""
-    return crosstab(df, ["CategoriaPresupuesto", "TipoDesviacion"], [column],
-                    {"ID_Proyecto": "count", "Presupuesto": "sum", "CosteReal": "sum",
-                     "DesviacionPresupuestal": "sum"}, fill_value=0, margins_name=MARGIN_ALL)
+def cube_financial(df: DataFrame, column: str = "CodigoClienteReal", dense: bool = False) -> DataFrame:
+    """Budget category x deviation type by client; ``dense`` adds the unobserved category pairs per client."""
+    rows = ["CategoriaPresupuesto", "TipoDesviacion"]
+    measures = {"ID_Proyecto": "count", "Presupuesto": "sum", "CosteReal": "sum", "DesviacionPresupuestal": "sum"}
+    out = crosstab(df, rows, [column], measures, fill_value=0, margins_name=MARGIN_ALL)
+    return densify(out, rows, [column], category_domains(rows), measures) if dense else out
 
 
 def cube_time_state(df: DataFrame) -> DataFrame:
@@ -128,12 +138,14 @@ def cube_kpis_time(df: DataFrame) -> DataFrame:
                      "ProductividadPromedio": "mean", "ID_Proyecto": "count"}, margins_name=MARGIN_AVERAGE)
 
 
-def cube_kpis_category(df: DataFrame) -> DataFrame:
-    """P10: budget category x productivity category."""
-    return crosstab(kpi_measures(df), ["CategoriaPresupuesto"], ["CategoriaProductividad"],
-                    {"cumplimiento_presupuesto": "mean", "proyecto_exitoso": "mean",
-                     "TasaDeExitoEnPruebas": "mean100", "ProductividadPromedio": "mean",
-                     "PorcentajeTareasRetrasadas": "mean", "ID_Proyecto": "count"}, margins_name=MARGIN_TOTAL)
+def cube_kpis_category(df: DataFrame, dense: bool = False) -> DataFrame:
+    """P10: budget category x productivity category; ``dense`` adds the unobserved pairs."""
+    rows, cols = ["CategoriaPresupuesto"], ["CategoriaProductividad"]
+    measures = {"cumplimiento_presupuesto": "mean", "proyecto_exitoso": "mean",
+                "TasaDeExitoEnPruebas": "mean100", "ProductividadPromedio": "mean",
+                "PorcentajeTareasRetrasadas": "mean", "ID_Proyecto": "count"}
+    out = crosstab(kpi_measures(df), rows, cols, measures, margins_name=MARGIN_TOTAL)
+    return densify(out, rows, cols, category_domains(rows + cols), measures, fill_value=None) if dense else out
 
 
 def build_cubes(dataset: DataFrame) -> dict[str, Cube]:

@@ -21,15 +21,14 @@ def hechos_asignaciones(ext: dict[str, DataFrame], dim_proj: DataFrame, cal_summ
 
     FK filter on projects (B1), date key floored at 1 and clipped to the
     calendar size, missing date -> 0 (B7, B8), hours coerced with default 0
-    (B13), ValorHoras = real hours x hourly cost looked up by employee with
-    missing cost -> 0 (F1a), RetrasoHoras = real - planned (F1b), dense id in
+    (B13), ValorHoras = real hours x the employee's hourly cost, which the
+    extract carries, with missing cost -> 0 (F1a), RetrasoHoras = real - planned (F1b), dense id in
     extract order (project, date) (B5).
     """
     a = TB.fk_filter(ext["asignaciones"], "ID_Proyecto", dim_proj, "ID_Proyecto")
     a = a.select("ID_Asignacion", "ID_Proyecto", "ID_Empleado", "FechaAsignacion",
                  F.coalesce(F.col("HorasPlanificadas").try_cast("int"), F.lit(0)).alias("HorasPlanificadas"),
-                 F.coalesce(F.col("HorasReales").try_cast("int"), F.lit(0)).alias("HorasReales"))
-    a = TB.lookup_last(a, "ID_Empleado", ext["empleados"], "ID_Empleado", ["CostoPorHora"])
+                 F.coalesce(F.col("HorasReales").try_cast("int"), F.lit(0)).alias("HorasReales"), "CostoPorHora")
     start = cal_summary.select("cal_start").scalar()
     days = cal_summary.select("cal_days").scalar()
     a = a.select(
