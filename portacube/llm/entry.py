@@ -51,7 +51,46 @@ SELECT doc_id, size, source_size, target,
 FROM p
 """
 
-ORACLE = {"op3_source_mix": MIX_SQL, "op7_warc": warc.WARC_SQL}
+LINKED_SQL = """
+r AS (SELECT u AS id, v AS other FROM l UNION SELECT r.id, l.v FROM r JOIN l ON r.other = l.u),
+c AS (SELECT id, MIN(other) AS least_id FROM r GROUP BY id)
+"""
+
+MINHASH_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 2 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])
+                                      ELSE w END) AS shingle
+  FROM d),
+n AS (SELECT doc_id, COUNT(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS u, b.doc_id AS v, COUNT(*) AS shared FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+      GROUP BY ALL),
+l AS (SELECT p.u, p.v FROM p JOIN n x ON x.doc_id = p.u JOIN n y ON y.doc_id = p.v
+      WHERE 100 * shared >= 80 * (x.n + y.n - shared)),
+""" + LINKED_SQL + """
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(c.least_id, d.doc_id)) AS component_id,
+       d.doc_id <= coalesce(c.least_id, d.doc_id) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN c ON c.id = d.doc_id
+"""
+
+LATTICE_SQL = """
+WITH RECURSIVE x AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda a: a IS NULL OR NOT isfinite(a))) = 0
+    AND len(list_filter(embedding, lambda a: a <> 0)) > 0),
+l AS (SELECT a.vec_id AS u, b.vec_id AS v FROM x a JOIN x b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+""" + LINKED_SQL + """
+SELECT e.vec_id, (SELECT COUNT(*) FROM l WHERE l.u = e.vec_id)::BIGINT AS n_links,
+       least(e.vec_id, coalesce(c.least_id, e.vec_id)) AS component_id, e.vec_id <= coalesce(c.least_id, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN c ON c.id = e.vec_id
+"""
+
+ORACLE = {"op3_source_mix": MIX_SQL, "op5_minhash": MINHASH_SQL, "op7_warc": warc.WARC_SQL,
+          "op9_lattice": LATTICE_SQL}
 
 
 def queries() -> dict:
