@@ -18,9 +18,11 @@ MAX_LANGUAGES = 64
 MIN_LABELLED = 5  # rows that declare a language before it is modelled
 EFFECTIVE = 150  # independent trigrams that a text counts for at most
 SMOOTH = 8.0  # pseudo-rows of a parent in its child's prior
-REJECT_Z = 6.0  # deviations below the texts of the same language
+REJECT_Z = 6.0  # deviations below the labelled texts of the same language
 MIN_SD = 0.25  # deviation of mean log likelihoods that is assumed at least
 GRAM_SD = 3.0  # deviation of one trigram's log likelihood
+TAIL = 4.0  # times the deviation near the median that the whole deviation counts for at most
+STEP = 0.01  # to which log likelihoods are rounded for their median
 MIN_POSTERIOR = 0.5
 PIECE = 1 << 20
 
@@ -53,10 +55,23 @@ def _count(batches):
                                          ["lang", "bucket", "n"])
 
 
-def _score(model: np.ndarray, text_at: int):
-    """Add (trigrams, mean log likelihood per language) to every row, in place of the text; -1 marks blank texts."""
+def _score(table: np.ndarray, text_at: int):
+    """Add (trigrams, mean log likelihood per language, that under the declared language without the text's own
+    counts) to every row, in place of the text and the two columns after it; -1 marks blank texts.
+
+    Those two are the number of the declared language, null if there is none, and whether ``table`` counts the text.
+    """
+    def held_out(data, lang):
+        own = np.zeros(BUCKETS)
+        for piece in _pieces(data):
+            own += np.bincount(_grams(piece), minlength=BUCKETS)
+        at = np.flatnonzero(own)
+        return own[at] @ (np.log(table[lang, at] - own[at]) - np.log(table[lang].sum() - own.sum())) / own.sum()
+
     def run(batches):
+        model = np.log(table / table.sum(axis=1, keepdims=True))
         for batch in batches:
+            said, counted = batch.column(text_at + 1).to_pylist(), batch.column(text_at + 2).to_pylist()
             offsets, data = textkit.strings(batch.column(text_at))
             sums = np.zeros((batch.num_rows, len(model)))
             sizes = np.maximum(np.diff(offsets) - 2, 0)
@@ -67,39 +82,72 @@ def _score(model: np.ndarray, text_at: int):
                     sums[i] += model[:, _grams(piece)].sum(axis=1)
             means = sums / np.maximum(sizes, 1)[:, None]
             sizes = np.where(blank, -1, sizes)
-            rest = [batch.column(i) for i in range(batch.num_columns) if i != text_at]
+            held = [None if lang is None or sizes[i] < 1 else means[i, lang] if not counted[i]
+                    else held_out(data[offsets[i]:offsets[i + 1]], lang) for i, lang in enumerate(said)]
+            rest = [batch.column(i) for i in range(text_at)]
             scores = pa.ListArray.from_arrays(np.arange(batch.num_rows + 1, dtype=np.int32) * len(model),
                                               pa.array(means.reshape(-1)))
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(sizes.astype(np.int64)), scores],
-                                             [str(i) for i in range(len(rest) + 2)])
+            yield pa.RecordBatch.from_arrays(
+                [*rest, pa.array(sizes.astype(np.int64)), scores, pa.array(said, pa.int32()),
+                 pa.array(held, pa.float64())], [str(i) for i in range(len(rest) + 4)])
     return run
 
 
+def _named(declared: str) -> Column:
+    return F.lower(F.regexp_extract(F.col(declared).cast("string"), "^[A-Za-z]+", 0))
+
+
 def fit(docs: DataFrame, text: str, declared: str, key: str,
-        per_language: int = TRAIN_PER_LANGUAGE) -> tuple[list[str], np.ndarray]:
-    """Languages and their trigram log probabilities, from rows that declare a language.
+        per_language: int = TRAIN_PER_LANGUAGE) -> tuple[list[str], np.ndarray, Column, Column]:
+    """Languages and their smoothed trigram counts, from rows that declare a language; a row's language number and
+    whether it is counted, as expressions over ``docs``.
 
     About ``per_language`` rows of each language are drawn by a hash of their
     key.  At most MAX_LANGUAGES * BUCKETS counts reach the driver.
     """
-    lang = F.lower(F.regexp_extract(F.col(declared).cast("string"), "^[A-Za-z]+", 0))
-    named = docs.select(lang.alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(key), F.lit(11)).alias("h"))
+    named = docs.select(_named(declared).alias("lang"))
     counts = (named.where("lang <> ''").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
               .where(F.col("n") >= MIN_LABELLED).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect())
     langs = sorted(r["lang"] for r in counts)
     if not langs:
-        return [], np.zeros((0, BUCKETS))
+        return [], np.zeros((0, BUCKETS)), F.lit(None).cast("int"), F.lit(False)
     span = 1 << 20
-    quota = F.lit(0)
-    for r in counts:
-        quota = F.when(F.col("lang") == r["lang"], min(span, -(-per_language * span // r["n"]))).otherwise(quota)
-    sample = named.where(F.pmod("h", F.lit(span)) < quota).select("lang", "text")
+    quotas = {r["lang"]: min(span, -(-per_language * span // r["n"])) for r in counts}
+    number = F.nullif(F.array_position(F.array(*[F.lit(x) for x in langs]), F.coalesce(_named(declared), F.lit(""))),
+                      F.lit(0).cast("long")).cast("int") - 1
+    drawn = F.pmod(F.xxhash64(F.col(key), F.lit(11)), F.lit(span)) < F.get(
+        F.array(*[F.lit(quotas[x]) for x in langs]), number)
+    sample = docs.where(F.coalesce(drawn, F.lit(False))).select(_named(declared).alias("lang"), F.col(text).alias("text"))
     rows = (sample.mapInArrow(_count, "lang string, bucket long, n long").groupBy("lang", "bucket")
             .agg(F.sum("n").alias("n")).collect())
     table = np.full((len(langs), BUCKETS), 0.5)
     for lang, bucket, n in rows:
         table[langs.index(lang), bucket] += n
-    return langs, np.log(table / table.sum(axis=1, keepdims=True))
+    return langs, table, number, F.coalesce(drawn, F.lit(False))
+
+
+def _typical(counts: list[tuple[int, int, int]], n: int) -> list[tuple[float, float] | None]:
+    """(median, deviation from it) of each language's values, from (language, value in STEPs, rows); of all languages'
+    values where a language has none.
+
+    The deviation holds the tail of mixed texts, up to TAIL times that by the
+    median distance, so rows far off cannot widen it without limit.
+    """
+    def middle(values, rows):
+        order = np.argsort(values, kind="stable")
+        run = np.cumsum(rows[order])
+        return values[order][np.searchsorted(run, (run[-1] + 1) // 2)]
+
+    def typical(part):
+        if not len(part):
+            return None
+        center = middle(part[:, 1], part[:, 2])
+        near = middle(np.abs(part[:, 1] - center), part[:, 2]) * 1.4826
+        whole = np.sqrt(np.average((part[:, 1] - center) ** 2, weights=part[:, 2]))
+        return float(center * STEP), float(min(whole, TAIL * near) * STEP)
+    counts = np.array(counts, np.int64).reshape(-1, 3)
+    every = typical(counts)
+    return [typical(counts[counts[:, 0] == i]) or every for i in range(n)]
 
 
 def _tally(best: Column, n: int) -> Column:
@@ -124,8 +172,10 @@ def identify(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: st
     evidence.
 
     Not ``kept``: empty texts and white space; texts that none of the
-    languages explains (REJECT_Z deviations below the texts of that
-    language); a posterior below MIN_POSTERIOR.  Defined cases: a null text
+    languages explains (REJECT_Z deviations below the median of the texts that
+    declare that language and are nearest to it, each scored without its own
+    counts: unexplained rows without a label change nothing, labelled ones
+    below half little); a posterior below MIN_POSTERIOR.  Defined cases: a null text
     is empty; a text too short for a trigram is judged by the other evidence;
     if no row declares a language all rows are rejected; null keys and
     repeated rows are judged like others; columns named like the results are
@@ -134,15 +184,17 @@ def identify(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: st
     ship_code(spark)
     scratch = Scratch(spark, "langid")
     docs = docs.drop("language", "posterior", "text_language", "kept")
-    langs, model = fit(docs, text, declared, key)
+    langs, table, number, counted = fit(docs, text, declared, key)
     n = len(langs)
     if not n:
         return docs.drop(text).select("*", F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("posterior"),
                                       F.lit(None).cast("string").alias("text_language"), F.lit(False).alias("kept"))
     rest = [c for c in docs.columns if c != text]
     schema = T.StructType([*[T.StructField(f"k{i}", docs.schema[c].dataType) for i, c in enumerate(rest)],
-                           T.StructField("grams", T.LongType()), T.StructField("score", T.ArrayType(T.DoubleType()))])
-    scored = scratch.stage(docs.select(*rest, text).mapInArrow(_score(model, len(rest)), schema), "scored")
+                           T.StructField("grams", T.LongType()), T.StructField("score", T.ArrayType(T.DoubleType())),
+                           T.StructField("labelled", T.IntegerType()), T.StructField("held", T.DoubleType())])
+    scored = scratch.stage(docs.select(*rest, text, number.alias("_number"), counted.alias("_counted"))
+                           .mapInArrow(_score(table, len(rest)), schema), "scored")
 
     def col(name):
         return F.col(f"k{rest.index(name)}") if name in rest else F.lit(None).cast("string")
@@ -184,11 +236,13 @@ def identify(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: st
              .agg(_tally(F.col("best"), n).alias("t"), F.count("best").alias("m")).join(domains, "domain", "left")
              .select("host", F.zip_with("t", "domain_prior", lambda a, b: F.log(
                  (a + b * SMOOTH) / (F.col("m") + SMOOTH))).alias("host_prior")))
-    usual = (rows.where("best is not null").groupBy("best")
-             .agg(F.avg(F.array_max("score")).alias("mean"),
-                  F.coalesce(F.stddev(F.array_max("score")), F.lit(0.0)).alias("sd")))
+    usual = _typical([tuple(r) for r in rows.where("held is not null and best = labelled")
+                      .groupBy("labelled", F.round(F.col("held") / STEP).cast("long").alias("at")).count().collect()], n)
+
+    def typical(i):
+        return F.get(F.array(*[F.lit(u and u[i]).cast("double") for u in usual]), F.col("best"))
     joined = (rows.join(rates("said"), "said", "left").join(rates("suffix"), "suffix", "left")
-              .join(hosts, "host", "left").join(usual, "best", "left"))
+              .join(hosts, "host", "left"))
     zero = F.array(*[F.lit(0.0)] * n)
     prior = F.coalesce("host_prior", F.array(*[F.lit(float(np.log(w))) for w in world]))
     weight = F.greatest(F.least(F.col("grams"), F.lit(EFFECTIVE)), F.lit(0))
@@ -200,8 +254,8 @@ def identify(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: st
         "winner": F.array_position("total", F.col("top")).cast("int"),
         "p": 1 / F.aggregate("total", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top"))),
         # a mean over few trigrams varies more
-        "z": (F.array_max("score") - F.col("mean")) / F.sqrt(
-            F.col("sd") ** 2 + MIN_SD ** 2 + GRAM_SD ** 2 / F.greatest(F.col("grams"), F.lit(1)))})
+        "z": (F.array_max("score") - typical(0)) / F.sqrt(
+            typical(1) ** 2 + MIN_SD ** 2 + GRAM_SD ** 2 / F.greatest(F.col("grams"), F.lit(1)))})
     names = F.array(*[F.lit(x) for x in langs])
     has = F.col("grams") >= 0
     return out.select(

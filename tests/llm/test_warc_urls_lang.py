@@ -151,3 +151,27 @@ def test_evidence_and_defined_cases(spark):
     none = langid.identify(spark, df.selectExpr("doc_id", "text", "cast(null as string) as lang"))
     assert [r["kept"] for r in none.collect()] == [False] * len(rows)
     assert langid.identify(spark, df.limit(0)).collect() == []
+
+
+def sentences(rng, words):
+    return " ".join(rng.choice(words) for _ in range(rng.randrange(20, 60)))
+
+
+def invented(seed, letters, n=80):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(letters) for _ in range(rng.randrange(3, 8))) for _ in range(n)]
+
+
+def test_many_unexplained_rows_are_rejected(spark):
+    """Half of the rows nearest to a language are in an unmodelled one, or gibberish; all come from one host."""
+    rng = random.Random(5)
+    one, two, other = invented(1, "abcdefgh"), invented(2, "ijklmnop"), invented(3, "αβγδεζηθ")
+    rows = [(i, sentences(rng, (one, two)[i % 2]), (("aa", "bb")[i % 2] if i % 3 else None), "h.org") for i in range(600)]
+    rows += [(1000 + i, sentences(rng, other), None, "hot.org") for i in range(300)]
+    rows += [(2000 + i, "".join(rng.choice("qrstuvwxyz0123456789#$%&") for _ in range(200)), None, "hot.org")
+             for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, host string")
+    got = {r["doc_id"]: r for r in langid.identify(spark, df).collect()}
+    assert len(got) == len(rows)
+    assert all(got[i]["kept"] and got[i]["language"] == ("aa", "bb")[i % 2] for i in range(600))
+    assert not any(r["kept"] for i, r in got.items() if i >= 1000)
