@@ -14,8 +14,9 @@ from portacube.llm.workers import ship_code
 
 BUCKETS = 1 << 15  # hashed byte trigrams
 TRAIN_PER_LANGUAGE = 1000  # expected number of labelled rows the text model is fitted on, per language
-MAX_LANGUAGES = 64
-MIN_LABELLED = 5  # rows that declare a language before it is modelled
+BLOCK = 64  # languages whose counts are held at once
+BACKOFF = 2048.0  # trigrams of all languages' texts that are added to a language's own
+FLOOR = 1 / 64  # share of a model that is spread over all trigrams
 EFFECTIVE = 150  # independent trigrams that a text counts for at most
 SMOOTH = 8.0  # pseudo-rows of a parent in its child's prior
 REJECT_Z = 6.0  # deviations below the labelled texts of the same language
@@ -41,7 +42,7 @@ def _pieces(data: np.ndarray):
 
 
 def _count(batches):
-    """(language, bucket, n) of the training texts of one partition."""
+    """(number of the language, bucket, n) of the training texts of one partition."""
     totals = {}
     for batch in batches:
         offsets, data = textkit.strings(batch.column(1))
@@ -49,47 +50,68 @@ def _count(batches):
             own = totals.setdefault(lang, np.zeros(BUCKETS, np.int64))
             for piece in _pieces(data[offsets[i]:offsets[i + 1]]):
                 own += np.bincount(_grams(piece), minlength=BUCKETS)
+            if len(totals) > BLOCK:
+                yield from _sparse(totals)
+                totals = {}
+    yield from _sparse(totals)
+
+
+def _sparse(totals: dict):
     for lang, own in totals.items():
         at = np.flatnonzero(own)
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(own[at])],
-                                         ["lang", "bucket", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), lang, np.int32)), pa.array(at), pa.array(own[at])],
+                                         ["number", "bucket", "n"])
+
+
+def _shares(counts: np.ndarray, every: np.ndarray, counted, all_counted) -> np.ndarray:
+    """Probabilities of trigrams by their counts in a language and in ``every`` language, and the counts' totals."""
+    back = BACKOFF * (every + 0.5) / (all_counted + 0.5 * BUCKETS)
+    return (1 - FLOOR) * (counts + back) / (counted + BACKOFF) + FLOOR / BUCKETS
 
 
-def _score(table: np.ndarray, text_at: int):
-    """Add (trigrams, mean log likelihood per language, that under the declared language without the text's own
-    counts) to every row, in place of the text and the two columns after it; -1 marks blank texts.
+def _score(table: np.ndarray, every: np.ndarray, first: int, text_at: int, last: bool):
+    """Append the mean log likelihoods under the languages of ``table``, the ``first`` one and those after it, to
+    the fourth column after the text; fill the fifth, that under the declared language without the text's own counts.
 
-    Those two are the number of the declared language, null if there is none, and whether ``table`` counts the text.
+    The columns between are the number of the declared language, null if there
+    is none, and whether its counts hold the text.  The ``last`` block puts the
+    number of trigrams in place of the text, -1 for blank texts.
     """
     def held_out(data, lang):
         own = np.zeros(BUCKETS)
         for piece in _pieces(data):
             own += np.bincount(_grams(piece), minlength=BUCKETS)
-        at = np.flatnonzero(own)
-        return own[at] @ (np.log(table[lang, at] - own[at]) - np.log(table[lang].sum() - own.sum())) / own.sum()
+        at, n = np.flatnonzero(own), own.sum()
+        return own[at] @ np.log(_shares(table[lang, at] - own[at], every[at] - own[at], table[lang].sum() - n,
+                                        every.sum() - n)) / n
 
     def run(batches):
-        model = np.log(table / table.sum(axis=1, keepdims=True))
+        model = np.log(_shares(table, every, table.sum(axis=1, keepdims=True), every.sum()))
         for batch in batches:
             said, counted = batch.column(text_at + 1).to_pylist(), batch.column(text_at + 2).to_pylist()
+            before = batch.column(text_at + 3).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, first)
+            held = batch.column(text_at + 4).to_pylist()
             offsets, data = textkit.strings(batch.column(text_at))
             sums = np.zeros((batch.num_rows, len(model)))
             sizes = np.maximum(np.diff(offsets) - 2, 0)
-            solid = np.concatenate([[0], np.cumsum(~textkit.WHITE[data[offsets[0]:offsets[-1]]])])
-            blank = np.diff(solid[offsets - offsets[0]]) == 0
             for i in range(batch.num_rows):
                 for piece in _pieces(data[offsets[i]:offsets[i + 1]]):
                     sums[i] += model[:, _grams(piece)].sum(axis=1)
             means = sums / np.maximum(sizes, 1)[:, None]
-            sizes = np.where(blank, -1, sizes)
-            held = [None if lang is None or sizes[i] < 1 else means[i, lang] if not counted[i]
-                    else held_out(data[offsets[i]:offsets[i + 1]], lang) for i, lang in enumerate(said)]
-            rest = [batch.column(i) for i in range(text_at)]
-            scores = pa.ListArray.from_arrays(np.arange(batch.num_rows + 1, dtype=np.int32) * len(model),
-                                              pa.array(means.reshape(-1)))
-            yield pa.RecordBatch.from_arrays(
-                [*rest, pa.array(sizes.astype(np.int64)), scores, pa.array(said, pa.int32()),
-                 pa.array(held, pa.float64())], [str(i) for i in range(len(rest) + 4)])
+            for i, lang in enumerate(said):
+                if lang is not None and first <= lang < first + len(model) and sizes[i] > 0:
+                    held[i] = (held_out(data[offsets[i]:offsets[i + 1]], lang - first) if counted[i]
+                               else means[i, lang - first])
+            scores = np.concatenate([before, means], axis=1)
+            held, text = pa.array(held, pa.float64()), batch.column(text_at)
+            if last:
+                solid = np.concatenate([[0], np.cumsum(~textkit.WHITE[data[offsets[0]:offsets[-1]]])])
+                blank = np.diff(solid[offsets - offsets[0]]) == 0
+                text = pa.array(np.where(blank, -1, sizes).astype(np.int64))
+            scores = pa.ListArray.from_arrays(np.arange(batch.num_rows + 1, dtype=np.int32) * scores.shape[1],
+                                              pa.array(scores.reshape(-1)))
+            out = [*[batch.column(i) for i in range(text_at)], text, *batch.columns[text_at + 1:text_at + 3], scores, held]
+            yield pa.RecordBatch.from_arrays(out, [str(i) for i in range(len(out))])
     return run
 
 
@@ -97,33 +119,35 @@ def _named(declared: str) -> Column:
     return F.lower(F.regexp_extract(F.col(declared).cast("string"), "^[A-Za-z]+", 0))
 
 
-def fit(docs: DataFrame, text: str, declared: str, key: str,
-        per_language: int = TRAIN_PER_LANGUAGE) -> tuple[list[str], np.ndarray, Column, Column]:
-    """Languages and their smoothed trigram counts, from rows that declare a language; a row's language number and
+def fit(docs: DataFrame, text: str, declared: str, key: str, scratch: Scratch,
+        per_language: int = TRAIN_PER_LANGUAGE) -> tuple[list[str], DataFrame | None, Column, Column]:
+    """All declared languages and their trigram counts (number, bucket, n), staged; a row's language number and
     whether it is counted, as expressions over ``docs``.
 
     About ``per_language`` rows of each language are drawn by a hash of their
-    key.  At most MAX_LANGUAGES * BUCKETS counts reach the driver.
+    key.
     """
-    named = docs.select(_named(declared).alias("lang"))
-    counts = (named.where("lang <> ''").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-              .where(F.col("n") >= MIN_LABELLED).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect())
-    langs = sorted(r["lang"] for r in counts)
+    sizes = {r["lang"]: r["n"] for r in docs.select(_named(declared).alias("lang")).where("lang <> ''").groupBy("lang")
+             .agg(F.count(F.lit(1)).alias("n")).collect()}
+    langs = sorted(sizes)
     if not langs:
-        return [], np.zeros((0, BUCKETS)), F.lit(None).cast("int"), F.lit(False)
+        return [], None, F.lit(None).cast("int"), F.lit(False)
     span = 1 << 20
-    quotas = {r["lang"]: min(span, -(-per_language * span // r["n"])) for r in counts}
     number = F.nullif(F.array_position(F.array(*[F.lit(x) for x in langs]), F.coalesce(_named(declared), F.lit(""))),
                       F.lit(0).cast("long")).cast("int") - 1
-    drawn = F.pmod(F.xxhash64(F.col(key), F.lit(11)), F.lit(span)) < F.get(
-        F.array(*[F.lit(quotas[x]) for x in langs]), number)
-    sample = docs.where(F.coalesce(drawn, F.lit(False))).select(_named(declared).alias("lang"), F.col(text).alias("text"))
-    rows = (sample.mapInArrow(_count, "lang string, bucket long, n long").groupBy("lang", "bucket")
-            .agg(F.sum("n").alias("n")).collect())
-    table = np.full((len(langs), BUCKETS), 0.5)
-    for lang, bucket, n in rows:
-        table[langs.index(lang), bucket] += n
-    return langs, table, number, F.coalesce(drawn, F.lit(False))
+    quota = F.get(F.array(*[F.lit(min(span, -(-per_language * span // sizes[x]))) for x in langs]), number)
+    drawn = F.coalesce(F.pmod(F.xxhash64(F.col(key), F.lit(11)), F.lit(span)) < quota, F.lit(False))
+    counts = (docs.where(drawn).select(number.alias("number"), F.col(text).alias("text"))
+              .mapInArrow(_count, "number int, bucket long, n long").groupBy("number", "bucket").agg(F.sum("n").alias("n")))
+    return langs, scratch.stage(counts, "counts"), number, drawn
+
+
+def _table(counts: DataFrame, first: int, n: int) -> np.ndarray:
+    """The counts of ``n`` languages; at most BLOCK * BUCKETS counts reach the driver at once."""
+    rows = counts.where((F.col("number") >= first) & (F.col("number") < first + n)).toArrow()
+    table = np.zeros((n, BUCKETS))
+    table[rows["number"].to_numpy() - first, rows["bucket"].to_numpy()] = rows["n"].to_numpy()
+    return table
 
 
 def _typical(counts: list[tuple[int, int, int]], n: int) -> list[tuple[float, float] | None]:
@@ -150,8 +174,12 @@ def _typical(counts: list[tuple[int, int, int]], n: int) -> list[tuple[float, fl
     return [typical(counts[counts[:, 0] == i]) or every for i in range(n)]
 
 
-def _tally(best: Column, n: int) -> Column:
-    return F.array(*[F.count(F.when(best == i, 1)).cast("double") for i in range(n)])
+def _tallies(rows: DataFrame, n: int, *names: str) -> DataFrame:
+    """(names, t: rows by best language, m: rows) of the values of ``names``."""
+    return (rows.groupBy(*names, "best").agg(F.count(F.lit(1)).alias("m")).groupBy(*names)
+            .agg(F.map_from_entries(F.collect_list(F.struct("best", "m"))).alias("by"), F.sum("m").alias("m"))
+            .select(*names, F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.coalesce(
+                F.try_element_at("by", i).cast("double"), F.lit(0.0))).alias("t"), "m"))
 
 
 def identify(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text",
@@ -169,7 +197,9 @@ def identify(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: st
     and this address ``suffix``, and the prior of the ``host``, smoothed to
     that of its domain and this to that of all rows.  Rates and priors come
     from grouped counts over all rows; a missing value (null or empty) is no
-    evidence.
+    evidence.  Every declared language is modelled, also from one row; a
+    model is filled up with BACKOFF trigrams of all languages.  Models are
+    applied BLOCK at a time, the texts being written again between blocks.
 
     Not ``kept``: empty texts and white space; texts that none of the
     languages explains (REJECT_Z deviations below the median of the texts that
@@ -184,17 +214,27 @@ def identify(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: st
     ship_code(spark)
     scratch = Scratch(spark, "langid")
     docs = docs.drop("language", "posterior", "text_language", "kept")
-    langs, table, number, counted = fit(docs, text, declared, key)
+    langs, counts, number, counted = fit(docs, text, declared, key, scratch)
     n = len(langs)
     if not n:
         return docs.drop(text).select("*", F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("posterior"),
                                       F.lit(None).cast("string").alias("text_language"), F.lit(False).alias("kept"))
     rest = [c for c in docs.columns if c != text]
-    schema = T.StructType([*[T.StructField(f"k{i}", docs.schema[c].dataType) for i, c in enumerate(rest)],
-                           T.StructField("grams", T.LongType()), T.StructField("score", T.ArrayType(T.DoubleType())),
-                           T.StructField("labelled", T.IntegerType()), T.StructField("held", T.DoubleType())])
-    scored = scratch.stage(docs.select(*rest, text, number.alias("_number"), counted.alias("_counted"))
-                           .mapInArrow(_score(table, len(rest)), schema), "scored")
+    every = np.zeros(BUCKETS)
+    for r in counts.groupBy("bucket").agg(F.sum("n").alias("n")).collect():
+        every[r["bucket"]] = r["n"]
+    scored = docs.select(*rest, text, number.alias("_number"), counted.alias("_counted"),
+                         F.array().cast("array<double>").alias("_score"), F.lit(None).cast("double").alias("_held"))
+    for first in range(0, n, BLOCK):
+        last = first + BLOCK >= n
+        schema = T.StructType([*[T.StructField(f"k{i}", docs.schema[c].dataType) for i, c in enumerate(rest)],
+                               T.StructField("grams", T.LongType()) if last else T.StructField("text", T.StringType()),
+                               T.StructField("labelled", T.IntegerType()), T.StructField("counted", T.BooleanType()),
+                               T.StructField("score", T.ArrayType(T.DoubleType())), T.StructField("held", T.DoubleType())])
+        table = _table(counts, first, min(BLOCK, n - first))
+        scored = scratch.stage(scored.mapInArrow(_score(table, every, first, len(rest), last), schema), f"scored-{first}")
+        if first:
+            scratch.drop(f"scored-{first - BLOCK}")
 
     def col(name):
         return F.col(f"k{rest.index(name)}") if name in rest else F.lit(None).cast("string")
@@ -216,24 +256,22 @@ def identify(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: st
         "best": F.when(F.col("grams") > 0, best), "said": said, "suffix": tail, "host": place})
     # two last labels of an address; a name without dots is its own domain
     rows = rows.withColumn("domain", F.regexp_extract("host", r"([^.]+\.)?[^.]+$", 0))
-    everything = rows.agg(_tally(F.col("best"), n).alias("t"), F.count("best").cast("double").alias("n")).first()
-    world = [(t + 1) / (everything["n"] + n) for t in everything["t"]]
-    of_language = F.array(*[F.lit(t) for t in everything["t"]])
+    found = {r["best"]: float(r["count"]) for r in rows.where("best is not null").groupBy("best").count().collect()}
+    world = [(found.get(i, 0.0) + 1) / (sum(found.values()) + n) for i in range(n)]
+    of_language = F.array(*[F.lit(found.get(i, 0.0)) for i in range(n)])
 
     def rates(name):
         """log P(value of ``name`` | language) by value."""
-        return (rows.where(F.col(name).isNotNull() & F.col("best").isNotNull()).groupBy(name)
-                .agg(_tally(F.col("best"), n).alias("t"))
+        return (_tallies(rows.where(F.col(name).isNotNull() & F.col("best").isNotNull()), n, name)
                 .select(name, F.zip_with("t", of_language, lambda a, b: F.log((a + 0.5) / (b + 0.5 * n)))
                         .alias(f"{name}_rate")))
 
-    domains = (rows.where("domain is not null and best is not null").groupBy("domain")
-               .agg(_tally(F.col("best"), n).alias("t"), F.count("best").alias("m"))
+    domains = (_tallies(rows.where("domain is not null and best is not null"), n, "domain")
                .select("domain", F.zip_with("t", F.array(*[F.lit(w) for w in world]), lambda a, b: a + b * SMOOTH)
                        .alias("t"), "m")
                .select("domain", F.transform("t", lambda a: a / (F.col("m") + SMOOTH)).alias("domain_prior")))
-    hosts = (rows.where("host is not null and best is not null").groupBy("host", "domain")
-             .agg(_tally(F.col("best"), n).alias("t"), F.count("best").alias("m")).join(domains, "domain", "left")
+    hosts = (_tallies(rows.where("host is not null and best is not null"), n, "host", "domain")
+             .join(domains, "domain", "left")
              .select("host", F.zip_with("t", "domain_prior", lambda a, b: F.log(
                  (a + b * SMOOTH) / (F.col("m") + SMOOTH))).alias("host_prior")))
     usual = _typical([tuple(r) for r in rows.where("held is not null and best = labelled")

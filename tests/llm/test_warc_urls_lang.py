@@ -175,3 +175,18 @@ def test_many_unexplained_rows_are_rejected(spark):
     assert len(got) == len(rows)
     assert all(got[i]["kept"] and got[i]["language"] == ("aa", "bb")[i % 2] for i in range(600))
     assert not any(r["kept"] for i, r in got.items() if i >= 1000)
+
+
+def test_more_languages_than_one_block(spark):
+    rng = random.Random(9)
+    names = [a + b for a in "abcdefgh" for b in "abcdefghij"][:70] + ["zz"]
+    words = {x: invented(x, "abcdefghijklmnopqrstuvwxyz") for x in names}
+    rows = [(x, x) for x in names for _ in range(6 if x != "zz" else 3)] + [(x, None) for x in names for _ in range(2)]
+    rows = [(i, sentences(rng, words[x]), said, x) for i, (x, said) in enumerate(rows)]
+    rows += [(1000 + i, "".join(rng.choice("αβγδεζηθ0123456789#$%&") for _ in range(300)), None, None) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, truth string")
+    assert len(names) > langid.BLOCK
+    got = langid.identify(spark, df).collect()
+    assert len(got) == len(rows)
+    assert all(r["kept"] and r["language"] == r["truth"] for r in got if r["doc_id"] < 1000)
+    assert not any(r["kept"] for r in got if r["doc_id"] >= 1000)
