@@ -308,13 +308,13 @@ def page_evidence(pages: DataFrame) -> DataFrame:
     """(doc_id, markup, host, suffix) from the page that shows a document: the number in its path.
 
     Of several pages of a document the one with the least (host, markup)
-    counts.  Pages without such a number are no evidence.
+    counts; its markup language is the first that an ``html`` tag states,
+    wherever it stands.  Pages without such a number are no evidence.
     """
     rest = F.regexp_extract(F.coalesce("url", F.lit("")), r"(?s)^.*?://(.*)$", 1)
     host = F.lower(F.regexp_extract(rest, r"^[^/?#:]*", 0))
     number = F.expr("try_cast(nullif(regexp_extract(url, '://[^/?#]*/(?:[^/?#]*/)*([0-9]+)', 1), '') as bigint)")
-    markup = F.regexp_extract(F.left(F.coalesce("html", F.lit("")), F.lit(2000)),
-                              r"(?i)<html[^>]*\blang\s*=\s*[\"']?([A-Za-z-]+)", 1)
+    markup = F.regexp_extract(F.coalesce("html", F.lit("")), r"(?i)<html[^>]*\blang\s*=\s*[\"']?([A-Za-z-]+)", 1)
     return (pages.select(number.alias("doc_id"), host.alias("host"), markup.alias("markup"))
             .where("doc_id is not null").groupBy("doc_id")
             .agg(F.min(F.struct("host", "markup")).alias("e"))

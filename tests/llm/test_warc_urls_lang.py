@@ -190,3 +190,11 @@ def test_more_languages_than_one_block(spark):
     assert len(got) == len(rows)
     assert all(r["kept"] and r["language"] == r["truth"] for r in got if r["doc_id"] < 1000)
     assert not any(r["kept"] for r in got if r["doc_id"] >= 1000)
+
+
+def test_markup_language_after_a_preamble(spark):
+    pages = [(1, "http://a.fi/doc/1", "<!DOCTYPE html>\n<html lang=\"fi\"><p>x"),
+             (2, "http://a.sv/doc/2", "<?xml version='1.0'?>\n<!-- " + "licence text " * 300 + "-->\n<html class='x' lang='sv'>"),
+             (3, "http://a.no/doc/3", " \n" * 5000 + "<HTML LANG=no>"), (4, "http://a.no/doc/4", None)]
+    got = {r["doc_id"]: r["markup"] for r in langid.page_evidence(spark.createDataFrame(pages, PAGES)).collect()}
+    assert got == {1: "fi", 2: "sv", 3: "no", 4: ""}
