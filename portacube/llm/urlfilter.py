@@ -9,7 +9,6 @@ from portacube.llm.scratch import Scratch
 
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
          ("block", "net", "/es/"), ("block", "net", "/fr/"))
-MAX_DEPTH = 8  # deeper segments form one wildcard
 MIN_SUPPORT = 5  # rows below which a literal segment is variable if most of its siblings are different
 SIMILAR_Z = 2.576  # branches whose labelled rates differ by less (in deviations) are merged
 SMOOTH = 4.0  # pseudo-rows of a parent rate
@@ -54,20 +53,24 @@ def templates(spark: SparkSession, urls: DataFrame, scratch: Scratch) -> DataFra
     siblings.  The literal siblings left are merged into one ``*`` branch
     unless the bad rate of a branch differs from that of its siblings (two
     proportions, SIMILAR_Z).  Levels are grouped counts joined back on
-    (host, prefix, segment); a hot host is a pre-aggregated group.
+    (host, prefix, segment); a hot host is a pre-aggregated group.  Paths are
+    walked to their last segment: a url leaves the walk when it has no segment
+    left, or when it is the only one below its prefix, whose other segments
+    need no counts.
     """
     segments = F.split(F.regexp_replace("path", "^/", ""), "/", -1)
     rows = urls.withColumn("_s", F.when(F.col("path") == "", F.array().cast("array<string>")).otherwise(segments))
-    rows = rows.withColumn("_s", F.when(F.size("_s") > MAX_DEPTH, F.concat(
-        F.slice("_s", 1, MAX_DEPTH), F.array(F.lit("**")))).otherwise(F.col("_s"))).withColumn("_t", F.lit(""))
+    rows = rows.withColumn("_t", F.lit("")).withColumn("_done", F.size("_s") == 0)
     rows = scratch.stage(rows, "level-0")
-    depth = rows.agg(F.max(F.size("_s"))).first()[0] or 0
-    for d in range(depth):
-        here = rows.withColumn("_x", F.get("_s", F.lit(d)))
-        nodes = (here.where("_x is not null").groupBy("host", "_t", "_x")
-                 .agg(F.sum("n").alias("n"), F.sum("labelled").alias("m"), F.sum("bad").alias("b")))
+    rows.where("_done").write.parquet(scratch.path("templates"))
+    d, live = 0, rows.where("not _done")
+    while not live.isEmpty():
+        here = live.withColumn("_x", F.get("_s", F.lit(d)))
+        nodes = here.groupBy("host", "_t", "_x").agg(
+            F.sum("n").alias("n"), F.sum("labelled").alias("m"), F.sum("bad").alias("b"), F.count(F.lit(1)).alias("urls"))
         parents = nodes.groupBy("host", "_t").agg(
-            F.sum("n").alias("pn"), F.sum("m").alias("pm"), F.sum("b").alias("pb"), F.count(F.lit(1)).alias("kids"))
+            F.sum("n").alias("pn"), F.sum("m").alias("pm"), F.sum("b").alias("pb"), F.count(F.lit(1)).alias("kids"),
+            (F.sum("urls") == 1).alias("_alone"))
         om, ob = F.col("pm") - F.col("m"), F.col("pb") - F.col("b")
         pooled = F.col("pb") / F.greatest(F.col("pm"), F.lit(1))
         spread = F.sqrt(pooled * (1 - pooled) * (1 / F.col("m") + 1 / om))
@@ -75,14 +78,20 @@ def templates(spark: SparkSession, urls: DataFrame, scratch: Scratch) -> DataFra
         differs = F.coalesce(F.when((F.col("m") > 0) & (om > 0) & (pooled > 0) & (pooled < 1), z > SIMILAR_Z),
                              F.lit(False))
         rare = (F.col("n") < MIN_SUPPORT) & (F.col("kids") * 2 > F.col("pn"))
-        token = F.coalesce(F.when(F.col("_x").isin("", "**"), F.col("_x")), _variable(F.col("_x")),
+        token = F.coalesce(F.when(F.col("_x") == "", ""), _variable(F.col("_x")),
                            F.when(rare, "{*}"), F.when(differs, F.col("_x")), F.lit("*"))
-        tokens = nodes.join(parents, ["host", "_t"]).select("host", "_t", "_x", token.alias("_token"))
-        rows = scratch.stage(here.join(tokens, ["host", "_t", "_x"], "left")
-                             .withColumn("_t", F.concat("_t", F.when(F.col("_x").isNull(), "").otherwise(
-                                 F.concat(F.lit("/"), "_token")))).drop("_x", "_token"), f"level-{d + 1}")
+        tokens = nodes.join(parents, ["host", "_t"]).select("host", "_t", "_x", token.alias("_token"), "_alone")
+        # an only url has no siblings at any level below
+        below = F.transform(F.slice("_s", F.lit(d + 2), F.size("_s")), lambda x: F.concat(F.lit("/"), F.coalesce(
+            F.when(x == "", ""), _variable(x), F.when(F.col("n") == 1, "{*}"), F.lit("*"))))
+        rows = scratch.stage(here.join(tokens, ["host", "_t", "_x"]).withColumns({
+            "_t": F.concat("_t", F.lit("/"), "_token", F.when(F.col("_alone"), F.array_join(below, "")).otherwise("")),
+            "_done": F.col("_alone") | (F.size("_s") == d + 1)}).drop("_x", "_token", "_alone"), f"level-{d + 1}")
+        rows.where("_done").write.mode("append").parquet(scratch.path("templates"))
         scratch.drop(f"level-{d}")
-    return rows.withColumnRenamed("_t", "template").drop("_s")
+        d, live = d + 1, rows.where("not _done")
+    return (spark.read.schema(rows.schema).parquet(scratch.path("templates")).withColumnRenamed("_t", "template")
+            .drop("_s", "_done"))
 
 
 def judge(spark: SparkSession, pages: DataFrame, key: str = "page_id", url: str = "url", bad: str = "bad",
@@ -91,7 +100,8 @@ def judge(spark: SparkSession, pages: DataFrame, key: str = "page_id", url: str
 
     ``bad`` (1, 0 or null where unlabelled) labels pages; a template's share
     of bad pages is smoothed to its host's and this to that of all pages, and
-    a template above MAX_BAD is rejected.  A rule overrides its template.
+    a template above MAX_BAD is rejected.  A template holds every segment of
+    a path, however deep.  A rule overrides its template.
     Defined cases: a null url, or one without ``://``, has an empty host and
     path and is judged with the other such pages; repeated rows are judged
     alike; an empty input gives an empty result; only the named columns are

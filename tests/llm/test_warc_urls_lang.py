@@ -112,6 +112,22 @@ def test_url_templates_split_bad_branches(spark):
     assert {got[5000 + i]["template"] for i in range(50)} == {"/*/{n}"}
 
 
+def test_url_templates_of_deep_paths(spark):
+    deep = "/".join("abcdefghijkl")
+    rows = [(i, f"http://h.org/{deep}/{'spam' if i % 2 else 'news'}/{i}/x/{'tail/' * 3}", i % 2 if i % 3 else None)
+            for i in range(600)]
+    rows += [(1000, "http://one.org/a//7/" + "b/" * 30 + "9.html", 0), (1001, "http://two.org/" + "b/" * 20, 0),
+             (1002, "http://two.org/" + "b/" * 20, 0), (1003, "http://two.org", 0), (1004, "http://two.org/b/**/b", 0)]
+    df = spark.createDataFrame(rows, "page_id long, url string, bad int")
+    got = {r["page_id"]: r for r in urlfilter.judge(spark, df, rules=()).collect()}
+    assert len(got) == len(rows)
+    assert all((got[i]["verdict"] == "block") == (i % 2 == 1) for i in range(600))
+    assert {got[i]["template"] for i in range(1, 600, 2)} == {"/*" * 12 + "/spam/{n}" + "/*" * 4 + "/"}
+    assert got[1000]["template"] == "/{*}//{n}" + "/{*}" * 30 + "/{n}.html"
+    assert got[1001]["template"] == got[1002]["template"] == "/*/{*}" + "/*" * 18 + "/"
+    assert got[1003]["template"] == ""
+
+
 # ------------------------------------------------------------------ languages
 def test_language_on_test_table(spark, sf):
     given = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
