@@ -167,7 +167,8 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, key: str = "vec_id"
                     label: str = "label", threshold: float = 0.93) -> DataFrame:
     """Links of cosine >= ``threshold`` between vectors of equal label, and their components.
 
-    1. Vectors with equal components and label form a class.
+    1. Vectors with equal components and label form a class, numbered as a
+       node.
     2. In each of TABLES tables a class is projected to two blocks of 8
        dimensions, each decoded to its E8 point; the pair of points is its
        cell.  It is stored in its own cell and looked up in the PROBES cells
@@ -176,12 +177,14 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, key: str = "vec_id"
        the threshold is met in a table with probability 0.39 in one direction
        alone: one in some thousands is missed by all tables both ways, none
        that is clearly above it.
-    4. Large-star and small-star give the components.
+    4. Large-star and small-star over the links, and links between the classes
+       of one id, give the components; the least id of each names it.
 
     Returns (id, n_links, component_id, kept).  Defined cases: a vector that
     is null, empty, zero or holds null or non-finite components, or whose
     label is null, is linked with nothing; so is a null id, whose component is
-    null and which is kept; rows of one id count as one vector; vectors of
+    null and which is kept; rows of one id, whatever their vectors, get one
+    result: ``n_links`` counts the other ids linked with any of them; vectors of
     different length are never compared; an empty input gives an empty result.
     """
     ship_code(spark)
@@ -191,10 +194,13 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, key: str = "vec_id"
     usable = scratch.stage(given.mapInArrow(_prepare, "id long, label string, dim long, print binary, vector binary"),
                            "usable")
     classes = scratch.stage(usable.groupBy("label", "dim", "print").agg(
-        F.min("id").alias("rep"), F.countDistinct("id").alias("n")), "classes")
-    reps = scratch.stage(usable.join(classes.select(F.col("rep").alias("id"), "label", "dim", "print"),
-                                     ["id", "label", "dim", "print"], "left_semi").dropDuplicates(["id"])
-                         .select("id", "label", "dim", "vector"), "reps")
+        F.min("id").alias("rep"), F.countDistinct("id").alias("n"))
+        .withColumn("node", F.monotonically_increasing_id()), "classes")
+    of_class = ["label", "dim", "print"]
+    # from here to the links, ids are nodes
+    reps = scratch.stage(usable.join(classes.select(F.col("rep").alias("id"), "node", *of_class), ["id", *of_class])
+                         .dropDuplicates(["id", *of_class])
+                         .select(F.col("node").alias("id"), "label", "dim", "vector"), "reps")
     hashed = scratch.stage(reps.mapInArrow(_hash(threshold), "cell long, id long, own boolean"), "hashed")
     # cells that hold one vector and its own probe only are no meeting
     stored = hashed.where("own").select("cell", F.col("id").alias("a"))
@@ -209,15 +215,33 @@ def near_duplicates(spark: SparkSession, vectors: DataFrame, key: str = "vec_id"
     links = scratch.stage(met.mapInArrow(_verify(threshold), "u long, v long"), "links")
     scratch.drop("hashed")
     both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    sizes = classes.select(F.col("rep").alias("v"), "n")
-    counted = both.join(sizes, "v").groupBy("u").agg(F.sum("n").alias("others"))
-    found = components(links, scratch, "linked")
-    per = (classes.join(counted.withColumnRenamed("u", "rep"), "rep", "left")
-           .join(found.withColumnRenamed("node", "rep"), "rep", "left")
-           .select("label", "dim", "print", (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
-                   F.coalesce("component", "rep").alias("component")))
-    of = (usable.select("id", "label", "dim", "print").join(per, ["label", "dim", "print"]).groupBy("id")
-          .agg(F.max("n_links").alias("n_links"), F.min("component").alias("component")))
+    both = both.union(classes.select(F.col("node").alias("u"), F.col("node").alias("v")))
+    # ids with several classes: their classes are linked, and each is counted once
+    mine = usable.select("id", *of_class).distinct()
+    again = mine.groupBy("id").count().where("count > 1").select("id")
+    several = scratch.stage(mine.join(again, "id").join(classes, of_class).select("id", "node"), "several")
+    same = several.join(several.groupBy("id").agg(F.min("node").alias("u")), "id").where("node <> u").select(
+        "u", F.col("node").alias("v"))
+    sizes = (classes.join(several.groupBy("node").agg(F.count(F.lit(1)).alias("k")), "node", "left")
+             .select(F.col("node").alias("v"), (F.col("n") - F.coalesce("k", F.lit(0))).alias("n")))
+
+    def counted(reach, by):
+        """Ids in the classes that ``by`` reaches."""
+        also = (reach.join(several.withColumnsRenamed({"node": "v", "id": "other"}), "v").select(by, "other").distinct()
+                .groupBy(by).agg(F.count(F.lit(1)).alias("also")))
+        return (reach.join(sizes, "v").groupBy(by).agg(F.sum("n").alias("n")).join(also, by, "left")
+                .select(by, (F.col("n") + F.coalesce("also", F.lit(0)) - 1).alias("n_links")))
+    found = scratch.stage(components(links.union(same), scratch, "linked").join(classes, "node")
+                          .select("node", "component", "rep"), "found")
+    least = found.groupBy("component").agg(F.min("rep").alias("least"))
+    per = (classes.join(counted(both, "u").withColumnRenamed("u", "node"), "node", "left")
+           .join(found.join(least, "component").select("node", "least"), "node", "left")
+           .select(*of_class, "n_links", F.coalesce("least", "rep").alias("component")))
+    reach = several.join(both.withColumnRenamed("u", "node"), "node").select("id", "v").distinct()
+    of = (usable.select("id", *of_class).join(per, of_class).groupBy("id")
+          .agg(F.max("n_links").alias("n_links"), F.min("component").alias("component"))
+          .join(counted(reach, "id").withColumnRenamed("n_links", "all_links"), "id", "left")
+          .select("id", F.coalesce("all_links", "n_links").alias("n_links"), "component"))
     out = given.select("id").join(of, "id", "left")
     component = F.coalesce("component", "id")
     return out.select(F.col("id").alias(key), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

@@ -41,6 +41,10 @@ def signature(shingles: np.ndarray, family: tuple[np.ndarray, np.ndarray]) -> np
     return (least >> _U(32)).astype(np.uint32)
 
 
+def _print(shingles: bytes) -> bytes | None:
+    return hashlib.blake2b(shingles, digest_size=16).digest() if shingles else None
+
+
 def _sketch(words: int):
     def run(batches):
         family = _family()
@@ -49,7 +53,7 @@ def _sketch(words: int):
             for _, hashes in textkit.text_words(batch.column(1)):
                 shingles = textkit.shingle_set(hashes, words)
                 sizes.append(len(shingles))
-                prints.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None)
+                prints.append(_print(shingles.tobytes()))
                 signs.append(signature(shingles, family).tobytes() if len(shingles) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()),
@@ -60,15 +64,16 @@ def _sketch(words: int):
 def _sets(words: int):
     def run(batches):
         for batch in batches:
-            ids, sets, held = [], [], 0
+            ids, prints, sets, held = [], [], [], 0
             for row, hashes in textkit.text_words(batch.column(1)):
                 ids.append(row)
                 sets.append(textkit.shingle_set(hashes, words).tobytes())
+                prints.append(_print(sets[-1]))
                 held += len(sets[-1])
                 if held > 16 << 20 or row == batch.num_rows - 1:
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(ids)), pa.array(sets, pa.binary())],
-                                                     ["id", "shingles"])
-                    ids, sets, held = [], [], 0
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(ids)), pa.array(prints, pa.binary()),
+                                                      pa.array(sets, pa.binary())], ["id", "print", "shingles"])
+                    ids, prints, sets, held = [], [], [], 0
     return run
 
 
@@ -210,7 +215,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, key: str = "doc_id", t
                     threshold: int = 80) -> DataFrame:
     """Components of documents linked by shingle sets with 100 * intersection >= ``threshold`` * union.
 
-    1. Texts with equal shingle sets form a class; the least id stands for it.
+    1. Texts with equal shingle sets form a class, numbered as a node.
     2. 128 universal hash minima per class, 32 bands of 4 rows.  In a bucket
        every member is paired with one hub, so a group of any size gives one
        pair per member and band; pairs with alike signatures are kept.
@@ -220,22 +225,26 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, key: str = "doc_id", t
        give groups outside which no link can be.
     4. Inside a group, block against block, alike pairs that are not yet
        joined are confirmed on full sets.  Large-star and small-star over the
-       confirmed links give the components.
+       confirmed links, and links between the classes of one id, give the
+       components; the least id of each names it.
 
     Returns (id, n_shingles, component_id, kept): ``kept`` marks the least id.
     Defined cases: texts that are null, empty or white space have an empty
     set and are linked with nothing; a null id is linked with nothing and
-    kept, its component is null; rows of one id are one node and each get its
-    result; an empty input gives an empty result.  Other columns are ignored.
+    kept, its component is null; rows of one id, whatever their texts, are
+    linked and get one component; an empty input gives an empty result.  Other columns are ignored.
     """
     ship_code(spark)
     scratch = Scratch(spark, "minhash")
     given = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     sketch = scratch.stage(given.mapInArrow(_sketch(words), "id long, n long, print binary, sign binary"), "sketch")
     named = sketch.where("id is not null and print is not null")
-    classes = scratch.stage(named.groupBy("print").agg(F.min("id").alias("rep")), "classes")
-    signs = scratch.stage(named.join(classes.select(F.col("rep").alias("id"), "print"), ["id", "print"], "left_semi")
-                          .dropDuplicates(["id"]).select("id", "sign"), "signs")
+    classes = scratch.stage(named.groupBy("print").agg(F.min("id").alias("rep"))
+                            .withColumn("node", F.monotonically_increasing_id()), "classes")
+    first = classes.select(F.col("rep").alias("id"), "print", "node")
+    # from here to the links, ids are nodes
+    signs = scratch.stage(named.join(first, ["id", "print"]).dropDuplicates(["id", "print"])
+                          .select(F.col("node").alias("id"), "sign"), "signs")
     bands = scratch.stage(signs.mapInArrow(_bands, "id long, key long"), "bands")
     hubs = (bands.groupBy("key").agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("members"))
             .where("members > 1"))
@@ -262,20 +271,34 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, key: str = "doc_id", t
     scratch.drop("buckets", "more")
 
     # links inside the groups, by full sets
-    texts = given.join(groups.select(F.col("node").alias("id")), "id", "left_semi").dropDuplicates(["id"])
-    sets = scratch.stage(texts.mapInArrow(_sets(words), "id long, shingles binary")
-                         .join(groups.withColumnRenamed("node", "id"), "id"), "sets")
+    wanted = groups.join(first, "node")
+    texts = given.join(wanted.select("id"), "id", "left_semi")
+    sets = scratch.stage(texts.mapInArrow(_sets(words), "id long, print binary, shingles binary")
+                         .join(wanted, ["id", "print"]).dropDuplicates(["id", "print"])
+                         .select(F.col("node").alias("id"), "component", "shingles"), "sets")
     sizes = sets.groupBy("component").agg(
         F.greatest(F.ceil(F.count(F.lit(1)) / GROUP_ROWS),
                    F.ceil(F.sum(F.length("shingles")) / GROUP_BYTES)).alias("n"))
     rows = sets.join(sizes, "component").join(signs, "id")
     links = scratch.stage(_blocks(rows, "component", "n").mapInArrow(_links(threshold), "u long, v long"), "links")
     scratch.drop("sets")
-    found = components(links, scratch, "linked")
-    member = classes.join(found.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "print", F.coalesce("component", "rep").alias("_component"))
-    out = sketch.select("id", "n", "print").join(member, "print", "left")
-    component = F.when(F.col("id").isNotNull(), F.coalesce("_component", "id"))
+    # the classes of one id
+    several = (named.groupBy("id").agg(F.min("print").alias("one"), F.max("print").alias("other"))
+               .where("one <> other").select("id", "one"))
+    same = (named.join(several, "id").where("print <> one").select("one", "print").distinct()
+            .join(classes.select(F.col("print").alias("one"), F.col("node").alias("u")), "one")
+            .join(classes.select("print", F.col("node").alias("v")), "print").select("u", "v"))
+    found = scratch.stage(components(links.union(same), scratch, "linked").join(classes, "node")
+                          .select("node", "component", "rep"), "found")
+    least = found.groupBy("component").agg(F.min("rep").alias("_component"))
+    member = classes.join(found.join(least, "component").select("node", "_component"), "node", "left").select(
+        "print", F.coalesce("_component", "rep").alias("_component"))
+    # empty texts of an id that has others
+    empty = sketch.where("id is not null and print is null").select("id").distinct()
+    others = (named.join(empty, "id", "left_semi").join(member, "print").groupBy("id")
+              .agg(F.min("_component").alias("_other")))
+    out = sketch.select("id", "n", "print").join(member, "print", "left").join(others, "id", "left")
+    component = F.when(F.col("id").isNotNull(), F.coalesce("_component", "_other", "id"))
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.col("id").eqNullSafe(component).alias("kept"))
 

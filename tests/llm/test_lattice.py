@@ -98,3 +98,17 @@ def test_groups_labels_and_defined_cases(spark):
 
 def test_empty(spark):
     assert lattice.near_duplicates(spark, spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_rows_of_one_id_with_different_vectors(spark):
+    rng = np.random.default_rng(6)
+    a, b, c = ([float(np.float32(x)) for x in rng.normal(size=24)] for _ in range(3))
+
+    def close(v):
+        return [float(np.float32(x + 0.01)) for x in v]
+    rows = [(5, a, 1), (5, b, 1), (9, b, 1), (12, close(b), 1), (3, close(a), 1), (20, c, 1), (20, close(c), 1),
+            (21, c, 1), (22, close(c), 1), (30, c, 2)]
+    got = result(lattice.near_duplicates(spark, spark.createDataFrame(rows, SCHEMA)))
+    links = {3: 1, 5: 3, 9: 2, 12: 2, 20: 2, 21: 2, 22: 2, 30: 0}
+    least = {3: 3, 5: 3, 9: 3, 12: 3, 20: 20, 21: 20, 22: 20, 30: 30}
+    assert got == sorted(((i, links[i], least[i], least[i] == i) for i, _, _ in rows), key=str)

@@ -66,6 +66,18 @@ def test_brute_force_on_edited_families(spark):
         assert result(df) == brute(rows, k)
 
 
+def test_rows_of_one_id_with_different_texts(spark):
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(5, a), (5, b), (9, b), (12, b + " c"), (3, a + " c"), (20, "x y z"), (20, None), (18, "x y z"), (21, None)]
+    got = result(minhash.near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), words=2))
+    assert got == sorted(
+        ((i, len(shingles(t, 2)), c, i == c) for (i, t), c in zip(rows, [3, 3, 3, 3, 3, 18, 18, 18, 21])), key=str)
+    rng = random.Random(11)
+    rows = [(rng.randrange(150) if i % 4 == 0 else 1000 + i, t) for i, t in corpus(8, 60, 6)]
+    assert len({i for i, _ in rows}) < len(rows)
+    assert result(minhash.near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), words=2)) == brute(rows, 2)
+
+
 def test_query_on_test_table(spark, sf):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     assert result(minhash.op5_minhash(spark, sf)) == brute(rows, 2)
