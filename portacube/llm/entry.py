@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from portacube.llm import (decontam, filteraudit, langid, lattice, minhash, mixing, piecebpe, pii, sharding, tokenfile,
-                           urlfilter, warc)
+from portacube.llm import (decontam, filteraudit, langid, lattice, minhash, mixing, phrases, piecebpe, pii, sharding,
+                           tokenfile, urlfilter, warc)
 
 QUERIES = {
     "op1_pii": pii.op1_pii,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_url_templates": urlfilter.op8_url_templates,
     "op9_lattice": lattice.op9_lattice,
     "op10_language_id": langid.op10_language_id,
+    "op11_phrases": phrases.op11_phrases,
     "op12_piece_ids": piecebpe.op12_piece_ids,
     "op13_filter_audit": filteraudit.op13_filter_audit,
 }
@@ -93,7 +94,7 @@ FROM embeddings e LEFT JOIN c ON c.id = e.vec_id
 """
 
 ORACLE = {"op3_source_mix": MIX_SQL, "op5_minhash": MINHASH_SQL, "op7_warc": warc.WARC_SQL,
-          "op9_lattice": LATTICE_SQL, "op13_filter_audit": filteraudit.FILTER_SQL}
+          "op9_lattice": LATTICE_SQL, "op11_phrases": phrases.PHRASE_SQL, "op13_filter_audit": filteraudit.FILTER_SQL}
 
 
 def queries() -> dict:
