@@ -178,8 +178,9 @@ def judged(docs: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
         "doc_id", "part", F.unhex(F.sha2("text", 256)).alias("digest"), (F.size("words") < 200).alias("A"),
         (F.size(F.array_distinct("words")) * 100 < F.size("words") * 50).alias("B"),
         (letters * 100 > F.length("text") * 2).alias("C"), F.col("text").rlike("[#$%&*|]").alias("D")), "flags")
-    first = (flags.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("_n"))
-             .where("_n > 1").select("digest", "first"))
+    # staged, so that the join below deals both sides itself and a group of copies can be split over tasks
+    first = scratch.stage(flags.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("_n"))
+                          .where("_n > 1").select("digest", "first"), "first")
     marks = labels.groupBy("doc_id").agg(F.max(F.col("quality") == 1).alias("good"),
                                          F.max(F.col("toxic") == 1).alias("toxic"))
     return (flags.join(first, "digest", "left").join(marks, "doc_id", "left")

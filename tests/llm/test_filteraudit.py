@@ -95,7 +95,6 @@ def test_nulls_ties_repeated_rows_and_empty_texts(spark, tmp_path):
 def test_a_part_over_many_id_ranges(spark, tmp_path, monkeypatch):
     """Ranges of four ids and a part that holds nearly all rows add up to the same sums."""
     monkeypatch.setattr(filteraudit, "RANGE_BITS", 2)
-    monkeypatch.setattr(filteraudit, "PARTS_HELD", 1)
     rows = [(i, f"{LONG if i % 3 else 'few'} {'#' if i % 5 == 0 else ''}{i % 7}", "hot" if i % 10 else f"s{i}")
             for i in range(120)]
     labels = [(i, i % 2, i % 4 == 0 and 1 or 0) for i in range(0, 120, 3)]
