@@ -28,21 +28,27 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("u <> v").distinct()
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node has one edge to a lesser node, or edges from greater ones only."""
+    ends = (edges.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up"))
+            .union(edges.select("v", F.lit(0), F.lit(1))))
+    node = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return node.where("down > 1 or (down > 0 and up > 0)").isEmpty()
+
+
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(node, component) of every node of ``edges`` (u, v: long); the component is its least node.
 
-    Edges are staged after every pair of steps; the loop ends when a pair
-    changes nothing, when every node is tied to its component's least node.
-    Self-loops and repeated edges are ignored; no edges give an empty result.
+    Edges are staged after every pair of steps; the loop ends when they are
+    stars: every node is tied to one lesser node at most, and what is tied to
+    a node is tied to no other.  Self-loops and repeated edges are ignored; no
+    edges give an empty result.
     """
     state = scratch.stage(edges.select(F.col("u").cast("long"), F.col("v").cast("long")).where("u <> v").distinct(),
                           f"{name}-0")
-    step, before = 0, None
-    while True:
-        mark = tuple(state.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v") % 1000003)).first())
-        if mark == before or not mark[0]:
-            break
-        before, step = mark, step + 1
+    step = 0
+    while step == 0 or not _stars(state):
+        step += 1
         state = scratch.stage(_star(_star(state, True), False), f"{name}-{step}")
         scratch.drop(f"{name}-{step - 1}")
     return (state.select(F.col("u").alias("node"), F.col("v").alias("component"))

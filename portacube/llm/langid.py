@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from portacube.llm import textkit
 from portacube.llm.scratch import Scratch
-from portacube.llm.workers import ship_code
+from portacube.llm.workers import batch_bytes, ship_code
 
 BUCKETS = 1 << 15  # hashed byte trigrams
 TRAIN_PER_LANGUAGE = 1000  # expected number of labelled rows the text model is fitted on, per language
@@ -26,6 +26,8 @@ TAIL = 4.0  # times the deviation near the median that the whole deviation count
 STEP = 0.01  # to which log likelihoods are rounded for their median
 MIN_POSTERIOR = 0.5
 PIECE = 1 << 20
+SHORT = 1 << 12  # trigrams whose scores are gathered one by one; those of longer pieces are counted first
+BATCH_BYTES = 8 << 20  # of texts that a worker gets at once
 
 
 def _grams(data: np.ndarray) -> np.ndarray:
@@ -41,6 +43,11 @@ def _pieces(data: np.ndarray):
         yield data[at:at + PIECE + 2]
 
 
+def _blank(data: np.ndarray) -> bool:
+    """Whether there is nothing but white space."""
+    return all(textkit.WHITE[data[at:at + SHORT]].all() for at in range(0, len(data), SHORT))
+
+
 def _count(batches):
     """(number of the language, bucket, n) of the training texts of one partition."""
     totals = {}
@@ -77,10 +84,22 @@ def _score(table: np.ndarray, every: np.ndarray, first: int, text_at: int, last:
     is none, and whether its counts hold the text.  The ``last`` block puts the
     number of trigrams in place of the text, -1 for blank texts.
     """
-    def held_out(data, lang):
+    def counts(data):
         own = np.zeros(BUCKETS)
         for piece in _pieces(data):
             own += np.bincount(_grams(piece), minlength=BUCKETS)
+        return own
+
+    def sums_of(model, data):
+        """Log likelihoods under every model; numbers held do not grow with the text."""
+        if len(data) - 2 <= SHORT:
+            return model[:, _grams(data)].sum(axis=1) if len(data) > 2 else np.zeros(len(model))
+        own = counts(data)
+        at = np.flatnonzero(own)
+        return model[:, at] @ own[at]
+
+    def held_out(data, lang):
+        own = counts(data)
         at, n = np.flatnonzero(own), own.sum()
         return own[at] @ np.log(_shares(table[lang, at] - own[at], every[at] - own[at], table[lang].sum() - n,
                                         every.sum() - n)) / n
@@ -92,11 +111,9 @@ def _score(table: np.ndarray, every: np.ndarray, first: int, text_at: int, last:
             before = batch.column(text_at + 3).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, first)
             held = batch.column(text_at + 4).to_pylist()
             offsets, data = textkit.strings(batch.column(text_at))
-            sums = np.zeros((batch.num_rows, len(model)))
             sizes = np.maximum(np.diff(offsets) - 2, 0)
-            for i in range(batch.num_rows):
-                for piece in _pieces(data[offsets[i]:offsets[i + 1]]):
-                    sums[i] += model[:, _grams(piece)].sum(axis=1)
+            sums = np.array([sums_of(model, data[offsets[i]:offsets[i + 1]]) for i in range(batch.num_rows)])
+            sums = sums.reshape(batch.num_rows, len(model))
             means = sums / np.maximum(sizes, 1)[:, None]
             for i, lang in enumerate(said):
                 if lang is not None and first <= lang < first + len(model) and sizes[i] > 0:
@@ -105,8 +122,7 @@ def _score(table: np.ndarray, every: np.ndarray, first: int, text_at: int, last:
             scores = np.concatenate([before, means], axis=1)
             held, text = pa.array(held, pa.float64()), batch.column(text_at)
             if last:
-                solid = np.concatenate([[0], np.cumsum(~textkit.WHITE[data[offsets[0]:offsets[-1]]])])
-                blank = np.diff(solid[offsets - offsets[0]]) == 0
+                blank = [_blank(data[offsets[i]:offsets[i + 1]]) for i in range(batch.num_rows)]
                 text = pa.array(np.where(blank, -1, sizes).astype(np.int64))
             scores = pa.ListArray.from_arrays(np.arange(batch.num_rows + 1, dtype=np.int32) * scores.shape[1],
                                               pa.array(scores.reshape(-1)))
@@ -139,7 +155,8 @@ def fit(docs: DataFrame, text: str, declared: str, key: str, scratch: Scratch,
     drawn = F.coalesce(F.pmod(F.xxhash64(F.col(key), F.lit(11)), F.lit(span)) < quota, F.lit(False))
     counts = (docs.where(drawn).select(number.alias("number"), F.col(text).alias("text"))
               .mapInArrow(_count, "number int, bucket long, n long").groupBy("number", "bucket").agg(F.sum("n").alias("n")))
-    return langs, scratch.stage(counts, "counts"), number, drawn
+    with batch_bytes(docs.sparkSession, BATCH_BYTES):
+        return langs, scratch.stage(counts, "counts"), number, drawn
 
 
 def _table(counts: DataFrame, first: int, n: int) -> np.ndarray:
@@ -232,7 +249,9 @@ def identify(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: st
                                T.StructField("labelled", T.IntegerType()), T.StructField("counted", T.BooleanType()),
                                T.StructField("score", T.ArrayType(T.DoubleType())), T.StructField("held", T.DoubleType())])
         table = _table(counts, first, min(BLOCK, n - first))
-        scored = scratch.stage(scored.mapInArrow(_score(table, every, first, len(rest), last), schema), f"scored-{first}")
+        with batch_bytes(spark, BATCH_BYTES):
+            scored = scratch.stage(scored.mapInArrow(_score(table, every, first, len(rest), last), schema),
+                                   f"scored-{first}")
         if first:
             scratch.drop(f"scored-{first - BLOCK}")
 
@@ -307,9 +326,10 @@ def identify(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: st
 def page_evidence(pages: DataFrame) -> DataFrame:
     """(doc_id, markup, host, suffix) from the page that shows a document: the number in its path.
 
-    Of several pages of a document the one with the least (host, markup)
-    counts; its markup language is the first that an ``html`` tag states,
-    wherever it stands.  Pages without such a number are no evidence.
+    Of several pages of a document that one counts which states a markup
+    language and has the least (host, markup), or if none states one, that of
+    the least host; the markup language is the first that an ``html`` tag
+    states, wherever it stands.  Pages without such a number are no evidence.
     """
     rest = F.regexp_extract(F.coalesce("url", F.lit("")), r"(?s)^.*?://(.*)$", 1)
     host = F.lower(F.regexp_extract(rest, r"^[^/?#:]*", 0))
@@ -317,18 +337,18 @@ def page_evidence(pages: DataFrame) -> DataFrame:
     markup = F.regexp_extract(F.coalesce("html", F.lit("")), r"(?i)<html[^>]*\blang\s*=\s*[\"']?([A-Za-z-]+)", 1)
     return (pages.select(number.alias("doc_id"), host.alias("host"), markup.alias("markup"))
             .where("doc_id is not null").groupBy("doc_id")
-            .agg(F.min(F.struct("host", "markup")).alias("e"))
+            .agg(F.min(F.struct((F.col("markup") == "").alias("unstated"), "host", "markup")).alias("e"))
             .select("doc_id", "e.markup", "e.host", F.substring_index("e.host", ".", -1).alias("suffix")))
 
 
 def identify_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``identify`` for ``documents``: the markup language and address of a document's page where there is one,
-    else its ``lang`` and ``source``."""
+    """``identify`` for rows of ``documents``, with all their columns but the text: the markup language and address of
+    a document's page where there is one, else its ``lang`` and ``source``."""
     pages = page_evidence(spark.read.parquet(f"{sf_dir}/pages.parquet"))
-    return identify(spark, docs.select("doc_id", "text", "lang", "source"), host="source", evidence=pages)
+    return identify(spark, docs, host="source", evidence=pages)
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every one of ``documents``, and whether it is kept."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang", "source")
     return identify_documents(spark, docs, sf_dir).select("doc_id", "language", "posterior", "text_language", "kept")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -27,3 +29,15 @@ def ship_code(spark: SparkSession) -> None:
                 z.write(path, os.path.join("portacube", os.path.relpath(path, root)))
     context.addPyFile(archive)
     _shipped.add(context.applicationId)
+
+
+@contextmanager
+def batch_bytes(spark: SparkSession, size: int) -> Iterator[None]:
+    """Jobs begun inside give Python workers batches of about ``size`` bytes (or one row)."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

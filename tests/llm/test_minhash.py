@@ -115,3 +115,15 @@ def test_components_of_long_path_and_star(spark):
     expect = {names[i]: min(names[j] for j in path) for i in path}
     expect |= {names[i]: min(names[j] for j in range(500, 801)) for i in range(500, 801)}
     assert {r["node"]: r["component"] for r in got} == expect and len(got) == len(expect)
+
+
+def test_components_end_with_stars(spark):
+    """Stars are told from what is none by every edge: a chain, a node of two parents, a tied centre."""
+    from portacube.llm.components import _stars
+
+    def stars(edges):
+        return _stars(spark.createDataFrame(edges, "u long, v long"))
+    assert stars([]) and stars([(2, 1), (3, 1), (9, 8)])
+    assert not stars([(2, 1), (3, 2)]) and not stars([(3, 1), (3, 2)]) and not stars([(5, 1), (6, 1), (9, 5)])
+    many = [(i, 1) for i in range(2, 3000)]
+    assert stars(many) and not stars([*many, (4000, 2999)])

@@ -214,3 +214,41 @@ def test_markup_language_after_a_preamble(spark):
              (3, "http://a.no/doc/3", " \n" * 5000 + "<HTML LANG=no>"), (4, "http://a.no/doc/4", None)]
     got = {r["doc_id"]: r["markup"] for r in langid.page_evidence(spark.createDataFrame(pages, PAGES)).collect()}
     assert got == {1: "fi", 2: "sv", 3: "no", 4: ""}
+
+
+def test_two_pages_of_one_document(spark):
+    """A stated markup language counts before an empty one, whichever host or place in the table it has."""
+    pages = [(1, "http://h.org/doc/7", "<html><p>no language"), (2, "http://h.org/doc/7?a", "<html lang=fi>"),
+             (3, "http://a.org/doc/8", None), (4, "http://b.org/doc/8", "<html lang=sv>"), (5, "http://c.org/doc/9", ""),
+             (6, "http://b.org/doc/9", None)]
+    got = {r["doc_id"]: (r["markup"], r["host"]) for r in
+           langid.page_evidence(spark.createDataFrame(pages, PAGES)).collect()}
+    assert got == {7: ("fi", "h.org"), 8: ("sv", "b.org"), 9: ("", "b.org")}
+
+
+def test_scoring_holds_no_more_for_a_long_text():
+    """64 languages and a text of 50 MB: the gathered scores alone would take 24 GB."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+    table = np.random.default_rng(1).integers(0, 9, (64, langid.BUCKETS)).astype(float)
+    text = ("the house and the garden of the old man with the hat " * (1 + (50 << 20) // 53))[:50 << 20]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1, 2]), pa.array([text, text[:3000]]), pa.array([3, None], pa.int32()), pa.array([True, False]),
+         pa.array([[], []], pa.list_(pa.float64())), pa.array([None, None], pa.float64())], [str(i) for i in range(6)])
+    tracemalloc.start()
+    out = next(langid._score(table, table.sum(axis=0), 0, 1, True)([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 250 << 20
+    own = langid._grams(np.frombuffer(text[:3000].encode(), np.uint8))
+    model = np.log(langid._shares(table, table.sum(axis=0), table.sum(axis=1, keepdims=True), table.sum()))
+    assert np.allclose(out.column(4)[1].as_py(), model[:, own].mean(axis=1))
+    # counted or gathered, the same mean
+    piece = np.frombuffer(text.encode(), np.uint8)
+    whole = sum(model[:, langid._grams(x)].sum(axis=1) for x in langid._pieces(piece[:langid.PIECE + 2]))
+    short = pa.RecordBatch.from_arrays([*[c.slice(0, 1) for c in batch.columns[:1]], pa.array([text[:langid.PIECE + 2]]),
+                                        *[c.slice(1, 1) for c in batch.columns[2:]]], [str(i) for i in range(6)])
+    got = next(langid._score(table, table.sum(axis=0), 0, 1, True)([short])).column(4)[0].as_py()
+    assert np.allclose(got, whole / langid.PIECE)
