@@ -2,24 +2,33 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from portacube.llm import remote
+from portacube.llm.ranks import with_prefix
+from portacube.llm.scratch import Scratch
 from portacube.llm.textkit import scramble
 from portacube.llm.workers import ship_code
 
 Q = 8  # characters of a gram
 EDIT_RATE = 0.1  # edits per character of a passage
-MIN_CHARS = 24  # passages shorter than this, normalised, are no evidence of a leak
-BLOCK_CHARS = 4_000_000  # characters of benchmark passages searched in one pass over the documents
+MIN_CHARS = 24  # shorter passages, normalised, are searched word for word
+DROP_CHARS = 12  # shorter passages, normalised, are reported, but do not drop a document
+BLOCK_CHARS = 4_000_000  # characters of benchmark passages that are indexed at once
 CHUNK = 1 << 20  # characters of documents searched together
+GROUP_TEXTS = 10_000  # texts searched together
+HELD = 64 << 20  # bytes of documents a task holds while it searches them for block after block
 ALIGN = 128  # regions aligned together
 _U = np.uint64
 _NONE = np.uint32(0x110000)
+_SPACE = np.uint32(32)
 _tables: list[np.ndarray] = []
 
 
@@ -61,21 +70,45 @@ def _gram_hashes(code: np.ndarray) -> np.ndarray:
     return scramble(h)
 
 
+def _bordered(code: np.ndarray) -> np.ndarray:
+    return np.concatenate([[_SPACE], code, [_SPACE]]).astype(np.uint32)
+
+
+def _window_hashes(code: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of all windows of ``n`` characters, character by character."""
+    h = np.zeros(len(code) - n + 1, np.uint64)
+    for i in range(n):
+        h = h * _U(0x9E3779B97F4A7C15) + code[i:len(code) - n + 1 + i].astype(np.uint64)
+    return scramble(h)
+
+
 class Passages:
-    """The gram index of one block of benchmark passages."""
+    """The gram index of one block of benchmark passages; short ones, searched word for word, stand apart."""
 
     def __init__(self, rows: list[tuple[int, str]], rate: float = EDIT_RATE):
         own = [(i, normalise(t)[0]) for i, t in rows]
+        brief = sorted(((len(x), i is not None, i or 0, x) for i, x in own if 0 < len(x) < MIN_CHARS), key=lambda b: b[:3])
         own = [(i, x) for i, x in own if len(x) >= MIN_CHARS]
+        self.first_brief = len(own)
+        own += [(i if some else None, x) for _, some, i, x in brief]
         self.ids = [i for i, _ in own]
+        every_size = np.array([len(x) for _, x in own], dtype=np.int64)
+        # a short passage's text between the spaces or ends of text around it, by length
+        self.brief = {}
+        for n in np.unique(every_size[self.first_brief:]).tolist():
+            number = self.first_brief + np.flatnonzero(every_size[self.first_brief:] == n)
+            prints = np.array([_window_hashes(_bordered(own[i][1]), n + 2)[0] for i in number])
+            order = np.argsort(prints, kind="stable")
+            self.brief[n] = prints[order], number[order]
         self.codes = [x for _, x in own]
-        self.sizes = np.array([len(x) for x in self.codes], dtype=np.int64)
+        self.all_sizes, self.sizes = every_size, every_size[:self.first_brief]
         # q-gram lemma: an occurrence with k edits keeps at least m - q + 1 - k * q grams; k such that some are left
         self.budget = np.minimum((self.sizes * rate).astype(np.int64), (self.sizes - Q) // Q)
+        self.all_budget = np.concatenate([self.budget, np.zeros(len(own) - self.first_brief, np.int64)])
         self.least = self.sizes - Q + 1 - self.budget * Q
         self.width = self.budget + 1
         self.longest = int(self.sizes.max(initial=0))
-        grams = [_gram_hashes(x) for x in self.codes]
+        grams = [_gram_hashes(x) for x in self.codes[:self.first_brief]]
         every = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
         item = np.repeat(np.arange(len(grams)), [len(g) for g in grams]) if grams else np.zeros(0, np.int64)
         place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64)
@@ -107,13 +140,15 @@ class Passages:
         item = self.item[posting]
         diagonal = np.repeat(at - bounds[doc], n) - self.place[posting] + self.longest
         band = diagonal // self.width[item]
-        key = (np.repeat(doc, n) * len(self.ids) + item) * _STRIDE + band
+        stride = len(code) + self.longest + 2  # more than there are bands
+        assert len(bounds) * len(self.ids) * stride < 1 << 63, "too many texts and passages at once"
+        key = (np.repeat(doc, n) * len(self.ids) + item) * stride + band
         key, hits = np.unique(key, return_counts=True)
         both = hits.copy()
         near = np.flatnonzero(np.diff(key) == 1)
         both[near] += hits[near + 1]
         # the pair that begins in an empty band has the hits of this one alone, which the pair from here covers
-        pair, band = key // _STRIDE, key % _STRIDE
+        pair, band = key // stride, key % stride
         doc, item = pair // len(self.ids), pair % len(self.ids)
         keep = both >= self.least[item]
         doc, item, band = doc[keep], item[keep], band[keep]
@@ -146,20 +181,48 @@ class Passages:
                     end[rows[done]] = start[rows[done]] + i + 1 + where
         return best, end
 
-    def find(self, code: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """(document, passage, edits, end place) of every passage within its budget, the best of each pair."""
+    def find(self, code: np.ndarray, bounds: np.ndarray, behind: np.ndarray,
+             before: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """(document, passage, edits, end place) of every passage within its budget, the best of each pair.
+
+        ``behind`` and ``before`` tell the parts that have more of their text before, and behind, them.
+        """
+        found = {(d, i): (0, z) for d, i, z in self._verbatim(code, bounds, behind, before)}
         doc, item, start = self.regions(code, bounds)
         if not len(doc):
-            return []
+            return [(d, i, e, z) for (d, i), (e, z) in sorted(found.items())]
         edits, end = self.align(code, bounds, doc, item, start)
         good = np.flatnonzero(edits <= self.budget[item])
-        found = {}
         for d, i, e, z in zip(doc[good], item[good], edits[good], end[good]):
             found[int(d), int(i)] = min(found.get((int(d), int(i)), (1 << 40, 0)), (int(e), int(z)))
         return [(d, i, e, z) for (d, i), (e, z) in sorted(found.items())]
 
 
-_STRIDE = 1 << 32
+    def _verbatim(self, code: np.ndarray, bounds: np.ndarray, behind: np.ndarray,
+                  before: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(document, passage, end place) of short passages that stand in a text as whole words, the first of each pair."""
+        if not self.brief:
+            return
+        texts = len(bounds) - 1
+        # a space before and behind each text; where a text is cut no word ends
+        ends = np.stack([np.where(behind, _NONE, _SPACE), np.where(before, _NONE, _SPACE)], axis=1)
+        own = np.insert(code, np.stack([bounds[:-1], bounds[1:]], axis=1).ravel(), ends.ravel()).astype(np.uint32)
+        heads = bounds[:-1] + 2 * np.arange(texts)  # of each text's leading space
+        for n, (prints, number) in self.brief.items():
+            if len(own) < n + 2:
+                continue
+            spaces = (own[:len(own) - n - 1] == _SPACE) & (own[n + 1:] == _SPACE)
+            at = np.flatnonzero(spaces)
+            at = at[np.isin(hashes := _window_hashes(own, n + 2)[at], prints)]
+            last = {}
+            for k, h in zip(at.tolist(), hashes[np.isin(hashes, prints)], strict=True):
+                text = own[k + 1:k + 1 + n]
+                for j in range(*(int(np.searchsorted(prints, h, side=x)) for x in ("left", "right"))):
+                    d = int(np.searchsorted(heads, k, side="right")) - 1
+                    if (d, int(number[j])) not in last and np.array_equal(text, self.codes[number[j]]):
+                        last[d, int(number[j])] = k - int(heads[d]) + n
+            for (d, i), z in last.items():
+                yield d, i, z
 
 
 def _search(passages: Passages, texts) -> Iterator[tuple[int, int, int, int, int]]:
@@ -168,66 +231,95 @@ def _search(passages: Passages, texts) -> Iterator[tuple[int, int, int, int, int
     A long text is cut into overlapping parts; the overlap holds any region,
     so an occurrence lies whole in one of them.
     """
-    overlap = 2 * passages.longest + 8 * Q
+    overlap = 2 * max(passages.longest, MIN_CHARS) + 8 * Q
 
     def flush(group):
         code = np.concatenate([x[1] for x in group])
         bounds = np.concatenate([[0], np.cumsum([len(x[1]) for x in group])])
-        for d, i, edits, end in passages.find(code, bounds):
-            row, own, at, shift = group[d]
+        for d, i, edits, end in passages.find(code, bounds, *(np.array([x[k] for x in group]) for k in (3, 4))):
+            row, _, at, _, _ = group[d]
             last = int(at[min(end, len(at)) - 1]) + 1
-            first = int(at[max(0, end - int(passages.sizes[i]))])
+            first = int(at[max(0, end - int(passages.all_sizes[i]))])
             yield row, i, edits, first, last
     group, held = [], 0
     for row, text in enumerate(texts):
         code, at = normalise(text.as_py())
         for lo in range(0, max(1, len(code) - overlap), CHUNK):
             part = slice(lo, lo + CHUNK + overlap)
-            group.append((row, code[part], at[part], lo))
+            group.append((row, code[part], at[part], lo > 0, part.stop < len(code)))
             held += len(group[-1][1])
-            if held >= CHUNK:
+            if held >= CHUNK or len(group) >= GROUP_TEXTS:
                 yield from flush(group)
                 group, held = [], 0
     if group:
         yield from flush(group)
 
 
-def _matches(passages: Passages):
+def _held(batches) -> Iterator[pa.Table]:
+    """Batches put together to HELD bytes, so that each index is built once for many of them."""
+    group, size = [], 0
+    for batch in batches:
+        group.append(batch)
+        size += batch.nbytes
+        if size >= HELD:
+            yield pa.Table.from_batches(group)
+            group, size = [], 0
+    if group:
+        yield pa.Table.from_batches(group)
+
+
+@functools.lru_cache(maxsize=1)
+def _index(folder: str, block: int) -> Passages:
+    """The index of a stored block; a task holds one at a time."""
+    system, path = remote.locate(f"{folder}/block={block}")
+    rows = pq.read_table(path, columns=["item_id", "text"], filesystem=system, partitioning=None)
+    return Passages(list(zip(rows["item_id"].to_pylist(), rows["text"].to_pylist(), strict=True)))
+
+
+def _matches(folder: str, blocks: int):
     def run(batches):
-        for batch in batches:
-            rows = list(_search(passages, batch.column(1)))
-            row, item, edits, start, end = zip(*rows) if rows else ((),) * 5
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row, pa.int64())), pa.array([passages.ids[i] for i in item], pa.int64()),
-                 pa.array(edits, pa.int64()), pa.array([int(passages.budget[i]) for i in item], pa.int64()),
-                 pa.array(start, pa.int64()), pa.array(end, pa.int64())],
-                ["id", "item_id", "edits", "budget", "start", "end"])
+        for table in _held(batches) if blocks > 1 else (pa.Table.from_batches([b]) for b in batches):
+            ids, texts = table.column(0).combine_chunks(), table.column(1)
+            for block in range(blocks):
+                passages = _index(folder, block)
+                rows = list(_search(passages, texts))
+                row, item, edits, start, end = zip(*rows) if rows else ((),) * 5
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(pa.array(row, pa.int64())), pa.array([passages.ids[i] for i in item], pa.int64()),
+                     pa.array(edits, pa.int64()), pa.array([int(passages.all_budget[i]) for i in item], pa.int64()),
+                     pa.array(start, pa.int64()), pa.array(end, pa.int64())],
+                    ["id", "item_id", "edits", "budget", "start", "end"])
     return run
 
 
-def _without(passages: Passages, text_at: int):
+def _without(folder: str, blocks: int, text_at: int, least: int):
     def run(batches):
-        for batch in batches:
-            hit = np.zeros(batch.num_rows, bool)
-            hit[[r[0] for r in _search(passages, batch.column(text_at))]] = True
-            yield batch.filter(pa.array(~hit))
+        for table in _held(batches) if blocks > 1 else (pa.Table.from_batches([b]) for b in batches):
+            hit = np.zeros(table.num_rows, bool)
+            for block in range(blocks):
+                passages = _index(folder, block)
+                hit[[r[0] for r in _search(passages, table.column(text_at)) if passages.all_sizes[r[1]] >= least]] = True
+            yield from table.filter(pa.array(~hit)).to_batches()
     return run
 
 
-def passage_blocks(benchmark: DataFrame, item: str = "item_id", text: str = "text") -> Iterator[Passages]:
-    """Indexes of the benchmark's passages, in blocks of BLOCK_CHARS characters at most (or one passage).
+def passage_blocks(benchmark: DataFrame, scratch: Scratch, item: str = "item_id", text: str = "text") -> tuple[str, int]:
+    """The benchmark's passages, stored in blocks of about BLOCK_CHARS characters (or one passage): folder and number.
 
-    Null and short texts (below MIN_CHARS normalised) are left out.
+    Blocks are numbered and written by Spark; only their number comes to the driver.
     """
-    held, size = [], 0
-    for r in benchmark.where(F.col(text).isNotNull()).select(F.col(item).cast("long"), text).toLocalIterator():
-        if held and size + len(r[1]) > BLOCK_CHARS:
-            yield Passages(held)
-            held, size = [], 0
-        held.append((r[0], r[1]))
-        size += len(r[1])
-    if held:
-        yield Passages(held)
+    rows = benchmark.where(F.col(text).isNotNull()).select(
+        F.col(item).cast("long").alias("item_id"), F.col(text).cast("string").alias("text"),
+        F.length(text).cast("long").alias("n"))
+    placed = with_prefix(rows, ["item_id", "text"], {"before": "n"}, scratch, "passages")
+    blocks = placed.select("item_id", "text", F.floor(F.col("before") / BLOCK_CHARS).alias("at"))
+    # numbers without gaps, also behind a passage longer than a block
+    numbers = blocks.groupBy("at").agg(F.count(F.lit(1)).alias("n"))
+    numbers = scratch.stage(with_prefix(numbers, ["at"], {}, scratch, "numbers", "block").select("at", "block"), "blocks")
+    folder = scratch.path("by-block")
+    blocks.join(numbers, "at").select("block", "item_id", "text").repartition("block").write.partitionBy("block").parquet(
+        folder)
+    return folder, numbers.count()
 
 
 def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, key: str = "doc_id",
@@ -237,34 +329,37 @@ def leaks(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, key: str =
     Both sides are compared lower-cased, with one space for every run of
     characters that are neither letters nor digits.  Shared Q-grams are
     counted in overlapping diagonal bands; regions that meet the q-gram lemma
-    for the passage's edit budget are aligned in a band around them.  The
-    documents are not shuffled: a block of passages goes to every task, and
-    a larger benchmark takes one pass per block.
+    for the passage's edit budget are aligned in a band around them.
+    Passages below MIN_CHARS characters have no budget: they are found where
+    they stand word for word, between spaces or ends of the text.  The
+    documents are read once and not shuffled: passages are stored in blocks,
+    and a task indexes one block at a time.
 
     Returns (id, item_id, edits, budget, start, end), the best occurrence per
     row and passage; ``end`` is exact, ``start`` is ``end`` less the passage's
-    length.  Defined cases: null and empty texts match nothing; a null id is
+    length.  Defined cases: null and empty texts match nothing, nor do
+    passages without letters and digits; a null id and a null item id are
     reported as null; repeated rows are reported once each; no documents or
     no passages give an empty result.
     """
     ship_code(spark)
-    out = None
-    for passages in passage_blocks(benchmark):
-        part = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(
-            _matches(passages), "id long, item_id long, edits long, budget long, start long, end long")
-        out = part if out is None else out.union(part)
-    if out is None:
-        out = spark.createDataFrame([], "id long, item_id long, edits long, budget long, start long, end long")
+    folder, blocks = passage_blocks(benchmark, Scratch(spark, "leaks"))
+    out = docs.select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text")).mapInArrow(
+        _matches(folder, blocks), "id long, item_id long, edits long, budget long, start long, end long")
     # parts of one long text may report an occurrence twice
     return out.distinct().withColumnRenamed("id", key)
 
 
-def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` in which no passage occurs, with all their columns (see ``leaks``)."""
+def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, text: str = "text",
+                  least: int = DROP_CHARS) -> DataFrame:
+    """The rows of ``docs`` in which no passage occurs, with all their columns (see ``leaks``).
+
+    Passages below ``least`` characters, such as a single word, are common
+    speech and drop nothing.
+    """
     ship_code(spark)
-    for passages in passage_blocks(benchmark):
-        docs = docs.mapInArrow(_without(passages, docs.columns.index(text)), docs.schema)
-    return docs
+    folder, blocks = passage_blocks(benchmark, Scratch(spark, "leaks"))
+    return docs.mapInArrow(_without(folder, blocks, docs.columns.index(text), least), docs.schema)
 
 
 def op6_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,7 +25,11 @@ def brute(docs, items):
     out = set()
     for i, t in items:
         p = decontam.normalise(t)[0]
-        if t is None or len(p) < decontam.MIN_CHARS:
+        if t is None or not len(p):
+            continue
+        if len(p) < decontam.MIN_CHARS:  # word for word
+            words = plain(t)
+            out |= {(d, i, 0) for d, text in docs if f" {words} " in f" {plain(text)} "}
             continue
         budget = min(int(len(p) * decontam.EDIT_RATE), (len(p) - decontam.Q) // decontam.Q)
         for d, text in docs:
@@ -35,6 +39,10 @@ def brute(docs, items):
     return out
 
 
+def plain(text):
+    return bytes(decontam.normalise(text)[0].astype("<u4")).decode("utf-32-le")
+
+
 def run(spark, docs, items):
     got = decontam.leaks(spark, spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)).collect()
     return {(r["doc_id"], r["item_id"], r["edits"]) for r in got}, got
@@ -101,3 +109,28 @@ def test_long_text_blocks_and_filter(spark, monkeypatch):
 def test_empty(spark):
     assert run(spark, [], [(1, "a passage that is long enough to count")])[0] == set()
     assert run(spark, [(1, "text")], [])[0] == set()
+
+
+def test_short_passages_stand_word_for_word(spark):
+    items = [(1, "What is 2 plus 2?"), (2, "2"), (3, "yes"), (None, "no way"), (5, "?!"), (6, "What is 2 plus 2?"),
+             (7, "exactly 23 characters !"), (8, "a b")]
+    docs = [(1, "He asked: what is  2 plus 2? Then left."), (2, "What is 2 plus 22?"), (3, "Yes."), (4, "yesterday 12 2x"),
+            (5, "xno way"), (6, "no-way"), (7, "EXACTLY, 23 characters"), (8, None), (9, ""), (10, "a b a b"), (11, "a"),
+            (12, "b")]
+    got, rows = run(spark, docs, items)
+    assert got == brute(docs, items) and {(1, 1, 0), (1, 6, 0), (1, 2, 0), (3, 3, 0), (6, None, 0), (7, 7, 0)} <= got
+    assert not {d for d, _, _ in got} & {4, 5, 8, 9}
+    at = next(r for r in rows if r["doc_id"] == 1 and r["item_id"] == 1)
+    assert (docs[0][1][at["start"]:at["end"]], at["budget"]) == ("what is  2 plus 2", 0)
+    kept = decontam.decontaminate(spark, spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS))
+    assert {r["doc_id"] for r in kept.collect()} == set(range(1, 13)) - {1, 7}
+
+
+def test_short_passages_in_long_texts(spark):
+    """Parts of a long text end between words."""
+    rng = random.Random(3)
+    text = words(rng, 250_000).replace("é", "e")
+    plant = text[:1_100_000] + " Zz top 1 " + text[1_100_000:]
+    items = [(1, "zz top 1"), (2, "zz"), (3, "nowhere"), (4, "e")]
+    docs = [(1, plant), (2, text)]
+    assert run(spark, docs, items)[0] == brute(docs, items)
