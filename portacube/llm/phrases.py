@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from portacube.llm import remote, textkit
 from portacube.llm.scratch import Scratch
-from portacube.llm.workers import ship_code
+from portacube.llm.workers import batch_bytes, ship_code
 
 SHARD_WORDS = 1 << 21  # words of a shard (one piece more at most)
-SEGMENT = 1 << 22  # bytes of text tokenised at once
+SEGMENT = 1 << 21  # bytes of text tokenised at once
+BATCH_BYTES = 8 << 20  # of texts that a worker gets at once
+PART_ROWS = 1 << 21  # shards' phrases that one task sums up, at most on average
 SHARDS_A_TASK = 12  # bits of a shard's number within its task
 PLACE_BITS = 31  # bits of a place in a shard
 DEPTH = 5  # words of the longest phrase
@@ -146,7 +148,7 @@ def _sorted_places(s: np.ndarray) -> np.ndarray:
     rank, reach = s.astype(np.int64), 1
     while True:
         key = rank * (int(rank.max()) + 1) + np.roll(rank, -reach)
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         reach *= 2
         if reach >= DEPTH:
             return order
@@ -265,31 +267,102 @@ def _build(words: str, folder: str):
     return run
 
 
-def _grow(folder: str, single: bool):
-    """The next level's phrases of one shard from those of the last, which come with the name of its index."""
+def _packed(*columns: np.ndarray) -> bytes:
+    """Columns of longs, the bytes of equal weight side by side, compressed: small numbers take little."""
+    planes = b"".join(c.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns)
+    return pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def _unpacked(blob: bytes, columns: int, rows: int) -> list[np.ndarray]:
+    planes = np.frombuffer(pa.decompress(blob, columns * rows * 8, codec="zstd"), np.uint8)
+    return [np.ascontiguousarray(x.reshape(8, rows).T).view("<i8").ravel() for x in np.split(planes, columns)]
+
+
+def _dealt(prefix: np.ndarray, suffix: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Phrases ordered by part and key, and where the parts begin; a key's part does not depend on the shard."""
+    mixed = textkit.scramble(prefix.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + suffix.astype(np.uint64))
+    part = (mixed % np.uint64(parts)).astype(np.int64)
+    order = np.lexsort((suffix, prefix, part))
+    return order, np.searchsorted(part[order], np.arange(parts + 1))
+
+
+def _offer(folder: str, size: int, parts: int):
+    """One shard's phrases of ``size`` words for the tasks that sum them, a packed row per part.
+
+    The shard comes with the name of its index and, of every shorter length,
+    the places and ids of its phrases that are frequent; with these it walks
+    the lengths again, so nothing but ids has to be brought back.
+    """
     def run(table: pa.Table) -> pa.Table:
-        name = next(x for x in table["file"].to_pylist() if x)
-        index = Index.load(_read(folder, name))
-        if single:
-            found = index.grow(*index.words(), True)
-        else:
-            given = table.filter(pa.compute.is_valid(table["id"]))
-            found = index.grow(*[given[c].to_numpy().astype(np.int64) for c in ("lo", "rlo", "n", "id")], False)
-        names = ["lo", "rlo", "n", "prefix", "suffix"]
-        return pa.table({"shard": pa.array(np.full(len(found[0]), table["shard"][0].as_py())),
-                         **{c: pa.array(x.astype(np.int64)) for c, x in zip(names, found, strict=True)}})
+        shard = table["shard"][0].as_py()
+        index = Index.load(_read(folder, next(x for x in table["file"].to_pylist() if x)))
+        state = index.words()
+        for level in range(2, size + 1):
+            lo, rlo, n, prefix, suffix = index.grow(*state, level == 2)
+            order, first = _dealt(prefix, suffix, parts)
+            if level == size:
+                break
+            given = table.filter(pa.compute.equal(table["level"], level))
+            places, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for part, rows, blob in zip(*(given[c].to_pylist() for c in ("part", "rows", "blob")), strict=True):
+                place, own = _unpacked(blob, 2, rows)
+                places.append(order[first[part] + place])
+                ids.append(own)
+            keep = np.concatenate(places)
+            state = lo[keep], rlo[keep], n[keep], np.concatenate(ids)
+        out = [p for p in range(parts) if first[p] < first[p + 1]]
+        blobs = []
+        for p in out:
+            own = order[first[p]:first[p + 1]]
+            blobs.append(_packed(np.diff(prefix[own], prepend=0), suffix[own], n[own]))
+        return pa.table({"part": pa.array(out, pa.int32()), "shard": pa.array([shard] * len(out), pa.int64()),
+                         "rows": pa.array([int(first[p + 1] - first[p]) for p in out], pa.int32()),
+                         "blob": pa.array(blobs, pa.binary())})
     return run
 
 
-# --------------------------------------------------------------------- queries
-def _frequent(rows: DataFrame, key: list[str], place: str, least: int) -> DataFrame:
-    """Rows whose key's ``n`` sum to ``least`` over all shards, with the sum ``f`` and an ``id``, the key's least place.
+def _settle(level: int, least: int):
+    """Sum one part's phrases over the shards: a row for each that is frequent (shard null), and a packed row for
+    each shard with the places and ids of its frequent ones."""
+    def run(table: pa.Table) -> pa.Table:
+        part, shards, rows = table["part"][0].as_py(), table["shard"].to_pylist(), table["rows"].to_pylist()
+        columns = [_unpacked(blob.as_py(), 3, k) for blob, k in zip(table["blob"], rows, strict=True)]
+        prefix = np.concatenate([np.cumsum(c[0]) for c in columns])
+        suffix, n = (np.concatenate([c[i] for c in columns]) for i in (1, 2))
+        order = np.lexsort((suffix, prefix))
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(prefix[order]) != 0) | (np.diff(suffix[order]) != 0)
+        at = np.flatnonzero(new)
+        f = np.add.reduceat(n[order], at)
+        frequent = f >= least
+        ids = np.where(frequent, part << 32 | np.cumsum(frequent) - 1, -1)
+        own = np.empty(len(order), np.int64)
+        own[order] = np.repeat(ids, np.diff(np.append(at, len(order))))
+        back, bounds = [], np.concatenate([[0], np.cumsum(rows)])
+        for i, shard in enumerate(shards):
+            mine = own[bounds[i]:bounds[i + 1]]
+            place = np.flatnonzero(mine >= 0)
+            if len(place):
+                back.append((shard, len(place), _packed(place, mine[place])))
+        one, k = order[at[frequent]], int(frequent.sum())
+        total = k + len(back)
+        return pa.table({
+            "shard": pa.array([None] * k + [x[0] for x in back], pa.int64()),
+            "level": pa.array([level] * total, pa.int32()), "part": pa.array([part] * total, pa.int32()),
+            "rows": pa.array([None] * k + [x[1] for x in back], pa.int32()),
+            "blob": pa.array([None] * k + [x[2] for x in back], pa.binary()),
+            **{c: pa.array([*x.tolist(), *[None] * len(back)], pa.int64()) for c, x in (
+                ("id", ids[frequent]), ("prefix", prefix[one]), ("suffix", suffix[one]), ("f", f[frequent]))}})
+    return run
 
-    A key has one row a shard at most, so its group is bounded by the number of shards.
-    """
-    every = Window.partitionBy(*key)
-    here = F.shiftleft("shard", PLACE_BITS).bitwiseOR(F.col(place).cast("long"))
-    return (rows.withColumn("_here", here).withColumn("f", F.sum("n").over(every)).where(F.col("f") >= least)
+
+# --------------------------------------------------------------------- queries
+def _frequent_words(tokens: DataFrame, least: int) -> DataFrame:
+    """The shards' words that occur ``least`` times over all shards, with their sum ``f`` and an ``id``, the least
+    place of the word; a word has one row a shard, so its group is bounded by the number of shards."""
+    every = Window.partitionBy("lang", "word")
+    here = F.shiftleft("shard", PLACE_BITS).bitwiseOR(F.col("symbol").cast("long"))
+    return (tokens.withColumn("_here", here).withColumn("f", F.sum("n").over(every)).where(F.col("f") >= least)
             .withColumn("id", F.min("_here").over(every)))
 
 
@@ -305,46 +378,53 @@ def phrase_counts(spark: SparkSession, docs: DataFrame, least: int = LEAST, shar
 
     Every scan task cuts its texts into shards; each shard gets an index of
     its frequent words.  Level by level the shards' phrases are extended by a
-    word on both sides, their counts summed over the shards, and the frequent
-    ones go back to the shards, so that what is shuffled is bounded by
-    occurrences of phrases whose parts are frequent.
+    word on both sides, their counts summed over the shards, and the places
+    of the frequent ones go back to the shards.  What is shuffled are phrases
+    whose parts are frequent, packed by shard and part.
     """
     ship_code(spark)
     scratch = Scratch(spark, "phrases")
     stored, indexes = scratch.folder("words"), scratch.folder("indexes")
     source = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.col(text).alias("text"))
-    tokens = scratch.stage(source.mapInArrow(
-        _tokenise(stored, shard_words), "shard long, file string, symbol int, lang string, word string, n long"), "tokens")
-    totals = tokens.groupBy("lang").agg(F.sum("n").alias("n"))
-    level = scratch.stage(_frequent(tokens, ["lang", "word"], "symbol", least)
-                          .select("shard", "file", "symbol", "lang", "word", "f", "id", "_here"), "level-1")
+    with batch_bytes(spark, BATCH_BYTES):
+        tokens = scratch.stage(source.mapInArrow(
+            _tokenise(stored, shard_words), "shard long, file string, symbol int, lang string, word string, n long"),
+            "tokens")
+    totals = scratch.stage(tokens.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
+    level = scratch.stage(_frequent_words(tokens, least)
+                          .select("shard", "file", "symbol", "lang", "word", "f", "n", "id", "_here"), "level-1")
+    scratch.drop("tokens")
     known = scratch.stage(level.where("_here = id").select(
         "id", "lang", F.lit(1).alias("words"), F.col("word").alias("phrase"), F.col("word").alias("last"), "f",
         F.array("f").alias("heads"), F.array("f").alias("tails")), "known-1")
-    shards = max(1, tokens.select("shard").distinct().count())
-    tasks = min(shards, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    size = level.agg(F.count_distinct("shard"), F.sum("n")).first()
+    wide = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks, parts = max(1, min(size[0], 4 * wide)), max(2 * wide, -(-(size[1] or 0) // PART_ROWS))
     heads = scratch.stage(level.select("shard", "file", "symbol", "id").repartition(tasks, "shard").groupBy("shard")
                           .applyInArrow(_build(stored, indexes), "shard long, file string"), "shards")
     scratch.drop("words")
-    levels, state = [known], heads.select("*", *[F.lit(None).cast("long").alias(c) for c in ("lo", "rlo", "n", "id")])
-    for size in range(2, DEPTH + 1):
-        grown = state.repartition(tasks, "shard").groupBy("shard").applyInArrow(
-            _grow(indexes, size == 2), "shard long, lo long, rlo long, n long, prefix long, suffix long")
-        level = scratch.stage(_frequent(grown, ["prefix", "suffix"], "lo", least).drop("file"), f"level-{size}")
+    back = "shard long, level int, part int, rows int, blob binary"
+    levels, state = [known], heads.select("*", *[F.lit(None).cast(x.split()[1]).alias(x.split()[0])
+                                                 for x in back.split(", ")[1:]])
+    for words in range(2, DEPTH + 1):
+        offers = state.repartition(tasks, "shard").groupBy("shard").applyInArrow(
+            _offer(indexes, words, parts), "part int, shard long, rows int, blob binary")
+        settled = scratch.stage(offers.groupBy("part").applyInArrow(
+            _settle(words, least), f"{back}, id long, prefix long, suffix long, f long"), f"settled-{words}")
         before = levels[-1].select("id", "lang", "phrase", "last", "heads", "tails")
         first = before.select(F.col("id").alias("prefix"), "lang", F.col("phrase").alias("begin"), "heads")
         rest = before.select(F.col("id").alias("suffix"), "last", "tails")
         known = scratch.stage(
-            level.where("_here = id").select("id", "prefix", "suffix", "f").join(first, "prefix").join(rest, "suffix")
-            .select("id", "lang", F.lit(size).alias("words"), F.concat_ws(" ", "begin", "last").alias("phrase"), "last", "f",
+            settled.where("shard is null").select("id", "prefix", "suffix", "f").join(first, "prefix").join(rest, "suffix")
+            .select("id", "lang", F.lit(words).alias("words"), F.concat_ws(" ", "begin", "last").alias("phrase"), "last", "f",
                     F.array_append("heads", F.col("f")).alias("heads"), F.array_append("tails", F.col("f")).alias("tails"),
-                    "prefix", "suffix"), f"known-{size}")
+                    "prefix", "suffix"), f"known-{words}")
         longer = (known.select(F.col("prefix").alias("id"), "f").union(known.select("suffix", "f"))
                   .groupBy("id").agg(F.max("f").alias("longer")))
         levels[-1] = levels[-1].join(longer, "id", "left")
         levels.append(known)
-        state = (level.select("shard", F.lit(None).cast("string").alias("file"), "lo", "rlo", "n", "id")
-                 .union(heads.select("shard", "file", *[F.lit(None).cast("long")] * 4)))
+        state = state.union(settled.where("shard is not null").select(
+            "shard", F.lit(None).cast("string").alias("file"), "level", "part", "rows", "blob"))
     levels[-1] = levels[-1].withColumn("longer", F.lit(None).cast("long"))
     columns = ["id", "lang", "words", "phrase", "f", "heads", "tails", "longer"]
     out = levels[0].select(*columns)
