@@ -65,8 +65,24 @@ def test_run_on_awkward_tables(spark, scratch):
                  pages=(pages, "page_id long, url string, html string"), benchmark=(items, "item_id long, text string"))
     got = cp.run(spark, scratch).collect()
     ids = {r["doc_id"] for r in got}
-    assert 5 not in ids and not ids & {200, 201, 202, None} and ids and all(r["n_tokens"] > 1 for r in got)
+    # the row without doc_id has the shingles of 203
+    assert 5 not in ids and not ids & {200, 201, 202, None} and 203 in ids and all(r["n_tokens"] > 1 for r in got)
     empty = scratch + "/none"
     write_tables(spark, empty, documents=([], SCHEMA), pages=([], "page_id long, url string, html string"),
                  benchmark=([], "item_id long, text string"))
     assert cp.run(spark, empty).collect() == []
+
+
+def test_rows_of_one_id_are_judged_row_by_row(spark, scratch, sf):
+    english = "the cat sat on the mat and then it went over the hill to see the other side of the valley today "
+    other = "a boat came down the river in the morning while all the people of the town were still asleep there "
+    rows = [(5, None, "en", "a", 0), (5, english, "en", "a", 1), (6, english * 2 + "one more time", "en", "a", 1),
+            (6, other, "en", "a", 1), (6, other, "en", "a", 1), (None, english, "en", "a", 1), (4, other + "again", "en", "a", 1),
+            (None, "this row has no number but it is a clean text of its own that nobody else wrote down", "en", "a", 1)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    kept = stage(spark, scratch, "near_duplicates", docs, sf)
+    assert kept.columns == docs.columns
+    got = sorted((r["doc_id"] or 0, r["text"] or "") for r in kept.collect())
+    assert got == sorted([(5, ""), (5, english), (6, english * 2 + "one more time"), (4, other + "again"), (0, rows[-1][1])])
+    spoken = {(r["doc_id"], r["text"]) for r in stage(spark, scratch, "language", docs, sf).collect()}
+    assert (5, english) in spoken and (None, rows[-1][1]) in spoken and (5, None) not in spoken
