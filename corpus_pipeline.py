@@ -12,7 +12,7 @@ stated there.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from portacube.llm import decontam, langid, minhash, mixing, tokenfile
@@ -22,38 +22,43 @@ from portacube.llm.workers import ship_code
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def _numbered(spark: SparkSession, docs: DataFrame, tag: str) -> DataFrame:
+    """The rows of ``docs`` stored with a number of their own, by which a stage decides: ids may repeat or be null."""
+    rows = docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id())
+    return Scratch(spark, tag).stage(rows, "rows")
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents whose language is identified; ``lang`` becomes the identified language.
 
-    Empty and white-space texts go.  Rows of one doc_id with different texts
-    share one decision (they stay if one of them does); rows without doc_id go.
+    Empty and white-space texts go.  Every row is judged by itself, whatever
+    its doc_id; rows without one have no page and are judged by the rest.
     """
-    judged = langid.identify_documents(spark, docs, sf_dir).where("kept and doc_id is not null")
-    kept = judged.groupBy("doc_id").agg(F.min("language").alias("_language"))
-    return docs.select(*COLUMNS).join(kept, "doc_id").withColumn("lang", F.col("_language")).select(*COLUMNS)
+    rows = _numbered(spark, docs, "language")
+    judged = langid.identify_documents(spark, rows.select("_row", "doc_id", "text", "lang", "source"), sf_dir)
+    kept = judged.where("kept").select("_row", F.col("language").alias("_language"))
+    return rows.join(kept, "_row").withColumn("lang", F.col("_language")).select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near-duplicates: that with the least doc_id.
+    """Keep one document of each group of near-duplicates: that with the least doc_id, any id before none.
 
-    Five words and a similarity of 0.8.  Of several rows with the same doc_id
-    one stays: the least by text.  Empty texts are no duplicates of each other.
+    Five words and a similarity of 0.8, row by row: unlike texts stay, also
+    under one doc_id; of equal rows one stays.  Empty texts are no duplicates
+    of each other.
     """
-    judged = minhash.near_duplicates(spark, docs)
-    kept = judged.where("kept").select("doc_id").distinct()
-    rows = docs.select(*COLUMNS).join(kept, "doc_id", "left_semi")
-    # repeated ids are the exception: only their rows are compared
-    again = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("doc_id")
-    single = rows.join(again, "doc_id", "left_anti")
-    order = Window.partitionBy("doc_id").orderBy("text", "lang", "source", "n_chars")
-    several = (rows.join(again, "doc_id", "left_semi").withColumn("_k", F.row_number().over(order)).where("_k = 1")
-               .drop("_k"))
-    return single.select(*COLUMNS).union(several.select(*COLUMNS))
+    rows = _numbered(spark, docs, "near-duplicates")
+    judged = minhash.near_duplicates(spark, rows.select("_row", "text"), key="_row")
+    first = (judged.select("_row", F.col("component_id").alias("_group")).join(rows.select("_row", "doc_id"), "_row")
+             .groupBy("_group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_row")).alias("_one")))
+    return rows.join(first.select("_one._row"), "_row", "left_semi").select(*COLUMNS)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a benchmark passage within its edit budget, wherever it stands.
 
+    Passages below ``decontam.MIN_CHARS`` normalised characters count word for
+    word; those below ``decontam.DROP_CHARS``, common speech, drop nothing.
     Null and empty texts hold none; rows are judged one by one.
     """
     passages = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
