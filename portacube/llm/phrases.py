@@ -86,7 +86,8 @@ class _Shard:
         self.n += len(sizes)
 
     def symbols(self, names: list[str]) -> tuple[np.ndarray, pa.Array, pa.Array, np.ndarray]:
-        """Symbols of the words (from 1, negative where a piece starts), and of each symbol lang, word and count."""
+        """Symbols of the words (from 1 by falling count, negative where a piece starts), and of each symbol lang, word
+        and count."""
         sizes = np.concatenate(self.sizes)
         bounds = np.zeros(len(sizes) + 1, np.int64)
         np.cumsum(sizes, out=bounds[1:])
@@ -97,7 +98,9 @@ class _Shard:
         code += np.concatenate(self.langs).astype(np.int64) * total
         used = np.bincount(code, minlength=total * len(names))
         have = np.flatnonzero(used)
-        number = np.cumsum(used > 0, dtype=np.int32)
+        have = have[np.argsort(-used[have], kind="stable")]
+        number = np.zeros(len(used), np.int32)
+        number[have] = np.arange(1, len(have) + 1)
         symbols = number[code]
         lang = pa.array(names, pa.string()).take(pa.array(have // total))
         word = coded.dictionary.take(pa.array(have % total)).cast(pa.string())
@@ -255,8 +258,9 @@ def _read(folder: str, name: str) -> bytes:
 def _build(words: str, folder: str):
     """Index one shard from its stored symbols and the ids of its frequent words; (shard, file) of the index."""
     def run(table: pa.Table) -> pa.Table:
-        symbols = np.frombuffer(_read(words, table["file"][0].as_py()), "<i4")
-        frequent, ids = table["symbol"].to_numpy(), table["id"].to_numpy()
+        symbols = np.frombuffer(_read(words, next(x for x in table["file"].to_pylist() if x)), "<i4")
+        given = table.filter(pa.compute.is_valid(table["id"])).sort_by("symbol")
+        frequent, ids = given["symbol"].to_numpy(), given["id"].to_numpy()
         number = np.zeros(int(np.abs(symbols).max()) + 1, np.int32)
         number[frequent] = np.arange(1, len(frequent) + 1)
         index = Index.build(_runs(symbols, number), np.concatenate([[0], ids]))
@@ -289,43 +293,56 @@ def _dealt(prefix: np.ndarray, suffix: np.ndarray, parts: int) -> tuple[np.ndarr
 def _offer(folder: str, size: int, parts: int):
     """One shard's phrases of ``size`` words for the tasks that sum them, a packed row per part.
 
-    The shard comes with the name of its index and, of every shorter length,
-    the places and ids of its phrases that are frequent; with these it walks
-    the lengths again, so nothing but ids has to be brought back.
+    The shard comes with the name of its index and, of the words one shorter,
+    the places and ids of its frequent phrases.  These it walks again from
+    the state stored a length before, and stores them as the next state,
+    whose name it passes on as a row of a part below 0.
     """
     def run(table: pa.Table) -> pa.Table:
         shard = table["shard"][0].as_py()
         index = Index.load(_read(folder, next(x for x in table["file"].to_pylist() if x)))
+        parted, counts, blobs = [], [], []
         state = index.words()
-        for level in range(2, size + 1):
-            lo, rlo, n, prefix, suffix = index.grow(*state, level == 2)
+        if size > 2:
+            rows = list(zip(*(table[c].to_pylist() for c in ("part", "rows", "blob")), strict=True))
+            stored = [(rows, blob.decode()) for part, rows, blob in rows if part is not None and part < 0]
+            if stored:
+                state = tuple(_unpacked(_read(folder, stored[0][1]), 4, stored[0][0]))
+            lo, rlo, n, prefix, suffix = index.grow(*state, size == 3)
             order, first = _dealt(prefix, suffix, parts)
-            if level == size:
-                break
-            given = table.filter(pa.compute.equal(table["level"], level))
             places, ids = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for part, rows, blob in zip(*(given[c].to_pylist() for c in ("part", "rows", "blob")), strict=True):
-                place, own = _unpacked(blob, 2, rows)
-                places.append(order[first[part] + place])
-                ids.append(own)
+            for part, k, blob in rows:
+                if part is not None and part >= 0:
+                    place, own = _unpacked(blob, 2, k)
+                    places.append(order[first[part] + place])
+                    ids.append(own)
             keep = np.concatenate(places)
             state = lo[keep], rlo[keep], n[keep], np.concatenate(ids)
-        out = [p for p in range(parts) if first[p] < first[p + 1]]
-        blobs = []
-        for p in out:
+            file = remote.NewFile(folder, ".state")
+            file.write(_packed(*state))
+            file.close()
+            parted, counts, blobs = [-1 - shard % parts], [len(keep)], [file.name.encode()]
+        _, _, n, prefix, suffix = index.grow(*state, size == 2)
+        order, first = _dealt(prefix, suffix, parts)
+        for p in np.flatnonzero(np.diff(first)).tolist():
             own = order[first[p]:first[p + 1]]
+            parted.append(p)
+            counts.append(len(own))
             blobs.append(_packed(np.diff(prefix[own], prepend=0), suffix[own], n[own]))
-        return pa.table({"part": pa.array(out, pa.int32()), "shard": pa.array([shard] * len(out), pa.int64()),
-                         "rows": pa.array([int(first[p + 1] - first[p]) for p in out], pa.int32()),
-                         "blob": pa.array(blobs, pa.binary())})
+        return pa.table({"part": pa.array(parted, pa.int32()), "shard": pa.array([shard] * len(parted), pa.int64()),
+                         "rows": pa.array(counts, pa.int32()), "blob": pa.array(blobs, pa.binary())})
     return run
 
 
-def _settle(level: int, least: int):
+def _settle(least: int):
     """Sum one part's phrases over the shards: a row for each that is frequent (shard null), and a packed row for
-    each shard with the places and ids of its frequent ones."""
+    each shard with the places and ids of its frequent ones.  Parts below 0 pass as they are."""
     def run(table: pa.Table) -> pa.Table:
         part, shards, rows = table["part"][0].as_py(), table["shard"].to_pylist(), table["rows"].to_pylist()
+        if part < 0:
+            none = pa.nulls(len(shards), pa.int64())
+            return pa.table({"shard": table["shard"], "part": table["part"], "rows": table["rows"], "blob": table["blob"],
+                             "id": none, "prefix": none, "suffix": none, "f": none})
         columns = [_unpacked(blob.as_py(), 3, k) for blob, k in zip(table["blob"], rows, strict=True)]
         prefix = np.concatenate([np.cumsum(c[0]) for c in columns])
         suffix, n = (np.concatenate([c[i] for c in columns]) for i in (1, 2))
@@ -347,8 +364,7 @@ def _settle(level: int, least: int):
         one, k = order[at[frequent]], int(frequent.sum())
         total = k + len(back)
         return pa.table({
-            "shard": pa.array([None] * k + [x[0] for x in back], pa.int64()),
-            "level": pa.array([level] * total, pa.int32()), "part": pa.array([part] * total, pa.int32()),
+            "shard": pa.array([None] * k + [x[0] for x in back], pa.int64()), "part": pa.array([part] * total, pa.int32()),
             "rows": pa.array([None] * k + [x[1] for x in back], pa.int32()),
             "blob": pa.array([None] * k + [x[2] for x in back], pa.binary()),
             **{c: pa.array([*x.tolist(), *[None] * len(back)], pa.int64()) for c, x in (
@@ -399,18 +415,21 @@ def phrase_counts(spark: SparkSession, docs: DataFrame, least: int = LEAST, shar
         F.array("f").alias("heads"), F.array("f").alias("tails")), "known-1")
     size = level.agg(F.count_distinct("shard"), F.sum("n")).first()
     wide = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tasks, parts = max(1, min(size[0], 4 * wide)), max(2 * wide, -(-(size[1] or 0) // PART_ROWS))
-    heads = scratch.stage(level.select("shard", "file", "symbol", "id").repartition(tasks, "shard").groupBy("shard")
-                          .applyInArrow(_build(stored, indexes), "shard long, file string"), "shards")
+    tasks, parts = max(1, min(size[0], 4 * wide)), max(wide, -(-(size[1] or 0) // PART_ROWS))
+    void = F.lit(None)
+    built = (level.select("shard", void.cast("string").alias("file"), "symbol", "id")
+             .union(level.groupBy("shard").agg(F.min("file")).select("*", void.cast("int"), void.cast("long"))))
+    heads = scratch.stage(built.repartition(tasks, "shard").groupBy("shard").applyInArrow(
+        _build(stored, indexes), "shard long, file string"), "shards")
     scratch.drop("words")
-    back = "shard long, level int, part int, rows int, blob binary"
-    levels, state = [known], heads.select("*", *[F.lit(None).cast(x.split()[1]).alias(x.split()[0])
-                                                 for x in back.split(", ")[1:]])
+    back = "shard long, part int, rows int, blob binary"
+    heads = heads.select("*", void.cast("int").alias("part"), void.cast("int").alias("rows"), void.cast("binary").alias("blob"))
+    levels, state = [known], heads
     for words in range(2, DEPTH + 1):
         offers = state.repartition(tasks, "shard").groupBy("shard").applyInArrow(
             _offer(indexes, words, parts), "part int, shard long, rows int, blob binary")
         settled = scratch.stage(offers.groupBy("part").applyInArrow(
-            _settle(words, least), f"{back}, id long, prefix long, suffix long, f long"), f"settled-{words}")
+            _settle(least), f"{back}, id long, prefix long, suffix long, f long"), f"settled-{words}")
         before = levels[-1].select("id", "lang", "phrase", "last", "heads", "tails")
         first = before.select(F.col("id").alias("prefix"), "lang", F.col("phrase").alias("begin"), "heads")
         rest = before.select(F.col("id").alias("suffix"), "last", "tails")
@@ -423,8 +442,7 @@ def phrase_counts(spark: SparkSession, docs: DataFrame, least: int = LEAST, shar
                   .groupBy("id").agg(F.max("f").alias("longer")))
         levels[-1] = levels[-1].join(longer, "id", "left")
         levels.append(known)
-        state = state.union(settled.where("shard is not null").select(
-            "shard", F.lit(None).cast("string").alias("file"), "level", "part", "rows", "blob"))
+        state = heads.union(settled.where("shard is not null").select("shard", void.cast("string"), "part", "rows", "blob"))
     levels[-1] = levels[-1].withColumn("longer", F.lit(None).cast("long"))
     columns = ["id", "lang", "words", "phrase", "f", "heads", "tails", "longer"]
     out = levels[0].select(*columns)
