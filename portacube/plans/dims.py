@@ -71,12 +71,13 @@ def dim_tiempo(ext: dict[str, DataFrame], extend_start: str | None = None,
     return TB.calendar(calendar_dates(ext), extend_start, extend_end, default)
 
 
-def dim_gastos(ext: dict[str, DataFrame]) -> DataFrame:
-    """Expenses and penalties in one dimension with a dense id.
+#: order of the expense dimension's ids: expenses before penalties; inside each, the extract order (project or
+#: contract, date) and finally the natural id
+EXPENSE_ORDER = ["__src", "__k1", "__k2", "__k3", "TipoGasto", "Categoria", "Monto"]
 
-    Id order: expenses before penalties; inside each, the extract order
-    (project or contract, date) and finally the natural id.
-    """
+
+def expense_rows(ext: dict[str, DataFrame]) -> DataFrame:
+    """D5 without the id: expenses and penalties in one table (B19, B13, B14), with the columns of EXPENSE_ORDER."""
     g = ext["gastos"].select(
         F.lit(0).alias("__src"), F.col("ID_Proyecto").alias("__k1"), F.col("Fecha").alias("__k2"),
         F.col("ID_Gasto").alias("__k3"),
@@ -88,9 +89,12 @@ def dim_gastos(ext: dict[str, DataFrame]) -> DataFrame:
         F.col("ID_Penalizacion").alias("__k3"),
         F.lit(PENALTY_TYPE).alias("TipoGasto"), F.lit(PENALTY_CATEGORY).alias("Categoria"),
         F.coalesce(F.col("Monto"), F.lit(0).cast("decimal(15,2)")).cast("decimal(15,2)").alias("Monto"))
-    u = g.unionByName(p)
-    ided = TB.dense_id(u, ["__src", "__k1", "__k2", "__k3", "TipoGasto", "Categoria", "Monto"],
-                       name="ID_Finanza")
+    return g.unionByName(p)
+
+
+def dim_gastos(ext: dict[str, DataFrame]) -> DataFrame:
+    """Expenses and penalties in one dimension with a dense id (B5) in EXPENSE_ORDER."""
+    ided = TB.dense_id(expense_rows(ext), EXPENSE_ORDER, name="ID_Finanza")
     return ided.select("ID_Finanza", "TipoGasto", "Categoria", "Monto")
 
 
@@ -113,20 +117,21 @@ def dim_hitos(ext: dict[str, DataFrame], dim_proj: DataFrame, cal_summary: DataF
         X.delay_days("FechaFinReal", "FechaFinPlanificada").alias("RetrasoFinDias"))
 
 
-def dim_tareas(ext: dict[str, DataFrame], dim_hit: DataFrame) -> DataFrame:
-    """Tasks of kept milestones; 1 if start or end deviates from plan."""
+def dim_tareas(ext: dict[str, DataFrame], dim_hit: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Tasks of kept milestones; 1 if start or end deviates from plan (B11); ``keep`` names further columns of the
+    extract."""
     t = TB.fk_filter(ext["tareas"], "ID_Hito", dim_hit, "ID_Hito")
     return t.select(
         F.col("ID_Tarea").cast("string"), F.col("ID_Tarea").cast("string").alias("CodigoTarea"),
         F.col("ID_Hito").cast("string"),
         X.any_changed(("FechaInicioPlanificada", "FechaInicioReal"),
-                      ("FechaFinPlanificada", "FechaFinReal")).alias("SeRetraso"))
+                      ("FechaFinPlanificada", "FechaFinReal")).alias("SeRetraso"), *keep)
 
 
-def dim_pruebas(ext: dict[str, DataFrame], dim_hit: DataFrame) -> DataFrame:
-    """Tests of kept milestones; missing success flag -> 0."""
+def dim_pruebas(ext: dict[str, DataFrame], dim_hit: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Tests of kept milestones; missing success flag -> 0 (B16); ``keep`` names further columns of the extract."""
     t = TB.fk_filter(ext["pruebas"], "ID_Hito", dim_hit, "ID_Hito")
     return t.select(
         F.col("ID_Prueba").cast("string"), F.col("ID_Prueba").cast("string").alias("CodigoPrueba"),
         F.col("ID_Hito").cast("string"), X.trim_default("TipoPrueba", None).alias("TipoPrueba"),
-        X.flag_or_zero("Exitosa").alias("PruebaExitosa"))
+        X.flag_or_zero("Exitosa").alias("PruebaExitosa"), *keep)

@@ -16,14 +16,17 @@ from portacube.operators import tables as TB
 from portacube.schemas import CAPEX, OPEX
 
 
-def hechos_asignaciones(ext: dict[str, DataFrame], dim_proj: DataFrame, cal_summary: DataFrame) -> DataFrame:
-    """assignment fact.
+#: order of the assignment fact's ids: the extract order (project, date), then the natural id
+ASSIGNMENT_ORDER = ["ID_Proyecto", "FechaAsignacion", "ID_Asignacion", "ID_Empleado", "HorasPlanificadas", "HorasReales"]
+
+
+def assignment_rows(ext: dict[str, DataFrame], dim_proj: DataFrame, cal_summary: DataFrame) -> DataFrame:
+    """F1 without the id: the assignment fact with the columns of ASSIGNMENT_ORDER.
 
     FK filter on projects (B1), date key floored at 1 and clipped to the
     calendar size, missing date -> 0 (B7, B8), hours coerced with default 0
     (B13), ValorHoras = real hours x the employee's hourly cost, which the
-    extract carries, with missing cost -> 0 (F1a), RetrasoHoras = real - planned (F1b), dense id in
-    extract order (project, date) (B5).
+    extract carries, with missing cost -> 0 (F1a), RetrasoHoras = real - planned (F1b).
     """
     a = TB.fk_filter(ext["asignaciones"], "ID_Proyecto", dim_proj, "ID_Proyecto")
     a = a.select("ID_Asignacion", "ID_Proyecto", "ID_Empleado", "FechaAsignacion",
@@ -31,7 +34,7 @@ def hechos_asignaciones(ext: dict[str, DataFrame], dim_proj: DataFrame, cal_summ
                  F.coalesce(F.col("HorasReales").try_cast("int"), F.lit(0)).alias("HorasReales"), "CostoPorHora")
     start = cal_summary.select("cal_start").scalar()
     days = cal_summary.select("cal_days").scalar()
-    a = a.select(
+    return a.select(
         F.col("ID_Asignacion"), F.col("FechaAsignacion"),
         F.col("ID_Empleado").cast("long"), F.col("ID_Proyecto").cast("long"),
         X.date_key_clamped("FechaAsignacion", start, null_value=0, upper=days).alias("ID_FechaAsignacion"),
@@ -39,8 +42,11 @@ def hechos_asignaciones(ext: dict[str, DataFrame], dim_proj: DataFrame, cal_summ
         (F.col("HorasReales") * F.coalesce(F.col("CostoPorHora"), F.lit(0))).cast("decimal(15,2)")
         .alias("ValorHoras"),
         (F.col("HorasReales") - F.col("HorasPlanificadas")).cast("int").alias("RetrasoHoras"))
-    ided = TB.dense_id(a, ["ID_Proyecto", "FechaAsignacion", "ID_Asignacion", "ID_Empleado",
-                           "HorasPlanificadas", "HorasReales"], name="ID_HechoAsignacion")
+
+
+def hechos_asignaciones(ext: dict[str, DataFrame], dim_proj: DataFrame, cal_summary: DataFrame) -> DataFrame:
+    """assignment fact with a dense id in ASSIGNMENT_ORDER."""
+    ided = TB.dense_id(assignment_rows(ext, dim_proj, cal_summary), ASSIGNMENT_ORDER, name="ID_HechoAsignacion")
     return ided.select("ID_HechoAsignacion", "ID_Empleado", "ID_Proyecto", "ID_FechaAsignacion",
                        "HorasPlanificadas", "HorasReales", "ValorHoras", "RetrasoHoras")
 
