@@ -12,12 +12,14 @@ from __future__ import annotations
 import importlib.util
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
 
 from portacube.functions import exprs as X  # noqa: E402
 from portacube.operators import tables as TB  # noqa: E402
@@ -27,12 +29,15 @@ from portacube.plans import cubes as P  # noqa: E402
 from portacube.plans import kpis as K  # noqa: E402
 from portacube.plans import quality as Q  # noqa: E402
 from portacube.plans.extract import extract_all  # noqa: E402
+from portacube.plans.incremental import STATE, load  # noqa: E402
 from portacube.plans.pipeline import build_warehouse  # noqa: E402
 from portacube.plans.views import (olap_dataset, vista_asignaciones_completa,  # noqa: E402
                                    vista_hitos_tareas, vista_proyectos_completa)
 from portacube.schemas import WAREHOUSE_SCHEMAS  # noqa: E402
-from portacube.sources.binding import bind_sources  # noqa: E402
+from portacube.session import ensure_checkpoint_dir  # noqa: E402
+from portacube.sources.binding import STAMP, bind_changed_sources, bind_sources  # noqa: E402
 from portacube.sources.sinks import conform  # noqa: E402
+from portacube.sources.versions import Versions, read_published  # noqa: E402
 
 AS_OF = "2024-01-01"
 EXTRACTED_AT = "2024-01-01 00:00:00"
@@ -45,6 +50,7 @@ class _Ctx:
         self.src = bind_sources(spark, sf_dir)
         self.ext = extract_all(self.src, as_of=AS_OF, extracted_at=EXTRACTED_AT)
         self._w = None
+        self.merged: str | None = None
 
     @property
     def w(self) -> dict[str, DataFrame]:
@@ -94,6 +100,33 @@ def _incremental(spark, sf_dir):
     return _stamped(ext["proyectos"])
 
 
+def _merged(spark, sf_dir):
+    """A warehouse loaded from older sources, then incrementally from the given ones; its root, one per context."""
+    ctx = _ctx(spark, sf_dir)
+    if ctx.merged is None:
+        root = f"{ensure_checkpoint_dir(spark)}/incremental-{uuid.uuid4().hex}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+        then, now = bind_changed_sources(spark, sf_dir)
+        changed = dict.fromkeys(now, STAMP)
+        for src, at in ((then, EXTRACTED_AT), (now, "2024-03-01 00:00:00")):
+            load(spark, src, root, changed, f"{root}/control", as_of=AS_OF, extracted_at=at, extend_calendar=False)
+        ctx.merged = root
+    return ctx.merged
+
+
+def _incremental_merge(table: str, *ids: str):
+    """A table after the incremental load; without the ids, which a full load would number anew."""
+    return lambda spark, sf_dir: read_published(spark, _merged(spark, sf_dir))[table].drop(*ids)
+
+
+def _stable_ids(spark, sf_dir):
+    """Natural keys and ids after the incremental load: those of the first load, and above them the new ones."""
+    versions = Versions(spark, _merged(spark, sf_dir))
+    keys = versions.read(versions.record(), "_keys", T.StructType.fromDDL(STATE["_keys"]))
+    return keys.select("table", "natural_key", "occurrence", "id")
+
+
 def _table_profile(spark, sf_dir):
     w = _ctx(spark, sf_dir).w
     return Q.table_profile({t: w[t] for t in WAREHOUSE_SCHEMAS})
@@ -354,6 +387,10 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "extract_expenses": _q_extract("gastos"),
         "extract_penalties": _q_extract("penalizaciones"),
         "incremental_filter": _incremental,
+        "incremental_merge": _incremental_merge("hechos_proyectos", "ID_Hecho"),
+        "incremental_tasks": _incremental_merge("dim_tareas"),
+        "incremental_assignments": _incremental_merge("hechos_asignaciones", "ID_HechoAsignacion"),
+        "stable_ids": _stable_ids,
         "table_profile": _table_profile,
         "profile_headlines": _profile_headlines,
         "fk_filter": _fk_filter,

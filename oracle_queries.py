@@ -243,6 +243,27 @@ ORACLE: dict[str, str] = {
     "extract_errors": q("SELECT * FROM x_errores"),
     "extract_expenses": q("SELECT * FROM x_gastos"),
     "extract_penalties": q("SELECT * FROM x_penalizaciones"),
+    # an incremental load equals a full one of the same sources
+    "incremental_merge": q("SELECT * EXCLUDE (ID_Hecho) FROM hechos_proyectos"),
+    "incremental_tasks": q("SELECT * FROM dim_tareas"),
+    "incremental_assignments": q("SELECT * EXCLUDE (ID_HechoAsignacion) FROM hechos_asignaciones"),
+    # keys of the first load in their order, then those that are new since
+    "stable_ids": _with("""
+ids_rows AS (
+  SELECT 'dim_gastos' AS "table", (CASE WHEN src = 0 THEN 'g:' ELSE 'p:' END) || COALESCE(k3, '?') AS natural_key,
+         k1 % 227 <> 3 AND NOT (src = 0 AND k1 % 229 = 4) AND NOT (src = 1 AND k1 % 223 = 2) AS was,
+         row_number() OVER (ORDER BY src, k1, k2, k3, TipoGasto, Categoria, Monto) AS place
+  FROM dg_u
+  UNION ALL
+  SELECT 'hechos_asignaciones', ID_Asignacion, ID_Proyecto % 227 <> 3,
+         row_number() OVER (ORDER BY ID_Proyecto, FechaAsignacion, ID_Asignacion, ID_Empleado, HorasPlanificadas, HorasReales)
+  FROM ha_base
+  UNION ALL
+  SELECT 'hechos_proyectos', CAST(ID_Proyecto AS VARCHAR), ID_Proyecto % 227 <> 3, row_number() OVER (ORDER BY ID_Proyecto)
+  FROM hp_m)""", """SELECT "table", natural_key,
+       row_number() OVER (PARTITION BY "table", natural_key ORDER BY place) - 1 AS occurrence,
+       row_number() OVER (PARTITION BY "table" ORDER BY NOT was, place) AS id
+FROM ids_rows"""),
     "incremental_filter": q("SELECT * FROM x_proyectos WHERE FechaInicio > DATE '1998-01-01'"),
     "table_profile": q(" UNION ALL ".join(
         f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows, {n} AS n_cols FROM {t}" for t, n in WH_TABLES.items())),

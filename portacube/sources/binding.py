@@ -151,3 +151,33 @@ def bind_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     # project onto the declared source schemas (names, order, types)
     return {k: v.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SOURCE_SCHEMAS[k].fields])
             for k, v in out.items()}
+
+
+#: column of the last change, as the operational tables carry it
+STAMP = "fecha_modificacion"
+#: when the rows below were changed, and all others were written
+CHANGED_AT, WRITTEN_AT = "2024-02-01 00:00:00", "2023-01-01 00:00:00"
+
+
+def bind_changed_sources(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """The operational tables as they were, and as they are (``bind_sources``), with the time of each row's last change.
+
+    By the number of their order, some tasks have ended since, some penalties
+    and expenses are new, some projects have closed; some employees cost less.
+    """
+    now = bind_sources(spark, sf_dir)
+
+    def order(c: str):
+        return F.split(c, "-")[0].cast("long")
+    hit = {"tareas": order("ID_Tarea") % 211 == 1, "penalizaciones_contrato": F.col("ID_Contrato") % 223 == 2,
+           "proyectos": F.col("ID_Proyecto") % 227 == 3, "gastos": F.col("ID_Proyecto") % 229 == 4,
+           "empleados": F.col("ID_Empleado") % 97 == 5}
+    then = {**now, "tareas": now["tareas"].withColumn("FechaFinReal", F.when(~hit["tareas"], F.col("FechaFinReal"))),
+            "penalizaciones_contrato": now["penalizaciones_contrato"].where(~hit["penalizaciones_contrato"]),
+            "proyectos": now["proyectos"].withColumn("Estado", F.when(hit["proyectos"], "En Curso").otherwise(F.col("Estado"))),
+            "gastos": now["gastos"].where(~hit["gastos"]),
+            "empleados": now["empleados"].withColumn("CostoPorHora", (F.col("CostoPorHora") + F.when(
+                hit["empleados"], 5).otherwise(0)).cast("decimal(10,2)"))}
+    stamp = {n: F.when(hit[n], F.lit(CHANGED_AT)).otherwise(F.lit(WRITTEN_AT)) if n in hit else F.lit(WRITTEN_AT) for n in now}
+    return ({n: df.withColumn(STAMP, F.lit(WRITTEN_AT).cast("timestamp")) for n, df in then.items()},
+            {n: df.withColumn(STAMP, stamp[n].cast("timestamp")) for n, df in now.items()})
