@@ -25,6 +25,7 @@ from portacube.functions import exprs as X  # noqa: E402
 from portacube.operators import tables as TB  # noqa: E402
 from portacube.operators.crosstab import crosstab  # noqa: E402
 from portacube.operators.cube import kpi_cube, project_cube  # noqa: E402
+from portacube.operators.cuboids import SKETCH_ERROR  # noqa: E402
 from portacube.plans import cubes as P  # noqa: E402
 from portacube.plans import kpis as K  # noqa: E402
 from portacube.plans import quality as Q  # noqa: E402
@@ -51,6 +52,7 @@ class _Ctx:
         self.ext = extract_all(self.src, as_of=AS_OF, extracted_at=EXTRACTED_AT)
         self._w = None
         self.merged: str | None = None
+        self.sessions = None
 
     @property
     def w(self) -> dict[str, DataFrame]:
@@ -296,6 +298,41 @@ def _cube(op: str):
     return run
 
 
+def _session(op: str):
+    """Operations of a cube session: two stored cuboids, opened once per context."""
+    def run(spark, sf_dir):
+        ctx = _ctx(spark, sf_dir)
+        if ctx.sessions is None:
+            ctx.sessions = P.open_cubes(ctx.olap(), f"{ensure_checkpoint_dir(spark)}/cuboids-{uuid.uuid4().hex}")
+        c = ctx.sessions["cubo_kpis"]
+        if op == "slice":
+            return c.slice("Estado", "Cerrado")
+        if op == "dice":
+            return c.dice({"Estado": "Cerrado", "CategoriaPresupuesto": ["Grande", "Mega"]})
+        if op == "rollup":
+            return c.roll_up("PeriodoInicio", ["PeriodoInicio", "AnioInicio", "TOTAL"])
+        if op == "drilldown":
+            return c.drill_down("Estado", "Cerrado", "MesInicio")
+        if op == "pivot":
+            return c.pivot(["Estado"], ["CategoriaPresupuesto"], "Presupuesto", "mean")
+        if op == "info":
+            return c.info()
+        if op == "shape":
+            return c.shape()
+        if op == "projects":
+            return ctx.sessions["cubo_proyectos"].base()
+        if op == "sizes":
+            return P.cube_sizes(ctx.sessions)
+        if op == "distinct":
+            exact = c.distinct("CodigoClienteReal", ["Estado", "AnioInicio"], approximate=False)
+            rough = c.distinct("CodigoClienteReal", ["Estado", "AnioInicio"]).withColumnRenamed("distintos", "estimado")
+            return exact.join(rough, ["Estado", "AnioInicio"]).select(
+                "Estado", "AnioInicio", "distintos",
+                (F.abs(F.col("estimado") - F.col("distintos")) <= F.col("distintos") * SKETCH_ERROR).alias("en_margen"))
+        raise ValueError(op)
+    return run
+
+
 def kpi_cube_single(c):
     from portacube.operators.cube import Cube
     return Cube(c.data, ["Estado"], ["Presupuesto", "ProductividadPromedio"])
@@ -435,6 +472,16 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cube_pivot_dense": _cube("pivot_dense"),
         "cube_slice_empty": _cube("slice_empty"),
         "project_cube_base": _cube("project_base"),
+        "cube_session_slice": _session("slice"),
+        "cube_session_dice": _session("dice"),
+        "cube_session_rollup": _session("rollup"),
+        "cube_session_drilldown": _session("drilldown"),
+        "cube_session_pivot": _session("pivot"),
+        "cube_session_info": _session("info"),
+        "cube_session_shape": _session("shape"),
+        "cube_session_projects": _session("projects"),
+        "cube_sizes": _session("sizes"),
+        "distinct_sketch": _session("distinct"),
         "crosstab_margins": _crosstab_margins,
         "crosstab_dense": _crosstab_dense,
         "cube_preview": _cube("preview"),

@@ -488,3 +488,13 @@ ORACLE.update({
 for _name in [n for n in ORACLE if n.startswith("extract_") or n == "incremental_filter"]:
     ORACLE[_name] = ORACLE[_name].replace(
         ALL_CTES + "\n", ALL_CTES + "\nSELECT *, '2024-01-01 00:00:00' AS fecha_extraccion FROM (") + ")"
+
+# a session's answers are those from the dataset
+for _name in ("slice", "dice", "rollup", "drilldown", "pivot", "info", "shape"):
+    ORACLE[f"cube_session_{_name}"] = ORACLE[f"cube_{_name}"]
+ORACLE["cube_session_projects"] = ORACLE["project_cube_base"]
+ORACLE["cube_sizes"] = q(" UNION ALL ".join(
+    f"SELECT '{name}' AS cubo, COUNT(*) AS registros, {len(dims) + len(meas)} AS columnas, COUNT(*) > 0 AS activo FROM olap"
+    for name, dims, meas in (("cubo_proyectos", PROJECT_DIMS, PROJECT_MEAS), ("cubo_kpis", KPI_DIMS, KPI_MEAS))))
+ORACLE["distinct_sketch"] = q("SELECT Estado, AnioInicio, COUNT(DISTINCT CodigoClienteReal) AS distintos, TRUE AS en_margen "
+                              "FROM olap WHERE Estado IS NOT NULL AND AnioInicio IS NOT NULL GROUP BY Estado, AnioInicio")

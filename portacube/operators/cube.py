@@ -44,6 +44,13 @@ class Cube:
         self.dimensions = list(dimensions)
         self.measures = list(measures)
 
+    # -- what a group is computed from (see ``cuboids``)
+    def _aggs(self, extra: bool = False) -> list[Column]:
+        return _measure_aggs(self.measures, extra)
+
+    def _carried(self) -> list[str]:
+        return self.measures
+
     # -- helpers ---------------------------------------------------------
     def _check_dim(self, dim: str) -> None:
         if dim not in self.dimensions:
@@ -53,10 +60,10 @@ class Cube:
         dims = list(dims)
         if not dims:
             # no row matched: an empty result, not one row of zeros
-            total = df.agg(F.count(F.lit(1)).alias("__rows"), *_measure_aggs(self.measures, extra=True))
+            total = df.agg(F.count(F.lit(1)).alias("__rows"), *self._aggs(extra=True))
             return total.where("__rows > 0").drop("__rows")
         kept = df.where(_not_null(dims))
-        return kept.groupBy(*dims).agg(*_measure_aggs(self.measures))
+        return kept.groupBy(*dims).agg(*self._aggs())
 
     # -- operations ------------------------------------------------------
     def base(self) -> DataFrame:
@@ -106,8 +113,8 @@ class Cube:
             else:
                 v = F.col(dimension).cast("string")
             levels.append(F.struct(F.lit(f"Nivel_{i + 1}_{level}").alias("nivel"), v.alias("v")))
-        exploded = (self.data.select(*others, *self.measures, F.explode(F.array(*levels)).alias("__l"))
-                    .select(*others, *self.measures, F.col("__l.nivel").alias("nivel"),
+        exploded = (self.data.select(*others, *self._carried(), F.explode(F.array(*levels)).alias("__l"))
+                    .select(*others, *self._carried(), F.col("__l.nivel").alias("nivel"),
                             F.col("__l.v").alias(lvl_col)))
         return self._group(exploded, ["nivel"] + others + [lvl_col])
 
@@ -144,17 +151,28 @@ class Cube:
         """M6: the first ``n`` rows of the base cube in dimension order (a top-n, by design)."""
         return self.base().orderBy(*self.dimensions).limit(n)
 
+    def _counted(self) -> DataFrame:
+        """Rows per combination of the dimensions, missing ones included."""
+        return self.data.groupBy(*self.dimensions).agg(F.count(F.lit(1)).alias("__rows"))
+
     def info(self) -> DataFrame:
-        """One row — record count and distinct values per dimension (missing excluded)."""
-        return self.data.agg(F.count(F.lit(1)).alias("num_registros"),
-                             *[F.count_distinct(d).alias(f"distintos_{d}") for d in self.dimensions])
+        """One row — record count and distinct values per dimension (missing excluded).
+
+        Values are counted over the combinations of the dimensions, so the
+        rows of the data are not multiplied by the distinct counts.
+        """
+        return self._counted().agg(F.coalesce(F.sum("__rows"), F.lit(0)).alias("num_registros"),
+                                   *[F.count_distinct(d).alias(f"distintos_{d}") for d in self.dimensions])
 
     def shape(self) -> DataFrame:
-        """One row — dimension and measure names, and rows and columns of the base cube."""
-        base = self.base()
-        return base.agg(F.count(F.lit(1)).alias("filas")).select(
+        """One row — dimension and measure names, and rows and columns of the base cube.
+
+        Its rows are the combinations without missing values; no measure is computed.
+        """
+        filled = self._counted().where(_not_null(self.dimensions))
+        return filled.agg(F.count(F.lit(1)).alias("filas")).select(
             F.lit(", ".join(self.dimensions)).alias("dimensiones"), F.lit(", ".join(self.measures)).alias("medidas"),
-            "filas", F.lit(len(base.columns)).alias("columnas"))
+            "filas", F.lit(len(self.dimensions) + 3 * len(self.measures)).alias("columnas"))
 
 
 def _not_null(cols: Sequence[str]) -> Column:

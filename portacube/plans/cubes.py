@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from portacube.functions import exprs as X
 from portacube.operators.crosstab import crosstab, default_aggregation, densify
+from portacube.operators.cuboids import CubeSession, open_session
 from portacube.operators.cube import Cube, kpi_cube, project_cube
 from portacube.schemas import (BUDGET_BINS, DEVIATION_LABELS, MARGIN_ALL, MARGIN_AVERAGE, MARGIN_TOTAL,
                                PRODUCTIVITY_BINS, QUALITY_BINS)
@@ -148,6 +149,28 @@ def cube_kpis_category(df: DataFrame, dense: bool = False) -> DataFrame:
     return densify(out, rows, cols, category_domains(rows + cols), measures, fill_value=None) if dense else out
 
 
+#: per cube the columns below its dimensions that its cuboid holds too, and those whose distinct values it sketches
+CUBOID_LEVELS = {"cubo_proyectos": [], "cubo_kpis": ["MesInicio"]}
+CUBOID_DISTINCT = {"cubo_proyectos": [], "cubo_kpis": ["CodigoClienteReal"]}
+
+
 def build_cubes(dataset: DataFrame) -> dict[str, Cube]:
-    """C11: both cubes over one OLAP dataset (persist the dataset for an interactive session)."""
+    """C11: both cubes over one OLAP dataset."""
     return {"cubo_proyectos": project_cube(dataset), "cubo_kpis": kpi_cube(dataset)}
+
+
+def open_cubes(dataset: DataFrame, root: str) -> dict[str, CubeSession]:
+    """C11: both cubes with their cuboids stored below ``root``; operations read these instead of the dataset."""
+    return {name: open_session(dataset.sparkSession, cube, f"{root}/{name}", CUBOID_LEVELS[name], CUBOID_DISTINCT[name])
+            for name, cube in build_cubes(dataset).items()}
+
+
+def cube_sizes(sessions: Mapping[str, CubeSession]) -> DataFrame:
+    """Per cube its records, its columns (dimensions and measures) and whether it has any records."""
+    out = None
+    for name, s in sessions.items():
+        one = s.info().select(F.lit(name).alias("cubo"), F.col("num_registros").alias("registros"),
+                              F.lit(len(s.dimensions) + len(s.measures)).alias("columnas"),
+                              (F.col("num_registros") > 0).alias("activo"))
+        out = one if out is None else out.union(one)
+    return out
