@@ -37,6 +37,7 @@ from portacube.plans.views import (olap_dataset, vista_asignaciones_completa,  #
 from portacube.schemas import WAREHOUSE_SCHEMAS  # noqa: E402
 from portacube.session import ensure_checkpoint_dir  # noqa: E402
 from portacube.sources.binding import STAMP, bind_changed_sources, bind_sources  # noqa: E402
+from portacube.sources.checked import load_all, read_rejected  # noqa: E402
 from portacube.sources.sinks import conform  # noqa: E402
 from portacube.sources.versions import Versions, read_published  # noqa: E402
 
@@ -53,6 +54,7 @@ class _Ctx:
         self._w = None
         self.merged: str | None = None
         self.sessions = None
+        self.checked: str | None = None
 
     @property
     def w(self) -> dict[str, DataFrame]:
@@ -129,6 +131,44 @@ def _stable_ids(spark, sf_dir):
     return keys.select("table", "natural_key", "occurrence", "id")
 
 
+def _planted(w: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The warehouse tables with broken constraints: repeated clients, milestones and assignments of no project, tasks
+    without code."""
+    clients, code = w["dim_clientes"], F.col("CodigoTarea")
+    return {**{t: w[t] for t in WAREHOUSE_SCHEMAS},
+            "dim_clientes": clients.union(clients.where("ID_Cliente % 53 = 1")),
+            "dim_hitos": w["dim_hitos"].withColumn("ID_proyectos", F.expr("if(ID_proyectos % 307 = 1, -1, ID_proyectos)")),
+            "dim_tareas": w["dim_tareas"].withColumn("CodigoTarea", F.when(~code.endswith("77"), code)),
+            "hechos_asignaciones": w["hechos_asignaciones"].withColumn(
+                "ID_Proyecto", F.expr("if(ID_Empleado % 41 = 2, -ID_Proyecto, ID_Proyecto)"))}
+
+
+def _checked(spark, sf_dir):
+    """A load of tables with broken constraints; its root, and what it returned."""
+    ctx = _ctx(spark, sf_dir)
+    if ctx.checked is None:
+        root = f"{ensure_checkpoint_dir(spark)}/checked-{uuid.uuid4().hex}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+        ctx.checked = root, load_all(spark, _planted(ctx.w), root, max_rejected=0.2)
+    return ctx.checked
+
+
+def _quarantine(spark, sf_dir):
+    rejected = read_rejected(spark, _checked(spark, sf_dir)[0])
+    return (rejected.select("table", F.explode("reasons").alias("reason")).groupBy("table", "reason")
+            .agg(F.count(F.lit(1)).alias("rows")))
+
+
+def _checked_audit(spark, sf_dir):
+    """Orphans, repeated keys and missing values left in the loaded tables."""
+    w = read_published(spark, _checked(spark, sf_dir)[0])
+    return (Q.fk_audit(w).where("parent not in ('dim_tiempo', 'dim_gastos')").agg(F.sum("orphans").alias("n"))
+            .select(F.lit("orphans").alias("fault"), "n")
+            .union(Q.pk_audit(w).select(F.lit("duplicates"), F.sum("extra_rows")))
+            .union(Q.null_audit(w).select(F.lit("nulls"), F.sum("nulls"))))
+
+
 def _table_profile(spark, sf_dir):
     w = _ctx(spark, sf_dir).w
     return Q.table_profile({t: w[t] for t in WAREHOUSE_SCHEMAS})
@@ -428,6 +468,9 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "incremental_tasks": _incremental_merge("dim_tareas"),
         "incremental_assignments": _incremental_merge("hechos_asignaciones", "ID_HechoAsignacion"),
         "stable_ids": _stable_ids,
+        "checked_load": lambda spark, sf_dir: _checked(spark, sf_dir)[1],
+        "checked_quarantine": _quarantine,
+        "checked_audit": _checked_audit,
         "table_profile": _table_profile,
         "profile_headlines": _profile_headlines,
         "fk_filter": _fk_filter,

@@ -498,3 +498,30 @@ ORACLE["cube_sizes"] = q(" UNION ALL ".join(
     for name, dims, meas in (("cubo_proyectos", PROJECT_DIMS, PROJECT_MEAS), ("cubo_kpis", KPI_DIMS, KPI_MEAS))))
 ORACLE["distinct_sketch"] = q("SELECT Estado, AnioInicio, COUNT(DISTINCT CodigoClienteReal) AS distintos, TRUE AS en_margen "
                               "FROM olap WHERE Estado IS NOT NULL AND AnioInicio IS NOT NULL GROUP BY Estado, AnioInicio")
+
+# constraints at load time: what is planted, and what falls with it
+_CHECKED = """
+c_cl AS (SELECT COUNT(*) AS n FROM dim_clientes WHERE ID_Cliente % 53 = 1),
+c_hit AS (SELECT *, ID_proyectos % 307 = 1 AS bad FROM dim_hitos),
+c_tar AS (SELECT t.*, h.bad AS orphan, ends_with(CodigoTarea, '77') AS nameless FROM dim_tareas t JOIN c_hit h USING (ID_Hito)),
+c_pru AS (SELECT p.*, h.bad AS orphan FROM dim_pruebas p JOIN c_hit h USING (ID_Hito)),
+c_asg AS (SELECT *, ID_Empleado % 41 = 2 AS bad FROM hechos_asignaciones),
+c_all AS (
+  SELECT 'dim_clientes' AS "table", 'duplicate ID_Cliente' AS reason, n AS "rows" FROM c_cl
+  UNION ALL SELECT 'dim_hitos', 'orphan ID_proyectos -> dim_proyectos', COUNT(*) FROM c_hit WHERE bad
+  UNION ALL SELECT 'dim_tareas', 'null CodigoTarea', COUNT(*) FROM c_tar WHERE nameless
+  UNION ALL SELECT 'dim_tareas', 'orphan ID_Hito -> dim_hitos', COUNT(*) FROM c_tar WHERE orphan
+  UNION ALL SELECT 'dim_pruebas', 'orphan ID_Hito -> dim_hitos', COUNT(*) FROM c_pru WHERE orphan
+  UNION ALL SELECT 'hechos_asignaciones', 'orphan ID_Proyecto -> dim_proyectos', COUNT(*) FROM c_asg WHERE bad),
+c_rej AS (
+  SELECT "table", "rows" AS n FROM c_all WHERE "table" <> 'dim_tareas'
+  UNION ALL SELECT 'dim_tareas', COUNT(*) FROM c_tar WHERE nameless OR orphan),
+c_tot AS (""" + " UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", COUNT(*){' + (SELECT n FROM c_cl)' if t == 'dim_clientes' else ''} AS n FROM {t}" for t in (
+        "dim_clientes", "dim_empleados", "dim_proyectos", "dim_tiempo", "dim_gastos", "dim_hitos", "dim_tareas",
+        "dim_pruebas", "hechos_asignaciones", "hechos_proyectos")) + ")"
+ORACLE["checked_load"] = _with(_CHECKED, """
+SELECT "table", CAST(c_tot.n - COALESCE(c_rej.n, 0) AS BIGINT) AS rows_loaded, CAST(COALESCE(c_rej.n, 0) AS BIGINT) AS rows_rejected
+FROM c_tot LEFT JOIN c_rej USING ("table")""")
+ORACLE["checked_quarantine"] = _with(_CHECKED, 'SELECT * FROM c_all WHERE "rows" > 0')
+ORACLE["checked_audit"] = "SELECT unnest(['orphans', 'duplicates', 'nulls']) AS fault, 0::BIGINT AS n"
