@@ -18,6 +18,8 @@ from portacube.llm.workers import ship_code
 MIN_BYTES = 0  # payloads from this size on are stored once
 FIRST_CAPTURE = 1_700_000_000  # seconds; a page without a capture time gets this plus its id
 RUN_ROWS = 100_000  # index rows sorted together before they form a run
+BLOCK_ROWS = 1024  # rows of a run held at once while runs are merged
+MERGED_ROWS = 10_000  # merged rows passed on at once
 LEVEL = 4
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
@@ -145,22 +147,27 @@ def _rows(rows):
                                       ["file", "offset", "page_id", "type", "refers", "bytes", "digest"])
 
 
-def merge_runs(runs: list[list]):
-    """(run, place) of all entries of sorted runs in order, by a loser tree; ties by run."""
-    k, heads = len(runs), [0] * len(runs)
+def merge_runs(runs: list):
+    """(run, place) of all entries of sorted runs in order, by a loser tree; ties by run.
+
+    A run is anything that yields its keys in order; only its next key is held.
+    """
+    k, feeds, places = len(runs), [iter(r) for r in runs], [0] * len(runs)
+    heads = [next(f, None) for f in feeds]
 
     def beats(a, b):
-        if heads[b] >= len(runs[b]):
-            return heads[a] < len(runs[a]) or a < b
-        return heads[a] < len(runs[a]) and (runs[a][heads[a]], a) < (runs[b][heads[b]], b)
+        if heads[b] is None:
+            return heads[a] is not None or a < b
+        return heads[a] is not None and (heads[a], a) < (heads[b], b)
     won, lost = [0] * k + list(range(k)), [0] * max(k, 1)
     for node in range(k - 1, 0, -1):
         a, b = won[2 * node], won[2 * node + 1]
         won[node], lost[node] = (a, b) if beats(a, b) else (b, a)
     top = won[1] if k > 1 else 0
-    while k and heads[top] < len(runs[top]):
-        yield top, heads[top]
-        heads[top] += 1
+    while k and heads[top] is not None:
+        yield top, places[top]
+        places[top] += 1
+        heads[top] = next(feeds[top], None)
         node = (k + top) // 2
         while node:
             if beats(lost[node], top):
@@ -168,19 +175,92 @@ def merge_runs(runs: list[list]):
             node //= 2
 
 
-def _merge(batches):
-    """Merge the sorted runs of one key range; adds the place in the range."""
-    got = [b for b in batches if b.num_rows]
-    if not got:
-        return
-    table = pa.Table.from_batches(got).combine_chunks().sort_by([("run", "ascending"), ("seq", "ascending")])
-    keys = list(zip(table.column("urlkey").to_pylist(), table.column("ts").to_pylist(),
-                    [(x is not None, x or 0) for x in table.column("page_id").to_pylist()]))
-    names = table.column("run").to_pylist()
-    cuts = [0, *[i for i in range(1, len(names)) if names[i] != names[i - 1]], len(names)]
-    order = [cuts[r] + i for r, i in merge_runs([keys[a:b] for a, b in zip(cuts, cuts[1:])])]
-    table = table.take(pa.array(order)).append_column("place", pa.array(range(len(order)), pa.int64()))
-    yield from table.combine_chunks().to_batches()
+class _Run:
+    """A stored run, read block by block; yields its keys."""
+
+    def __init__(self):
+        self.blocks: list[tuple[int, int]] = []  # place in the file, bytes
+        self.file = self.batch = None
+        self.first = 0  # place of the batch's first row
+
+    def __iter__(self):
+        for i, (at, size) in enumerate(self.blocks):
+            self.file.seek(at)
+            self.batch, self.first = pa.ipc.open_stream(self.file.read(size)).read_next_batch(), i * BLOCK_ROWS
+            urlkey, ts, page = (self.batch.column(c).to_pylist() for c in ("urlkey", "ts", "page_id"))
+            yield from zip(urlkey, ts, [(x is not None, x or 0) for x in page])
+
+
+def _store_runs(batches, file) -> list[_Run]:
+    """Write the rows, which come run by run, in blocks of BLOCK_ROWS rows."""
+    runs, name, held, rows = [], None, [], 0
+
+    def flush():
+        table = pa.Table.from_batches(held).combine_chunks()
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, table.schema) as out:
+            out.write_table(table)
+        data = sink.getvalue()
+        runs[-1].blocks.append((file.write(data), data.size))
+    for batch in batches:
+        names = batch.column("run").to_pylist()
+        at = 0
+        while at < len(names):
+            if names[at] != name:
+                if held:
+                    flush()
+                name, held, rows = names[at], [], 0
+                runs.append(_Run())
+            to = at
+            while to < len(names) and names[to] == name and rows + to - at < BLOCK_ROWS:
+                to += 1
+            held.append(batch.slice(at, to - at))
+            rows, at = rows + to - at, to
+            if rows == BLOCK_ROWS:
+                flush()
+                held, rows = [], 0
+    if held:
+        flush()
+    return runs
+
+
+def _merge(folder: str):
+    """Merge the sorted runs of one key range, which come run by run; adds the place in the range.
+
+    The parts of the runs are stored in the shared folder and read back side
+    by side, one block of each at a time.
+    """
+    def run(batches):
+        file = remote.NewFile(folder, ".runs")
+        runs = _store_runs(batches, file)
+        file.close()
+        with remote.open_file(folder, file.name) as stored:
+            for r in runs:
+                r.file = stored
+            out, place = [], 0
+            for i, at in merge_runs(runs):
+                out.append((runs[i].batch, at - runs[i].first))
+                if len(out) == MERGED_ROWS:
+                    yield _merged(out, place)
+                    out, place = [], place + len(out)
+            if out:
+                yield _merged(out, place)
+    return run
+
+
+def _merged(rows: list, place: int) -> pa.RecordBatch:
+    number: dict[int, int] = {}
+    batches, bases, total, at = [], [], 0, []
+    for batch, i in rows:
+        if id(batch) not in number:
+            number[id(batch)] = len(batches)
+            batches.append(batch)
+            bases.append(total)
+            total += batch.num_rows
+        at.append(bases[number[id(batch)]] + i)
+    table = pa.Table.from_batches(batches).take(pa.array(at, pa.int64())).append_column(
+        "place", pa.array(range(place, place + len(rows)), pa.int64()))
+    return table.combine_chunks().to_batches()[0]
 
 
 def write_archives(spark: SparkSession, pages: DataFrame, folder: str, scratch: Scratch,
@@ -210,11 +290,12 @@ def merge_index(spark: SparkSession, runs: DataFrame, scratch: Scratch) -> DataF
 
     The key space is cut into ranges of about equal rows (a url with many
     captures is cut by time), and each range merges the parts of all runs
-    that fall into it.
+    that fall into it, as streams: a task holds a block of every run.
     """
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranges = runs.repartitionByRange(parts, "urlkey", "ts", "page_id", "run", "seq")
-    merged = scratch.stage(ranges.mapInArrow(_merge, INDEX + ", place long")
+    ranges = (runs.repartitionByRange(parts, "urlkey", "ts", "page_id", "run", "seq")
+              .sortWithinPartitions("run", "seq"))
+    merged = scratch.stage(ranges.mapInArrow(_merge(scratch.folder("parts")), INDEX + ", place long")
                            .withColumn("range", F.spark_partition_id()), "merged")
     before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     # one row per range
@@ -243,27 +324,44 @@ def read_archives(spark: SparkSession, runs: DataFrame, folder: str, scratch: Sc
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All ``pages`` written to WARC files, indexed, merged and read back."""
+    """All ``pages`` written to WARC files, indexed, merged and read back, with their place in the merged index and
+    the captures of their url key."""
     ship_code(spark)
     scratch = Scratch(spark, "warc")
     folder = scratch.folder("archives")
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     runs = write_archives(spark, pages, folder, scratch)
     merged = merge_index(spark, runs, scratch)
+    # staged, so that the join deals both sides and can split a url with very many captures
+    past = scratch.stage(histories(merged).select(F.col("urlkey").alias("k"), "captures", "first_ts", "last_ts"), "past")
+    merged = merged.join(past, F.col("urlkey") == F.col("k"))
     read = read_archives(spark, runs, folder, scratch).withColumnsRenamed({"file": "f", "offset": "o", "page_id": "p"})
     return merged.join(read, (F.col("file") == F.col("f")) & (F.col("offset") == F.col("o"))).select(
         "page_id", F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"),
-        F.col("type").alias("record_type"), F.col("refers").alias("refers_to"))
-
-
-WARC_SQL = """
-WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
-     q AS (SELECT page_id, strlen(html) AS n, sha1(html) AS h, MIN(page_id) OVER (PARTITION BY html) AS f FROM p)
+        F.col("type").alias("record_type"), F.col("refers").alias("refers_to"), "urlkey", "ts", "position",
+        "captures", "first_ts", "last_ts")
+
+
+WARC_SQL = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html,
+         lower(regexp_replace(regexp_extract(coalesce(url, ''), '(?s)^(?:.*?://)?([^#]*)', 1), '^www[0-9]*\.', '')) AS rest,
+         strftime(make_timestamp((1700000000 + ((coalesce(page_id, 0) % 1000000000) + 1000000000) % 1000000000) * 1000000),
+                  '%Y-%m-%dT%H:%M:%SZ') AS ts
+  FROM pages),
+k AS (
+  SELECT *, array_to_string(list_reverse(string_split(regexp_extract(rest, '^[^/?]*'), '.')), ',') || ')'
+            || substr(rest, len(regexp_extract(rest, '^[^/?]*')) + 1) AS urlkey
+  FROM p),
+q AS (SELECT *, strlen(html) AS n, sha1(html) AS h, MIN(page_id) OVER (PARTITION BY html) AS f FROM k)
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
        array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
          1 + (((('0x' || substr(h, CAST(1 + 5 * (i // 4) AS INT), 5))::BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31)::INT, 1)), '')
          AS payload_digest,
        CASE WHEN page_id = f THEN 'response' ELSE 'revisit' END AS record_type,
-       CASE WHEN page_id <> f THEN f END AS refers_to
+       CASE WHEN page_id <> f THEN f END AS refers_to, urlkey, ts,
+       row_number() OVER (ORDER BY urlkey, ts, page_id) - 1 AS position,
+       COUNT(*) OVER (PARTITION BY urlkey) AS captures, MIN(ts) OVER (PARTITION BY urlkey) AS first_ts,
+       MAX(ts) OVER (PARTITION BY urlkey) AS last_ts
 FROM q
 """

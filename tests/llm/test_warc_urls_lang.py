@@ -64,6 +64,27 @@ def test_merge_of_runs_and_index_order(spark):
     assert len(per) == 15 and sum(per.values()) == 400
 
 
+def test_merge_reads_runs_block_by_block(tmp_path, monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(warc, "BLOCK_ROWS", 3)
+    monkeypatch.setattr(warc, "MERGED_ROWS", 5)
+    rng = random.Random(2)
+    rows = []
+    for r in range(6):
+        own = [(rng.choice("abc"), f"t{rng.randrange(4)}", rng.choice([None, 1, 2, 3])) for _ in range(rng.randrange(1, 20))]
+        own.sort(key=lambda x: (x[0], x[1], x[2] is not None, x[2] or 0))
+        rows += [(*k, f"run{r}", i, "f", i, 1) for i, k in enumerate(own)]
+    names = ["urlkey", "ts", "page_id", "run", "seq", "file", "offset", "length"]
+    kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
+    table = pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+    out = list(warc._merge(f"file://{tmp_path}")(table.to_batches(max_chunksize=4)))
+    got = pa.Table.from_batches(out)
+    assert got.column("place").to_pylist() == list(range(len(rows))) and max(b.num_rows for b in out) <= 5
+    key = [(x["urlkey"], x["ts"], x["page_id"] is not None, x["page_id"] or 0, x["run"], x["seq"]) for x in got.to_pylist()]
+    assert key == sorted(key) and len(set(key)) == len(rows)
+    assert list(warc._merge(f"file://{tmp_path}")([])) == []
+
+
 # ------------------------------------------------------------------ urls
 def judged(url):
     """Host, path, rule and verdict by the rules alone."""
