@@ -31,15 +31,17 @@ from portacube.plans import kpis as K  # noqa: E402
 from portacube.plans import quality as Q  # noqa: E402
 from portacube.plans.extract import extract_all  # noqa: E402
 from portacube.plans.incremental import STATE, load  # noqa: E402
-from portacube.plans.pipeline import build_warehouse  # noqa: E402
+from portacube.plans.pipeline import build_and_load, build_warehouse  # noqa: E402
 from portacube.plans.views import (olap_dataset, vista_asignaciones_completa,  # noqa: E402
                                    vista_hitos_tareas, vista_proyectos_completa)
 from portacube.schemas import WAREHOUSE_SCHEMAS  # noqa: E402
 from portacube.session import ensure_checkpoint_dir  # noqa: E402
 from portacube.sources.binding import STAMP, bind_changed_sources, bind_sources  # noqa: E402
 from portacube.sources.checked import load_all, read_rejected  # noqa: E402
-from portacube.sources.sinks import conform  # noqa: E402
+from portacube.sources.readers import read_sources, read_warehouse  # noqa: E402
+from portacube.sources.sinks import conform, create_tables, write_table  # noqa: E402
 from portacube.sources.versions import Versions, read_published  # noqa: E402
+from portacube.streaming import watermark as WM  # noqa: E402
 
 AS_OF = "2024-01-01"
 EXTRACTED_AT = "2024-01-01 00:00:00"
@@ -108,13 +110,12 @@ def _merged(spark, sf_dir):
     """A warehouse loaded from older sources, then incrementally from the given ones; its root, one per context."""
     ctx = _ctx(spark, sf_dir)
     if ctx.merged is None:
-        root = f"{ensure_checkpoint_dir(spark)}/incremental-{uuid.uuid4().hex}"
-        path = spark._jvm.org.apache.hadoop.fs.Path(root)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+        root = _scratch(spark, "incremental")
         then, now = bind_changed_sources(spark, sf_dir)
         changed = dict.fromkeys(now, STAMP)
         for src, at in ((then, EXTRACTED_AT), (now, "2024-03-01 00:00:00")):
-            load(spark, src, root, changed, f"{root}/control", as_of=AS_OF, extracted_at=at, extend_calendar=False)
+            load(spark, src, root, changed, f"{root}/control", as_of=AS_OF, extracted_at=at, extend_calendar=False,
+                 buckets=16)
         ctx.merged = root
     return ctx.merged
 
@@ -131,6 +132,58 @@ def _stable_ids(spark, sf_dir):
     return keys.select("table", "natural_key", "occurrence", "id")
 
 
+def _scratch(spark, tag: str) -> str:
+    """A folder of its own in the shared checkpoint folder, removed with the session."""
+    root = f"{ensure_checkpoint_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return root
+
+
+def _load_counts(spark, sf_dir):
+    """The batch job from stored sources, of which one table is absent: rows it loaded and rows that are stored."""
+    root = _scratch(spark, "batch")
+    for name, df in _ctx(spark, sf_dir).src.items():
+        if name != "penalizaciones_contrato":
+            df.write.parquet(f"{root}/sources/{name}")
+    src = read_sources(spark, f"{root}/sources", optional=["penalizaciones_contrato"])
+    create_tables(spark, f"{root}/warehouse")
+    counts = build_and_load(spark, src, f"{root}/warehouse", as_of=AS_OF, extracted_at=EXTRACTED_AT, extend_calendar=False,
+                            control_path=f"{root}/control")
+    stored = Q.table_profile(read_warehouse(spark, f"{root}/warehouse"))
+    return counts.join(stored.withColumnsRenamed({"table_name": "table", "n_rows": "rows_stored"}), "table").select(
+        "table", "rows_loaded", "rows_stored", F.lit(WM.last_extraction(spark, f"{root}/control")).alias("watermark"))
+
+
+def _append_load(spark, sf_dir):
+    """Overwrite, append and an empty overwrite, which leaves the table: its rows by client."""
+    root, clients = _scratch(spark, "append"), _ctx(spark, sf_dir).w["dim_clientes"]
+    for df, mode in ((clients, "overwrite"), (clients.where("ID_Cliente % 2 = 0"), "append"), (clients.limit(0), "overwrite")):
+        write_table(df, f"{root}/dim_clientes", mode, "dim_clientes")
+    stored = spark.read.schema(WAREHOUSE_SCHEMAS["dim_clientes"]).parquet(f"{root}/dim_clientes")
+    return stored.groupBy("ID_Cliente").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _watermark_moves(spark, sf_dir):
+    """A watermark that follows the months of the assignments and is set back once: its last ten moves."""
+    path, a = f"{_scratch(spark, 'moves')}/control", _ctx(spark, sf_dir).src["asignaciones"]
+    months = a.select(F.date_format(F.trunc("FechaAsignacion", "month"), "yyyy-MM-dd 00:00:00").alias("m")).distinct()
+    # one row a month of the data's range
+    for r in months.where("m is not null").orderBy("m").collect():
+        WM.advance(spark, path, r["m"])
+    WM.reset(spark, path)
+    return WM.history(spark, path).drop("updated_at")
+
+
+def _ordered_files(spark, sf_dir):
+    """The assignments of the middle project from files that hold ranges of projects, in their order."""
+    root, a = _scratch(spark, "ordered"), _ctx(spark, sf_dir).ext["asignaciones"].drop("fecha_extraccion")
+    write_table(a, root, order_by=["ID_Proyecto", "FechaAsignacion", "ID_Asignacion"])
+    stored = spark.read.schema(a.schema).parquet(root)
+    middle = stored.agg(F.expr("percentile_disc(0.5) within group (order by ID_Proyecto)")).first()[0]
+    return stored.where(F.col("ID_Proyecto") == F.lit(middle))
+
+
 def _planted(w: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The warehouse tables with broken constraints: repeated clients, milestones and assignments of no project, tasks
     without code."""
@@ -147,9 +200,7 @@ def _checked(spark, sf_dir):
     """A load of tables with broken constraints; its root, and what it returned."""
     ctx = _ctx(spark, sf_dir)
     if ctx.checked is None:
-        root = f"{ensure_checkpoint_dir(spark)}/checked-{uuid.uuid4().hex}"
-        path = spark._jvm.org.apache.hadoop.fs.Path(root)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+        root = _scratch(spark, "checked")
         ctx.checked = root, load_all(spark, _planted(ctx.w), root, max_rejected=0.2)
     return ctx.checked
 
@@ -343,7 +394,7 @@ def _session(op: str):
     def run(spark, sf_dir):
         ctx = _ctx(spark, sf_dir)
         if ctx.sessions is None:
-            ctx.sessions = P.open_cubes(ctx.olap(), f"{ensure_checkpoint_dir(spark)}/cuboids-{uuid.uuid4().hex}")
+            ctx.sessions = P.open_cubes(ctx.olap(), _scratch(spark, "cuboids"))
         c = ctx.sessions["cubo_kpis"]
         if op == "slice":
             return c.slice("Estado", "Cerrado")
@@ -468,6 +519,10 @@ def _own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "incremental_tasks": _incremental_merge("dim_tareas"),
         "incremental_assignments": _incremental_merge("hechos_asignaciones", "ID_HechoAsignacion"),
         "stable_ids": _stable_ids,
+        "load_counts": _load_counts,
+        "append_load": _append_load,
+        "watermark_moves": _watermark_moves,
+        "ordered_files": _ordered_files,
         "checked_load": lambda spark, sf_dir: _checked(spark, sf_dir)[1],
         "checked_quarantine": _quarantine,
         "checked_audit": _checked_audit,

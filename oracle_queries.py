@@ -525,3 +525,19 @@ SELECT "table", CAST(c_tot.n - COALESCE(c_rej.n, 0) AS BIGINT) AS rows_loaded, C
 FROM c_tot LEFT JOIN c_rej USING ("table")""")
 ORACLE["checked_quarantine"] = _with(_CHECKED, 'SELECT * FROM c_all WHERE "rows" > 0')
 ORACLE["checked_audit"] = "SELECT unnest(['orphans', 'duplicates', 'nulls']) AS fault, 0::BIGINT AS n"
+
+# sources, sinks and the watermark
+ORACLE["load_counts"] = q(" UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", COUNT(*) AS rows_loaded, COUNT(*) AS rows_stored, '2024-01-01 00:00:00' AS watermark "
+    f"FROM {'x_gastos' if t == 'dim_gastos' else t}" for t in (
+        "dim_clientes", "dim_empleados", "dim_proyectos", "dim_tiempo", "dim_gastos", "dim_hitos", "dim_tareas",
+        "dim_pruebas", "hechos_asignaciones", "hechos_proyectos")))
+ORACLE["append_load"] = q('SELECT ID_Cliente, CAST(1 + (ID_Cliente % 2 = 0)::INT AS BIGINT) AS "rows" FROM dim_clientes')
+ORACLE["watermark_moves"] = _with("""
+m_months AS (SELECT DISTINCT date_trunc('month', FechaAsignacion) AS m FROM s_asignaciones WHERE FechaAsignacion IS NOT NULL),
+m_moves AS (SELECT strftime(m, '%Y-%m-%d 00:00:00') AS new_date, row_number() OVER (ORDER BY m) AS seq FROM m_months
+            UNION ALL SELECT '1900-01-01 00:00:00', COUNT(*) + 1 FROM m_months)""", """
+SELECT seq, COALESCE(lag(new_date) OVER (ORDER BY seq), '1900-01-01 00:00:00') AS previous_date, new_date
+FROM m_moves QUALIFY seq > MAX(seq) OVER () - 10""")
+ORACLE["ordered_files"] = q("SELECT * FROM x_asignaciones WHERE ID_Proyecto = "
+                            "(SELECT quantile_disc(ID_Proyecto, 0.5) FROM x_asignaciones)")
