@@ -2,8 +2,8 @@
 
 Every stage takes (spark, docs, sf_dir), with docs in the columns of
 ``documents`` (doc_id, text, lang, source, n_chars), and returns a DataFrame;
-it is written as Parquet and read back as the next stage's docs.  All stages
-but the last return the columns of ``documents``.
+it is written as Parquet and read back as the next stage's docs, before that
+stage is called.  All stages but the last return the columns of ``documents``.
 
 Nulls in any column, empty and very long texts, repeated rows, empty tables
 and further columns are handled by every stage; what happens to them is
@@ -22,10 +22,23 @@ from portacube.llm.workers import ship_code
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+#: numbered rows of the stage before, which go when the next one begins: its own rows are written by then
+_numbered_before: list[Scratch] = []
+
+
+def _begin(spark: SparkSession) -> None:
+    while _numbered_before:
+        scratch = _numbered_before.pop()
+        if scratch.spark is spark:
+            scratch.drop("rows")
+
+
 def _numbered(spark: SparkSession, docs: DataFrame, tag: str) -> DataFrame:
     """The rows of ``docs`` stored with a number of their own, by which a stage decides: ids may repeat or be null."""
-    rows = docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id())
-    return Scratch(spark, tag).stage(rows, "rows")
+    scratch = Scratch(spark, tag)
+    rows = scratch.stage(docs.select(*COLUMNS).withColumn("_row", F.monotonically_increasing_id()), "rows")
+    _numbered_before.append(scratch)
+    return rows
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,6 +47,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Empty and white-space texts go.  Every row is judged by itself, whatever
     its doc_id; rows without one have no page and are judged by the rest.
     """
+    _begin(spark)
     rows = _numbered(spark, docs, "language")
     judged = langid.identify_documents(spark, rows.select("_row", "doc_id", "text", "lang", "source"), sf_dir)
     kept = judged.where("kept").select("_row", F.col("language").alias("_language"))
@@ -47,6 +61,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     under one doc_id; of equal rows one stays.  Empty texts are no duplicates
     of each other.
     """
+    _begin(spark)
     rows = _numbered(spark, docs, "near-duplicates")
     judged = minhash.near_duplicates(spark, rows.select("_row", "text"), key="_row")
     first = (judged.select("_row", F.col("component_id").alias("_group")).join(rows.select("_row", "doc_id"), "_row")
@@ -61,6 +76,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     word; those below ``decontam.DROP_CHARS``, common speech, drop nothing.
     Null and empty texts hold none; rows are judged one by one.
     """
+    _begin(spark)
     passages = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontam.decontaminate(spark, docs.select(*COLUMNS), passages)
 
@@ -74,6 +90,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     every source, only the end of the seeded order.  Texts without words have
     nothing to take and go.
     """
+    _begin(spark)
     rows = docs.select(*COLUMNS).withColumn("size", mixing.word_count())
     taken = mixing.mix(spark, rows)
     whole, rest = F.floor(F.col("taken") / F.col("size")), F.col("taken") % F.col("size")
@@ -90,6 +107,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Write the documents as token files in ascending doc_id order and return every document read back:
     doc_id, start, n_tokens, ids_crc32."""
+    _begin(spark)
     return tokenfile.write_and_read(spark, docs)
 
 
