@@ -152,7 +152,7 @@ def _load_counts(spark, sf_dir):
                             control_path=f"{root}/control")
     stored = Q.table_profile(read_warehouse(spark, f"{root}/warehouse"))
     return counts.join(stored.withColumnsRenamed({"table_name": "table", "n_rows": "rows_stored"}), "table").select(
-        "table", "rows_loaded", "rows_stored", F.lit(WM.last_extraction(spark, f"{root}/control")).alias("watermark"))
+        "table", "rows_loaded", "rows_in", "rows_stored", F.lit(WM.last_extraction(spark, f"{root}/control")).alias("watermark"))
 
 
 def _append_load(spark, sf_dir):

@@ -528,10 +528,11 @@ ORACLE["checked_audit"] = "SELECT unnest(['orphans', 'duplicates', 'nulls']) AS
 
 # sources, sinks and the watermark
 ORACLE["load_counts"] = q(" UNION ALL ".join(
-    f"SELECT '{t}' AS \"table\", COUNT(*) AS rows_loaded, COUNT(*) AS rows_stored, '2024-01-01 00:00:00' AS watermark "
-    f"FROM {'x_gastos' if t == 'dim_gastos' else t}" for t in (
-        "dim_clientes", "dim_empleados", "dim_proyectos", "dim_tiempo", "dim_gastos", "dim_hitos", "dim_tareas",
-        "dim_pruebas", "hechos_asignaciones", "hechos_proyectos")))
+    f"SELECT '{t}' AS \"table\", COUNT(*) AS rows_loaded, COUNT(*) AS rows_stored, '2024-01-01 00:00:00' AS watermark, "
+    f"{f'(SELECT COUNT(*) FROM {x})' if x else 'NULL::BIGINT'} AS rows_in FROM {'x_gastos' if t == 'dim_gastos' else t}"
+    for t, x in (("dim_clientes", "x_clientes"), ("dim_empleados", "x_empleados"), ("dim_proyectos", "x_proyectos"),
+                 ("dim_tiempo", None), ("dim_gastos", "x_gastos"), ("dim_hitos", "x_hitos"), ("dim_tareas", "x_tareas"),
+                 ("dim_pruebas", "x_pruebas"), ("hechos_asignaciones", "x_asignaciones"), ("hechos_proyectos", "x_proyectos"))))
 ORACLE["append_load"] = q('SELECT ID_Cliente, CAST(1 + (ID_Cliente % 2 = 0)::INT AS BIGINT) AS "rows" FROM dim_clientes')
 ORACLE["watermark_moves"] = _with("""
 m_months AS (SELECT DISTINCT date_trunc('month', FechaAsignacion) AS m FROM s_asignaciones WHERE FechaAsignacion IS NOT NULL),

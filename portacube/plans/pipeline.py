@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from portacube.operators import tables as TB
 from portacube.plans import dims as D
@@ -98,17 +99,29 @@ def _run_all(fns: list[Callable[[], object]], parallel_jobs: int) -> list:
         return [f.result() for f in [pool.submit(fn) for fn in fns]]
 
 
-def stage_extracts(spark: SparkSession, ext: dict[str, DataFrame], root: str,
-                   parallel_jobs: int = 8) -> dict[str, DataFrame]:
+#: the extracts that feed each table
+FED_BY = {"dim_clientes": ["clientes"], "dim_empleados": ["empleados"], "dim_proyectos": ["proyectos"],
+          "dim_gastos": ["gastos", "penalizaciones"], "dim_hitos": ["hitos"], "dim_tareas": ["tareas"],
+          "dim_pruebas": ["pruebas"], "hechos_asignaciones": ["asignaciones"], "hechos_proyectos": ["proyectos"]}
+
+
+def stage_extracts(spark: SparkSession, ext: dict[str, DataFrame], root: str, parallel_jobs: int = 8,
+                   counts: dict[str, int] | None = None) -> dict[str, DataFrame]:
     """Write every extract once to ``<root>/<name>`` and return the read-back tables.
 
     The staging area cuts the lineage of the source joins: every builder
     reads the materialised extracts instead of recomputing the cascade, and
     a lost executor only re-reads files.  The writes are independent jobs and
-    are submitted concurrently.
+    are submitted concurrently.  ``counts`` receives the rows of each extract,
+    observed by its write.
     """
     def write(name: str, df: DataFrame) -> Callable[[], None]:
-        return lambda: df.write.mode("overwrite").parquet(f"{root}/{name}")
+        def run() -> None:
+            obs = Observation(f"staged:{name}")
+            df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{root}/{name}")
+            if counts is not None:
+                counts[name] = int(obs.get["rows"])
+        return run
 
     _run_all([write(n, df) for n, df in ext.items()], parallel_jobs)
     return {name: spark.read.schema(df.schema).parquet(f"{root}/{name}") for name, df in ext.items()}
@@ -117,7 +130,10 @@ def stage_extracts(spark: SparkSession, ext: dict[str, DataFrame], root: str,
 def build_and_load(spark: SparkSession, src: dict[str, DataFrame], root: str, as_of=None, extracted_at=None,
                    extend_calendar: bool = True, parallel_jobs: int = 8,
                    control_path: str | None = None) -> DataFrame:
-    """The batch job: extract -> stage -> build -> load, returns ``(table, rows_loaded)``.
+    """The batch job: extract -> stage -> build -> load, returns ``(table, rows_loaded, rows_in)``.
+
+    ``rows_in`` are the rows of the extracts that feed a table (B30; NULL for
+    the calendar); both counts are observed by the writes themselves.
 
     Every load is a full load: surrogate keys are numbered over all rows, so
     a part of the rows can never replace the warehouse.  Tables are written
@@ -130,11 +146,12 @@ def build_and_load(spark: SparkSession, src: dict[str, DataFrame], root: str, as
     from portacube.streaming.watermark import advance, utc_now
     started = str(extracted_at) if extracted_at else utc_now()
     ext = extract_all(src, as_of=as_of, extracted_at=started)
-    staged = stage_extracts(spark, ext, f"{root}/_staging", parallel_jobs)
+    extracted: dict[str, int] = {}
+    staged = stage_extracts(spark, ext, f"{root}/_staging", parallel_jobs, extracted)
     previous = spark.conf.get(TB.MATERIALIZE_CONF, None)
     spark.conf.set(TB.MATERIALIZE_CONF, f"{root}/_staging/_materialized")
     try:
-        counts = _load(spark, staged, root, extend_calendar, parallel_jobs)
+        counts = _load(spark, staged, root, extend_calendar, parallel_jobs, extracted)
         if control_path is not None and not staged["proyectos"].isEmpty():
             advance(spark, control_path, started)
         staging = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_staging")
@@ -148,7 +165,7 @@ def build_and_load(spark: SparkSession, src: dict[str, DataFrame], root: str, as
 
 
 def _load(spark: SparkSession, staged: dict[str, DataFrame], root: str, extend_calendar: bool,
-          parallel_jobs: int) -> DataFrame:
+          parallel_jobs: int, extracted: dict[str, int]) -> DataFrame:
     w = build_warehouse(staged, extend_calendar=extend_calendar)
     assert sorted(t for level in LOAD_LEVELS for t in level) == sorted(LOAD_ORDER)
     counts: dict[str, int] = {}
@@ -165,4 +182,5 @@ def _load(spark: SparkSession, staged: dict[str, DataFrame], root: str, extend_c
         counts.update(dict(_run_all([write(n) for n in level], parallel_jobs)))
         for name in level:
             w.materialize(name, spark.read.schema(WAREHOUSE_SCHEMAS[name]).parquet(f"{root}/{name}"))
-    return spark.createDataFrame([(n, counts[n]) for n in LOAD_ORDER], "table string, rows_loaded long")
+    rows = [(n, counts[n], sum(extracted[x] for x in FED_BY[n]) if n in FED_BY else None) for n in LOAD_ORDER]
+    return spark.createDataFrame(rows, "table string, rows_loaded long, rows_in long")
