@@ -45,32 +45,71 @@ def _variable(segment: Column) -> Column:
             .when(segment.rlike(r"^(?=(?:.*[0-9]){3}).{12,}$"), "{id}"))
 
 
+def _fixed(segment: Column) -> Column:
+    """Token of a segment whose siblings do not matter: empty, variable by its shape, or null."""
+    return F.coalesce(F.when(segment == "", ""), _variable(segment))
+
+
+def _skip_runs(live: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """Walk the run of nodes with one child below each prefix in one step.
+
+    All urls below (host, ``_t``) follow the longest of them, or end on its
+    way, up to the first segment in which one differs; where that one alone is
+    left the run ends too.  An only child has no siblings to differ from: its
+    token is its shape's wildcard or ``*``.
+    """
+    key = ["host", "_t"]
+    size = F.size("_s") - F.col("_at")
+    longest = scratch.stage(live.groupBy(*key).agg(
+        F.max_by("_s", F.struct(F.size("_s"), F.col("path"))).alias("_ref"), F.count(F.lit(1)).alias("_urls"))
+        .where("_urls > 1").drop("_urls"), f"{name}-longest")
+    left = F.slice("_s", F.col("_at") + 1, F.size("_s"))
+    same = F.zip_with(left, F.slice("_ref", F.col("_at") + 1, F.size("_ref")), lambda x, y: x.eqNullSafe(y))
+    first = F.array_position(same, False)
+    agree = F.when(first > 0, first - 1).otherwise(size.cast("long"))
+    compared = (live.join(longest, key).where("_s <> _ref")
+                .select(*key, F.when(agree < size, agree).alias("_agree"), size.alias("_size")))
+    runs = scratch.stage(compared.groupBy(*key).agg(F.min("_agree").alias("_agree"), F.max("_size").alias("_most"))
+                         .select(*key, F.least("_agree", "_most").cast("int").alias("_run")).where("_run > 0"), f"{name}-runs")
+    taken = F.least(F.coalesce("_run", F.lit(0)), size)
+    tokens = F.transform(F.slice("_s", F.col("_at") + 1, taken),
+                         lambda x: F.concat(F.lit("/"), F.coalesce(_fixed(x), F.lit("*"))))
+    out = live.join(runs, key, "left").withColumns({
+        "_t": F.concat("_t", F.array_join(tokens, "")), "_at": F.col("_at") + taken}).drop("_run")
+    return scratch.stage(out.withColumn("_done", F.col("_at") == F.size("_s")), name)
+
+
 def templates(spark: SparkSession, urls: DataFrame, scratch: Scratch) -> DataFrame:
     """(host, path, template) of the distinct ``urls`` (host, path, n, labelled, bad).
 
-    The tree of each host is walked level by level.  A segment becomes a
-    wildcard if its shape is variable, or if it is rare among mostly distinct
-    siblings.  The literal siblings left are merged into one ``*`` branch
-    unless the bad rate of a branch differs from that of its siblings (two
-    proportions, SIMILAR_Z).  Levels are grouped counts joined back on
-    (host, prefix, segment); a hot host is a pre-aggregated group.  Paths are
+    The tree of each host is walked from branching to branching.  A segment
+    becomes a wildcard if its shape is variable, or if it is rare among mostly
+    distinct siblings.  The literal siblings left are merged into one ``*``
+    branch unless the bad rate of a branch differs from that of its siblings
+    (two proportions, SIMILAR_Z).  Branchings are grouped counts joined back
+    on (host, prefix, segment); a hot host is a pre-aggregated group.  Runs of
+    nodes with one child are walked in one step, so the number of rounds is
+    that of branchings on the way to a url, not of its segments.  Paths are
     walked to their last segment: a url leaves the walk when it has no segment
     left, or when it is the only one below its prefix, whose other segments
     need no counts.
     """
     segments = F.split(F.regexp_replace("path", "^/", ""), "/", -1)
     rows = urls.withColumn("_s", F.when(F.col("path") == "", F.array().cast("array<string>")).otherwise(segments))
-    rows = rows.withColumn("_t", F.lit("")).withColumn("_done", F.size("_s") == 0)
+    rows = rows.withColumns({"_t": F.lit(""), "_at": F.lit(0)}).withColumn("_done", F.size("_s") == 0)
     rows = scratch.stage(rows, "level-0")
     rows.where("_done").write.parquet(scratch.path("templates"))
     d, live = 0, rows.where("not _done")
     while not live.isEmpty():
-        here = live.withColumn("_x", F.get("_s", F.lit(d)))
+        walked = _skip_runs(live, scratch, f"run-{d}")
+        walked.where("_done").write.mode("append").parquet(scratch.path("templates"))
+        here = walked.where("not _done").withColumn("_x", F.get("_s", F.col("_at")))
         nodes = here.groupBy("host", "_t", "_x").agg(
             F.sum("n").alias("n"), F.sum("labelled").alias("m"), F.sum("bad").alias("b"), F.count(F.lit(1)).alias("urls"))
-        parents = nodes.groupBy("host", "_t").agg(
+        nodes = scratch.stage(nodes, f"nodes-{d}")
+        parents = scratch.stage(nodes.groupBy("host", "_t").agg(
             F.sum("n").alias("pn"), F.sum("m").alias("pm"), F.sum("b").alias("pb"), F.count(F.lit(1)).alias("kids"),
-            (F.sum("urls") == 1).alias("_alone"))
+            (F.sum("urls") == 1).alias("_alone")), f"parents-{d}")
         om, ob = F.col("pm") - F.col("m"), F.col("pb") - F.col("b")
         pooled = F.col("pb") / F.greatest(F.col("pm"), F.lit(1))
         spread = F.sqrt(pooled * (1 - pooled) * (1 / F.col("m") + 1 / om))
@@ -78,20 +117,22 @@ def templates(spark: SparkSession, urls: DataFrame, scratch: Scratch) -> DataFra
         differs = F.coalesce(F.when((F.col("m") > 0) & (om > 0) & (pooled > 0) & (pooled < 1), z > SIMILAR_Z),
                              F.lit(False))
         rare = (F.col("n") < MIN_SUPPORT) & (F.col("kids") * 2 > F.col("pn"))
-        token = F.coalesce(F.when(F.col("_x") == "", ""), _variable(F.col("_x")),
-                           F.when(rare, "{*}"), F.when(differs, F.col("_x")), F.lit("*"))
-        tokens = nodes.join(parents, ["host", "_t"]).select("host", "_t", "_x", token.alias("_token"), "_alone")
+        token = F.coalesce(_fixed(F.col("_x")), F.when(rare, "{*}"), F.when(differs, F.col("_x")), F.lit("*"))
+        # both sides are stored, so that the join deals them itself and can split a hot host
+        tokens = scratch.stage(nodes.join(parents, ["host", "_t"]).select("host", "_t", "_x", token.alias("_token"), "_alone"),
+                               f"tokens-{d}")
         # an only url has no siblings at any level below
-        below = F.transform(F.slice("_s", F.lit(d + 2), F.size("_s")), lambda x: F.concat(F.lit("/"), F.coalesce(
-            F.when(x == "", ""), _variable(x), F.when(F.col("n") == 1, "{*}"), F.lit("*"))))
+        below = F.transform(F.slice("_s", F.col("_at") + 2, F.size("_s")), lambda x: F.concat(F.lit("/"), F.coalesce(
+            _fixed(x), F.when(F.col("n") == 1, "{*}"), F.lit("*"))))
         rows = scratch.stage(here.join(tokens, ["host", "_t", "_x"]).withColumns({
             "_t": F.concat("_t", F.lit("/"), "_token", F.when(F.col("_alone"), F.array_join(below, "")).otherwise("")),
-            "_done": F.col("_alone") | (F.size("_s") == d + 1)}).drop("_x", "_token", "_alone"), f"level-{d + 1}")
+            "_done": F.col("_alone") | (F.size("_s") == F.col("_at") + 1), "_at": F.col("_at") + 1})
+            .drop("_x", "_token", "_alone"), f"level-{d + 1}")
         rows.where("_done").write.mode("append").parquet(scratch.path("templates"))
-        scratch.drop(f"level-{d}")
+        scratch.drop(f"level-{d}", f"run-{d}", f"run-{d}-longest", f"run-{d}-runs", f"nodes-{d}", f"parents-{d}", f"tokens-{d}")
         d, live = d + 1, rows.where("not _done")
     return (spark.read.schema(rows.schema).parquet(scratch.path("templates")).withColumnRenamed("_t", "template")
-            .drop("_s", "_done"))
+            .drop("_s", "_at", "_done"))
 
 
 def judge(spark: SparkSession, pages: DataFrame, key: str = "page_id", url: str = "url", bad: str = "bad",

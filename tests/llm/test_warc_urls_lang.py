@@ -149,6 +149,88 @@ def test_url_templates_of_deep_paths(spark):
     assert got[1003]["template"] == ""
 
 
+def walk(urls):
+    """Templates by a plain walk of the tree, segment by segment; {(host, path): template}."""
+    import math
+    import re
+
+    def shape(x):
+        for rule, name in ((r"[0-9]+", "{n}"), (r"[0-9]+\.[A-Za-z]{1,5}", "{n}." + x.split(".")[-1]),
+                           (r"[0-9]{4}-[0-9]{2}(?:-[0-9]{2})?", "{date}"), (r"(?=.*[0-9])[0-9A-Fa-f-]{8,}", "{hex}"),
+                           (r"(?=(?:.*[0-9]){3}).{12,}", "{id}")):
+            if re.fullmatch(rule, x):
+                return name
+        return "" if x == "" else None
+    done, level = {}, {}
+    for (host, path), counts in urls.items():
+        segments = path[1:].split("/") if path else []
+        level.setdefault((host, ""), []).append((path, segments, counts))
+    while level:
+        below = {}
+        for (host, t), group in level.items():
+            left = [u for u in group if u[1]]
+            done.update({(host, u[0]): t for u in group if not u[1]})
+            if not left:
+                continue
+            kids = {}
+            for u in left:
+                own = kids.setdefault(u[1][0], [0, 0, 0])
+                for i in range(3):
+                    own[i] += u[2][i]
+            pn, pm, pb = (sum(k[i] for k in kids.values()) for i in range(3))
+            for path, segments, counts in left:
+                if len(left) == 1:  # alone: its other segments have no siblings
+                    n = counts[0]
+                    done[host, path] = t + "".join("/" + (shape(x) if shape(x) is not None else "{*}" if n == 1 and (
+                        i or n < urlfilter.MIN_SUPPORT and 2 > n) else "*") for i, x in enumerate(segments))
+                    continue
+                n, m, b = kids[segments[0]]
+                rest, bad = pm - m, pb - b
+                pooled = pb / max(pm, 1)
+                differs = (m > 0 and rest > 0 and 0 < pooled < 1 and abs(b / m - bad / rest)
+                           / math.sqrt(pooled * (1 - pooled) * (1 / m + 1 / rest)) > urlfilter.SIMILAR_Z)
+                token = shape(segments[0])
+                if token is None:
+                    token = ("{*}" if n < urlfilter.MIN_SUPPORT and len(kids) * 2 > pn else segments[0] if differs else "*")
+                below.setdefault((host, f"{t}/{token}"), []).append((path, segments[1:], counts))
+        level = below
+    return done
+
+
+def test_templates_against_a_plain_walk(spark, scratch):
+    rng = random.Random(8)
+    words = ["news", "spam", "a", "b", "", "12", "7.html", "2020-01", "deadbeef12", "x1y2z3longer"]
+    urls = {}
+    for _ in range(700):
+        depth = rng.choice([0, 1, 1, 2, 3, 3, 4, 6, 9])
+        host = rng.choice(["hot.org", "hot.org", "b.org", "c.net"])
+        path = "".join("/" + rng.choice(words if i != 1 else [*words, *(f"t{k}" for k in range(60))]) for i in range(depth))
+        m = rng.randrange(4)
+        urls[host, path] = (m + rng.randrange(1, 4), m, m if "spam" in path else rng.randrange(m + 1) // 3)
+    # pages at every depth of a trap, and a chain that only two urls share
+    for i in range(40):
+        urls["trap.org", "/x" * i + "/y"] = (1 + i % 3, 1, i % 2)
+    for end in ("/p/q", "/p", "/r/s/t"):
+        urls["chain.org", "/k/12/l//m" + end] = (2, 0, 0)
+    rows = [(h, p, *c) for (h, p), c in urls.items()]
+    df = spark.createDataFrame(rows, "host string, path string, n long, labelled long, bad long")
+    got = {(r["host"], r["path"]): r["template"] for r in urlfilter.templates(spark, df, Scratch(spark, "walk")).collect()}
+    expect = walk(urls)
+    assert {k: v for k, v in got.items() if v != expect[k]} == {} and len(got) == len(urls)
+
+
+def test_a_path_of_500_segments_takes_few_rounds(spark, scratch):
+    """Before, every segment of the longest shared path was a round of jobs (four urls of 25 segments: 32 s)."""
+    import time
+    deep = "/s" * 500
+    rows = [("t.org", deep + f"/{x}", 1, 0, 0) for x in ("a", "b")] + [("t.org", "/s" * i, 1, 0, 0) for i in range(0, 500, 50)]
+    df = spark.createDataFrame(rows, "host string, path string, n long, labelled long, bad long")
+    began = time.time()
+    got = {r["path"]: r["template"] for r in urlfilter.templates(spark, df, Scratch(spark, "deep")).collect()}
+    assert time.time() - began < 120
+    assert got[deep + "/a"] == "/*" * 500 + "/{*}" and got["/s" * 250] == "/*" * 250 and got[""] == ""
+
+
 # ------------------------------------------------------------------ languages
 def test_language_on_test_table(spark, sf):
     given = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
