@@ -30,6 +30,19 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def _packed(*columns: np.ndarray, kind: str = "<i8") -> bytes:
+    """Columns of numbers, the bytes of equal weight side by side, compressed: small numbers take little."""
+    width = np.dtype(kind).itemsize
+    planes = b"".join(c.astype(kind).view(np.uint8).reshape(-1, width).T.tobytes() for c in columns)
+    return pa.compress(planes, codec="zstd", asbytes=True)
+
+
+def _unpacked(blob: bytes, columns: int, rows: int, kind: str = "<i8") -> list[np.ndarray]:
+    width = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(blob, columns * rows * width, codec="zstd"), np.uint8)
+    return [np.ascontiguousarray(x.reshape(width, rows).T).view(kind).ravel() for x in np.split(planes, columns)]
+
+
 # ------------------------------------------------------------------ tokenising
 def _words(data: np.ndarray, bounds: np.ndarray):
     """Word bytes end to end, word sizes, whether a word starts a piece, and its text; ``bounds`` cuts ``data``."""
@@ -115,14 +128,14 @@ def _tokenise(folder: str, limit: int):
         def flush():
             symbols, lang, word, n = shard.symbols(list(langs))
             file = remote.NewFile(folder, ".words")
-            file.write(symbols.astype("<i4").tobytes())
+            file.write(_packed(np.abs(symbols) * 2 + (symbols < 0), kind="<i4"))
             file.close()
             number = task << SHARDS_A_TASK | made
             k = len(n)
             for at in range(0, k, 1 << 16):
                 m = min(1 << 16, k - at)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(m, number)), pa.array([file.name] * m, pa.string()),
+                    [pa.array(np.full(m, number)), pa.array([f"{file.name} {len(symbols)}"] * m, pa.string()),
                      pa.array(np.arange(at + 1, at + m + 1, dtype=np.int32)), lang.slice(at, m), word.slice(at, m),
                      pa.array(n[at:at + m])], ["shard", "file", "symbol", "lang", "word", "n"])
         for batch in batches:
@@ -187,17 +200,16 @@ class Index:
         return cls(ids, np.bincount(s, minlength=len(ids)), _steps(s), _steps(s[::-1]))
 
     def dump(self) -> bytes:
-        counts = np.diff(self.lows)
-        head = np.array([len(self.ids), len(self.before)], "<i8")
-        return b"".join(x.tobytes() for x in (head, self.ids.astype("<i8"), counts.astype("<i8"),
-                                              self.before.astype("<i4"), self.behind.astype("<i4")))
+        symbols, rows = _packed(self.ids, np.diff(self.lows)), [_packed(x, kind="<i4") for x in (self.before, self.behind)]
+        head = np.array([len(self.ids), len(self.before), len(symbols), *map(len, rows)], "<i8")
+        return b"".join([head.tobytes(), symbols, *rows])
 
     @classmethod
     def load(cls, data: bytes) -> Index:
-        v, n = np.frombuffer(data, "<i8", 2)
-        at = 16 + 16 * int(v)
-        return cls(np.frombuffer(data, "<i8", v, 16), np.frombuffer(data, "<i8", v, 16 + 8 * int(v)),
-                   np.frombuffer(data, "<i4", n, at), np.frombuffer(data, "<i4", n, at + 4 * int(n)))
+        v, n, *sizes = np.frombuffer(data, "<i8", 5).tolist()
+        cuts = np.cumsum([40, *sizes]).tolist()
+        symbols, before, behind = (data[a:b] for a, b in zip(cuts, cuts[1:], strict=False))
+        return cls(*_unpacked(symbols, 2, v), *_unpacked(before, 1, n, "<i4"), *_unpacked(behind, 1, n, "<i4"))
 
     def words(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(lo, rlo, size, id) of the single words."""
@@ -258,7 +270,9 @@ def _read(folder: str, name: str) -> bytes:
 def _build(words: str, folder: str):
     """Index one shard from its stored symbols and the ids of its frequent words; (shard, file) of the index."""
     def run(table: pa.Table) -> pa.Table:
-        symbols = np.frombuffer(_read(words, next(x for x in table["file"].to_pylist() if x)), "<i4")
+        name, size = next(x for x in table["file"].to_pylist() if x).split(" ")
+        marked, = _unpacked(_read(words, name), 1, int(size), "<i4")
+        symbols = np.where(marked & 1, -(marked >> 1), marked >> 1)
         given = table.filter(pa.compute.is_valid(table["id"])).sort_by("symbol")
         frequent, ids = given["symbol"].to_numpy(), given["id"].to_numpy()
         number = np.zeros(int(np.abs(symbols).max()) + 1, np.int32)
@@ -271,17 +285,6 @@ def _build(words: str, folder: str):
     return run
 
 
-def _packed(*columns: np.ndarray) -> bytes:
-    """Columns of longs, the bytes of equal weight side by side, compressed: small numbers take little."""
-    planes = b"".join(c.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes() for c in columns)
-    return pa.compress(planes, codec="zstd", asbytes=True)
-
-
-def _unpacked(blob: bytes, columns: int, rows: int) -> list[np.ndarray]:
-    planes = np.frombuffer(pa.decompress(blob, columns * rows * 8, codec="zstd"), np.uint8)
-    return [np.ascontiguousarray(x.reshape(8, rows).T).view("<i8").ravel() for x in np.split(planes, columns)]
-
-
 def _dealt(prefix: np.ndarray, suffix: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
     """Phrases ordered by part and key, and where the parts begin; a key's part does not depend on the shard."""
     mixed = textkit.scramble(prefix.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + suffix.astype(np.uint64))
