@@ -137,5 +137,5 @@ def test_stored_warehouse_reads_stored_extracts(spark, wh, scratch):
     for name in lazy:
         assert sorted(map(str, stored[name].collect())) == sorted(map(str, lazy[name].collect())), name
     # no local rows of the sources, no second join of milestones and projects
-    phys = stored["dim_pruebas"]._jdf.queryExecution().executedPlan().toString()
-    assert "LocalTableScan" not in phys and "ExistingRDD" not in phys and phys.count("Scan parquet") == 2
+    plan = stored["dim_pruebas"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation" not in plan and "LogicalRDD" not in plan and plan.count("Relation [") == 2
