@@ -83,3 +83,12 @@ def test_missing_flag_and_deviation_labels(spark):
     assert [tuple(r) for r in out.collect()] == [
         ("Cerrado", "Sobre Presupuesto"), ("Cancelado", "Bajo Presupuesto"), (None, "En Presupuesto"),
         (None, "En Presupuesto")]
+
+
+def test_dense_id_stores_the_kept_columns_only(spark):
+    df = spark.createDataFrame([(3, "c"), (1, "a"), (2, "b"), (2, "b")], "k int, v string")
+    out = TB.dense_id(df, ["k"], name="sid", stored=True, keep=["v"])
+    assert out.columns == ["sid", "v"]
+    assert sorted(tuple(r) for r in out.collect()) == [(1, "a"), (2, "b"), (3, "b"), (4, "c")]
+    folder = out.inputFiles()[0].rsplit("/", 1)[0]
+    assert spark.read.parquet(folder).columns == ["v", "__mid"]

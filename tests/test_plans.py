@@ -94,3 +94,27 @@ def test_composite_keys_never_collide(spark, scratch):
     got = df.select(_task_id().alias("t"), _milestone_id().alias("m")).collect()
     assert len({r.t for r in got}) == len(rows)
     assert len({r.m for r in got}) == len({r[:2] for r in rows})
+
+
+def test_shared_extracts_are_stored_once(spark):
+    """Tasks, tests, errors and the tables above read stored milestones, errors and projects; rows as without; keys
+    repeat or are missing."""
+    from portacube.plans.pipeline import shared_extracts
+    src = sources(spark)
+    for name in ("hitos", "tareas", "errores", "pruebas"):
+        first = src[name].limit(3)
+        src[name] = src[name].union(first).union(first.withColumn("ID_Hito" if name != "errores" else "ID_Tarea",
+                                                                  first["ID_Hito" if name != "errores" else "ID_Tarea"].substr(1, 0)))
+    at = {"as_of": "2021-01-01", "extracted_at": "2021-01-01 00:00:00"}
+    plain, shared = extract_all(src, **at), shared_extracts(src, **at)
+    a = build_warehouse(plain, extend_calendar=False)
+    b = build_warehouse(shared, extend_calendar=False, store_projects=True)
+    for name in plain:
+        assert shared[name].columns == plain[name].columns
+        assert sorted(map(str, shared[name].collect())) == sorted(map(str, plain[name].collect())), name
+    for name in a:
+        assert b[name].columns == a[name].columns
+        assert sorted(map(str, b[name].collect())) == sorted(map(str, a[name].collect())), name
+    assert any("/milestones-" in f for f in shared["tareas"].inputFiles())
+    assert any("/errors-" in f for f in shared["errores"].inputFiles())
+    assert all("/projects-" in f for f in b["dim_proyectos"].inputFiles())
