@@ -29,6 +29,7 @@ from portacube.operators.cuboids import SKETCH_ERROR  # noqa: E402
 from portacube.plans import cubes as P  # noqa: E402
 from portacube.plans import kpis as K  # noqa: E402
 from portacube.plans import quality as Q  # noqa: E402
+from portacube.plans.dims import dim_proyectos  # noqa: E402
 from portacube.plans.extract import extract_all  # noqa: E402
 from portacube.plans.incremental import STATE, load  # noqa: E402
 from portacube.plans.pipeline import build_and_load, build_warehouse, shared_extracts, stored_warehouse  # noqa: E402
@@ -63,7 +64,7 @@ class _Ctx:
     def w(self) -> dict[str, DataFrame]:
         if self._w is None:
             ext = shared_extracts(self.src, as_of=AS_OF, extracted_at=EXTRACTED_AT)
-            self._w = build_warehouse(ext, extend_calendar=False, store_projects=True)
+            self._w = build_warehouse(ext, extend_calendar=False, project_keys=dim_proyectos(self.ext))
         return self._w
 
     def view(self) -> DataFrame:

@@ -64,19 +64,24 @@ def shared_extracts(src: dict[str, DataFrame], as_of=None, extracted_at=None) ->
     return x
 
 
-def build_warehouse(ext: Mapping[str, DataFrame], extend_calendar: bool = True, store_projects: bool = False) -> LazyTables:
+def build_warehouse(ext: Mapping[str, DataFrame], extend_calendar: bool = True,
+                    project_keys: DataFrame | None = None) -> LazyTables:
     """All ten warehouse tables from the extracts, as lazily built DataFrames.
 
     Dependencies: clients, employees, projects, calendar, expenses ->
     milestones -> tasks, tests -> facts.  ``extend_calendar`` widens the
     calendar to the default reporting range; date keys always use the
     calendar's own first day as base, so they join to it.  With
-    ``store_projects`` the project dimension, from which most others are
-    built, is computed and stored when it is first asked for.
+    ``project_keys``, a lazy project dimension for tables that read its keys
+    only (its counts are then pruned), the dimension itself is computed and
+    stored when it is first asked for.
     """
     def projects() -> DataFrame:
         df = D.dim_proyectos(ext, ext["clientes"])
-        return TB.stored_once(df, "projects") if store_projects else df
+        return TB.stored_once(df, "projects") if project_keys is not None else df
+
+    def keys() -> DataFrame:
+        return w["dim_proyectos"] if project_keys is None else project_keys
 
     def calendar() -> DataFrame:
         if extend_calendar:
@@ -92,11 +97,11 @@ def build_warehouse(ext: Mapping[str, DataFrame], extend_calendar: bool = True,
         "dim_proyectos": projects,
         "dim_tiempo": calendar,
         "dim_gastos": lambda: D.dim_gastos(ext),
-        "dim_hitos": lambda: D.dim_hitos(ext, w["dim_proyectos"], cal()),
+        "dim_hitos": lambda: D.dim_hitos(ext, keys(), cal()),
         "dim_tareas": lambda: D.dim_tareas(ext, w["dim_hitos"]),
         "dim_pruebas": lambda: D.dim_pruebas(ext, w["dim_hitos"]),
-        "hechos_asignaciones": lambda: FT.hechos_asignaciones(ext, w["dim_proyectos"], cal()),
-        "hechos_proyectos": lambda: FT.hechos_proyectos(ext, w["dim_proyectos"], w["dim_tareas"], cal()),
+        "hechos_asignaciones": lambda: FT.hechos_asignaciones(ext, keys(), cal()),
+        "hechos_proyectos": lambda: FT.hechos_proyectos(ext, keys(), w["dim_tareas"], cal()),
     })
     return w
 

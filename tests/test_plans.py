@@ -99,6 +99,7 @@ def test_composite_keys_never_collide(spark, scratch):
 def test_shared_extracts_are_stored_once(spark):
     """Tasks, tests, errors and the tables above read stored milestones, errors and projects; rows as without; keys
     repeat or are missing."""
+    from portacube.plans.dims import dim_proyectos
     from portacube.plans.pipeline import shared_extracts
     src = sources(spark)
     for name in ("hitos", "tareas", "errores", "pruebas"):
@@ -108,7 +109,7 @@ def test_shared_extracts_are_stored_once(spark):
     at = {"as_of": "2021-01-01", "extracted_at": "2021-01-01 00:00:00"}
     plain, shared = extract_all(src, **at), shared_extracts(src, **at)
     a = build_warehouse(plain, extend_calendar=False)
-    b = build_warehouse(shared, extend_calendar=False, store_projects=True)
+    b = build_warehouse(shared, extend_calendar=False, project_keys=dim_proyectos(plain))
     for name in plain:
         assert shared[name].columns == plain[name].columns
         assert sorted(map(str, shared[name].collect())) == sorted(map(str, plain[name].collect())), name
