@@ -119,3 +119,55 @@ def test_shared_extracts_are_stored_once(spark):
     assert any("/milestones-" in f for f in shared["tareas"].inputFiles())
     assert any("/errors-" in f for f in shared["errores"].inputFiles())
     assert all("/projects-" in f for f in b["dim_proyectos"].inputFiles())
+
+
+def test_calendar_is_stored_once(spark):
+    """The calendar of callers that share tables is read back, not found anew from all dates by every use."""
+    from portacube.plans.dims import dim_proyectos
+    from portacube.plans.pipeline import shared_extracts
+    at = {"as_of": "2021-01-01", "extracted_at": "2021-01-01 00:00:00"}
+    plain, shared = extract_all(sources(spark), **at), shared_extracts(sources(spark), **at)
+    for extend in (False, True):
+        a = build_warehouse(plain, extend_calendar=extend)
+        b = build_warehouse(shared, extend_calendar=extend, project_keys=dim_proyectos(plain))
+        files = b["dim_tiempo"].inputFiles()
+        assert files and all("/calendar-" in f for f in files)
+        assert sorted(map(str, b["dim_tiempo"].collect())) == sorted(map(str, a["dim_tiempo"].collect()))
+
+
+def test_counted_tables_carry_no_amounts(spark):
+    """Tasks, tests, errors and milestones meet in an aggregate of their own, without the columns of amounts and dates."""
+    ext = extract_all(sources(spark), as_of="2021-01-01", extracted_at="2021-01-01 00:00:00")
+    w = build_warehouse(ext, extend_calendar=False)
+    m = FT.project_measures(ext, w["dim_proyectos"], w["dim_tareas"], TB.calendar_summary(w["dim_tiempo"]))
+    partial = [x for x in _plan(m).split("\n") if "partial_sum(k_n" in x]
+    assert partial and all("e_amt" not in x and "min_by" not in x for x in partial)
+
+
+def test_milestones_that_repeat_or_lack_an_id_are_all_counted(spark):
+    """Each milestone row counts, with its id's delayed tasks where it has an id."""
+    src = sources(spark)
+    first = src["hitos"].limit(1)
+    pid = first.first()["ID_Proyecto"]
+    none = first.withColumn("ID_Hito", first["ID_Hito"].substr(1, 0)).selectExpr(
+        *[f"nullif({c}, '') as {c}" if c == "ID_Hito" else c for c in first.columns])
+
+    def late(src):
+        ext = extract_all(src, as_of="2021-01-01", extracted_at="2021-01-01 00:00:00")
+        w = build_warehouse(ext, extend_calendar=False)
+        h = ext["hitos"].where(f"ID_Proyecto = {pid}")
+        t = w["dim_tareas"].groupBy("ID_Hito").agg({"SeRetraso": "sum", "ID_Tarea": "count"}).toDF("ID_Hito", "a", "b")
+        by_id = {r["ID_Hito"]: (r["a"], r["b"]) for r in t.collect()}
+        rows = h.collect()
+        # columns come in the order of the dict's keys or of their names: late ones are the fewer
+        pairs = [sorted(by_id[r["ID_Hito"]]) for r in rows if r["ID_Hito"] in by_id]
+        m = FT.project_measures(ext, w["dim_proyectos"], w["dim_tareas"], TB.calendar_summary(w["dim_tiempo"]))
+        got = m.where(f"ID_Proyecto = {pid}").first()
+        n = len(rows)
+        n_late = sum(r["FechaFinReal"] is not None and r["FechaFinReal"] > r["FechaFinPlanificada"] for r in rows)
+        total = sum(p[1] for p in pairs)
+        assert got["PorcentajeHitosRetrasados"] == n_late / n * 100
+        assert got["PorcentajeTareasRetrasadas"] == (sum(p[0] for p in pairs) / total * 100 if total else 0.0)
+        return n
+
+    assert late({**src, "hitos": src["hitos"].union(first).union(none)}) == late(src) + 2
