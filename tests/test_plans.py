@@ -171,3 +171,10 @@ def test_milestones_that_repeat_or_lack_an_id_are_all_counted(spark):
         return n
 
     assert late({**src, "hitos": src["hitos"].union(first).union(none)}) == late(src) + 2
+
+
+def test_batch_load_stores_zstd(spark, scratch):
+    build_and_load(spark, sources(spark), scratch, as_of="2021-01-01", extracted_at="2021-01-01 00:00:00",
+                   extend_calendar=False)
+    files = read_warehouse(spark, scratch)["dim_tareas"].inputFiles()
+    assert files and all(".zstd." in f for f in files)
