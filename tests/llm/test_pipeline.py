@@ -7,7 +7,7 @@ from conftest import write_tables
 from test_decontam import brute as leaks_of
 from test_minhash import brute as groups_of
 
-from portacube.llm import decontam, mixing
+from portacube.llm import decontam, mixing, tokenfile
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -86,3 +86,11 @@ def test_rows_of_one_id_are_judged_row_by_row(spark, scratch, sf):
     assert got == sorted([(5, ""), (5, english), (6, english * 2 + "one more time"), (4, other + "again"), (0, rows[-1][1])])
     spoken = {(r["doc_id"], r["text"]) for r in stage(spark, scratch, "language", docs, sf).collect()}
     assert (5, english) in spoken and (None, rows[-1][1]) in spoken and (5, None) not in spoken
+
+
+def test_token_files_encode_every_whole_text(spark, scratch, sf, monkeypatch):
+    write, asked = tokenfile._write, []
+    monkeypatch.setattr(tokenfile, "_write", lambda folder, path, *words: asked.append(words) or write(folder, path, *words))
+    rows = [(i, "the same words again and again", "en", "a", 1) for i in range(6)] + [(None, None, None, None, None)]
+    out = stage(spark, scratch, "token_files", spark.createDataFrame(rows, SCHEMA), sf)
+    assert asked == [(False,)] and out.count() == 7
